@@ -1,0 +1,5 @@
+"""Intentionally empty: every operator of this engine is a batch operator.
+
+The workload has no stream source, watermark or late-data rule; "recent" always
+means a date filter relative to a snapshot.
+"""
