@@ -61,8 +61,8 @@ SELECT k * 2 + copy AS src_seq, 'CUST_' || lpad(CAST(k AS VARCHAR), 12, '0') AS
   CASE WHEN k % 67 = 3 THEN NULL WHEN k % 211 = 5 THEN 150.0::DOUBLE
        ELSE CAST(18 + (k * 7) % 63 AS DOUBLE) END AS age,
   lower(n_name) AS city, lower(substr(r_name, 1, 2)) AS state,
-  CASE WHEN k % 97 = 11 THEN d0 + 5
-       ELSE COALESCE(d0, DATE '1995-01-01') - CAST(k % 60 AS INTEGER) END AS signup_date
+  COALESCE(d0, DATE '1995-01-01')
+    + CAST(CASE WHEN k % 97 = 11 THEN 5 ELSE -(k % 60) END AS INTEGER) AS signup_date
 FROM (
   SELECT c_custkey AS k, n_name, r_name, d0,
     CASE WHEN c_custkey % 40 = 1 THEN '  ' || upper(c_name) || ' ' ELSE c_name END AS nm,

@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfmark.functions.exprs import count_where, pct
+from shelfmark.functions.exprs import count_where, pct, sum_where
 
 REASON = "rejection_reason"
 SEQ = "src_seq"
@@ -131,18 +131,17 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def validation_stats(checked: dict[str, DataFrame]) -> DataFrame:
-    """Input, valid and rejected rows per table with the pass rate."""
-    return union_all(
-        [
-            df.agg(
-                F.count("*").alias("total_input"),
-                count_where(f"{REASON} IS NULL").alias("valid_count"),
-                count_where(f"{REASON} IS NOT NULL").alias("rejected_count"),
-            ).select(F.lit(name).alias("table_name"), "*")
-            for name, df in checked.items()
-        ]
-    ).withColumn("pass_rate_pct", pct("valid_count", "total_input"))
+def validation_stats(outcomes: DataFrame) -> DataFrame:
+    """Input, valid and rejected rows per table with the pass rate, from reason counts."""
+    return (
+        outcomes.groupBy("table_name")
+        .agg(
+            F.sum("n").alias("total_input"),
+            sum_where(f"{REASON} IS NULL", "n").alias("valid_count"),
+            sum_where(f"{REASON} IS NOT NULL", "n").alias("rejected_count"),
+        )
+        .withColumn("pass_rate_pct", pct("valid_count", "total_input"))
+    )
 
 
 # ---------------------------------------------------------------- declared constraints

@@ -10,12 +10,18 @@ from pyspark.sql import DataFrame, functions as F
 from shelfmark.functions.exprs import count_where, pct
 from shelfmark.operators import clean, validate
 from shelfmark.operators.validate import REASON
+from shelfmark.session import measured
 from shelfmark.sources.adapter import Tables
 
 
 @dataclass(frozen=True)
 class Etl:
-    """One lazy lineage; every member is a DataFrame over the same annotated plans."""
+    """One lazy lineage; every member is a DataFrame over the same annotated plans.
+
+    The checked dimensions are persisted on first use: the key rules, the catalogue join
+    and the customer join all read them, and their true size then decides between a
+    broadcast (below Spark's threshold) and a shuffled join. Orders are never persisted.
+    """
 
     raw: Tables
     run_timestamp: str = "1970-01-01 00:00:00"
@@ -30,8 +36,8 @@ class Etl:
 
     @cached_property
     def checked(self) -> Tables:
-        customers = validate.check_customers(self.cleaned.customers)
-        products = validate.check_products(self.cleaned.products)
+        customers = measured(validate.check_customers(self.cleaned.customers))
+        products = measured(validate.check_products(self.cleaned.products))
         orders = validate.check_orders(
             self.cleaned.orders, validate.valid_rows(customers), validate.valid_rows(products)
         )
@@ -52,19 +58,25 @@ class Etl:
             ]
         )
 
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        """Rows per table and rejection reason; NULL is the valid bucket."""
+        return validate.union_all(
+            [validate.reason_counts(df, name) for name, df in self.checked.items().items()]
+        )
+
     @cached_property
     def stats(self) -> DataFrame:
-        return validate.validation_stats(self.checked.items())
+        return validate.validation_stats(self.outcomes)
 
     @cached_property
     def reasons(self) -> DataFrame:
-        """Rows per table and rejection reason."""
-        return validate.union_all(
-            [validate.reason_counts(df, name) for name, df in self.checked.items().items()]
-        ).where(F.col(REASON).isNotNull())
+        return self.outcomes.where(F.col(REASON).isNotNull())
 
 
-def run_audit(etl: Etl, run_id: str, duration_seconds: float = 0.0) -> DataFrame:
+def run_audit(
+    etl: Etl, run_id: str, run_timestamp: str | None = None, duration_seconds: float = 0.0
+) -> DataFrame:
     """One nested row describing a run: extraction, cleaning and validation."""
     raw, cleaned = etl.raw, etl.cleaned
     tables = etl.stats.agg(
@@ -97,7 +109,7 @@ def run_audit(etl: Etl, run_id: str, duration_seconds: float = 0.0) -> DataFrame
 
     return tables.select(
         F.lit(run_id).alias("pipeline_run_id"),
-        F.lit(etl.run_timestamp).cast("timestamp").alias("run_timestamp"),
+        F.lit(run_timestamp or etl.run_timestamp).cast("timestamp").alias("run_timestamp"),
         F.lit(duration_seconds).alias("duration_seconds"),
         F.struct("total_extracted", "counts").alias("extraction"),
         F.struct(
@@ -140,6 +152,7 @@ def reconciliation(etl: Etl, view: DataFrame) -> DataFrame:
         ]
     )
     per_table = raw.join(stats, "table_name")
+    # One row per table from here on.
     total = per_table.agg(
         F.lit("total").alias("table_name"),
         *[F.sum(c).alias(c) for c in ("raw_count", "valid_count", "rejected_count")],

@@ -39,10 +39,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def etl_of(spark: SparkSession, sf_dir: str) -> Etl:
+@lru_cache(maxsize=4)
+def _etl(application: str, spark: SparkSession, sf_dir: str) -> Etl:
     return Etl(raw_tables(spark, sf_dir), RUN_TIMESTAMP)
 
 
+def etl_of(spark: SparkSession, sf_dir: str) -> Etl:
+    """The lazy lineage of a folder, built once per application."""
+    return _etl(spark.sparkContext.applicationId, spark, sf_dir)
+
+
 def _add(name: str, build: Callable[[Etl], DataFrame]) -> None:
     """Register a query over the ETL lineage; money columns leave as doubles."""
     QUERIES[name] = lambda spark, sf_dir: money_as_double(build(etl_of(spark, sf_dir)))
@@ -381,9 +387,9 @@ def _list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appended runs, newest first."""
     name, path = f"{_table_prefix()}audit", _fresh_dir(spark, "audit")
-    raw = raw_tables(spark, sf_dir)
+    etl = etl_of(spark, sf_dir)
     for run_id, stamp in (("RUN_A", "2001-08-01 00:00:00"), ("RUN_B", RUN_TIMESTAMP)):
-        audit = run_audit(Etl(raw, stamp), run_id)
+        audit = run_audit(etl, run_id, stamp)
         writers.append_audit_row(audit_log_row(audit, "parquet"), name, path)
     return reports.audit_history(spark.table(name))
 

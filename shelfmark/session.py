@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -50,3 +51,13 @@ def durable(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def measured(df: DataFrame) -> DataFrame:
+    """Persist a dimension and fill it now, so that later plans know its true size.
+
+    Lost blocks are recomputed from the lineage; full memory spills to disk.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.count()
+    return kept

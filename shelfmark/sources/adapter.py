@@ -67,7 +67,7 @@ def raw_customers(
         "if(c_custkey % 40 = 1, concat('  ', upper(c_name), ' '), c_name) as name",
         "lower(n_name) as city",
         "lower(substring(r_name, 1, 2)) as state",
-        "`min(order_date)` as first_day",
+        "coalesce(`min(order_date)`, date'1995-01-01') as first_day",
         "explode(if(c_custkey % 125 = 0, array(0, 1), array(0))) as copy",
     )
     return copies.selectExpr(
@@ -81,8 +81,7 @@ def raw_customers(
                 else cast(18 + (k * 7) % 63 as double) end as age""",
         "city",
         "state",
-        """if(k % 97 = 11, date_add(first_day, 5),
-              date_sub(coalesce(first_day, date'1995-01-01'), cast(k % 60 as int)))
+        """if(k % 97 = 11, date_add(first_day, 5), date_sub(first_day, cast(k % 60 as int)))
            as signup_date""",
     )
 
@@ -153,17 +152,31 @@ def _schema(application: str, spark: SparkSession, path: str) -> StructType:
     return spark.read.parquet(path).schema
 
 
+@lru_cache(maxsize=256)
+def _splits(application: str, spark: SparkSession, path: str) -> int:
+    return spark.read.parquet(path).rdd.getNumPartitions()
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Read the driver parquet tables and derive the raw retail tables, lazily."""
+    """Read the driver parquet tables and derive the raw retail tables, lazily.
+
+    A line table with fewer splits than the cluster has cores (a single small file) is
+    spread over the cores first; with enough splits the scan is left as it is.
+    """
     application = spark.sparkContext.applicationId
+    cores = spark.sparkContext.defaultParallelism
+
+    def path(name: str) -> str:
+        return f"{sf_dir}/{name}.parquet"
 
     def table(name: str) -> DataFrame:
-        path = f"{sf_dir}/{name}.parquet"
-        return spark.read.schema(_schema(application, spark, path)).parquet(path)
+        return spark.read.schema(_schema(application, spark, path(name))).parquet(path(name))
 
-    orders = table("orders")
+    orders, lineitem = table("orders"), table("lineitem")
+    if _splits(application, spark, path("lineitem")) < cores:
+        lineitem = lineitem.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey")
     return Tables(
         customers=raw_customers(table("customer"), table("nation"), table("region"), orders),
         products=raw_products(table("part")),
-        orders=raw_orders(table("lineitem"), orders),
+        orders=raw_orders(lineitem, orders),
     )

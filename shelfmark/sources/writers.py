@@ -9,12 +9,13 @@ from shelfmark.sources.adapter import Tables
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """CSV that reads back unchanged: quotes doubled, empty text kept apart from NULL."""
+    """CSV with doubled quotes and untouched blanks; NULL is an empty field, and so an
+    empty text reads back as NULL."""
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
-        .option("emptyValue", '""')
+        .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
