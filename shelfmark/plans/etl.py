@@ -10,21 +10,23 @@ from pyspark.sql import DataFrame, functions as F
 from shelfmark.functions.exprs import count_where, pct
 from shelfmark.operators import clean, validate
 from shelfmark.operators.validate import REASON
-from shelfmark.session import measured
+from shelfmark.session import fresh_dir, stored
 from shelfmark.sources.adapter import Tables
 
 
 @dataclass(frozen=True)
 class Etl:
-    """One lazy lineage; every member is a DataFrame over the same annotated plans.
+    """Cleaning and validation of one set of raw tables.
 
-    The checked dimensions are persisted on first use: the key rules, the catalogue join
-    and the customer join all read them, and their true size then decides between a
-    broadcast (below Spark's threshold) and a shuffled join. Orders are never persisted.
+    The annotated tables are written once to the shared folder (``store_dir``, by default
+    a new one). Valid rows, dead letters and counts are all read from there, so a report
+    never repeats the cleaning, and every join sees the true size of a dimension: below
+    Spark's threshold it is broadcast, above it is shuffled.
     """
 
     raw: Tables
     run_timestamp: str = "1970-01-01 00:00:00"
+    store_dir: str | None = None
 
     @cached_property
     def cleaned(self) -> Tables:
@@ -36,12 +38,13 @@ class Etl:
 
     @cached_property
     def checked(self) -> Tables:
-        customers = measured(validate.check_customers(self.cleaned.customers))
-        products = measured(validate.check_products(self.cleaned.products))
+        out = self.store_dir or fresh_dir(self.raw.orders.sparkSession, "checked")
+        customers = stored(validate.check_customers(self.cleaned.customers), f"{out}/customers")
+        products = stored(validate.check_products(self.cleaned.products), f"{out}/products")
         orders = validate.check_orders(
             self.cleaned.orders, validate.valid_rows(customers), validate.valid_rows(products)
         )
-        return Tables(customers, products, orders)
+        return Tables(customers, products, stored(orders, f"{out}/orders"))
 
     @cached_property
     def valid(self) -> Tables:

@@ -1,8 +1,8 @@
 """Named queries over a driver data folder: the engine's operators, end to end.
 
-Every query starts from the whole driver tables and runs cleaning and validation itself,
-so its cost is that of the full lineage. A user with stored validated tables passes those
-to the same report functions (see ``sources.readers.load_cleaned``).
+The first query of a folder cleans and validates the whole driver tables and stores the
+annotated tables in the shared folder; all queries of the application then read those, as
+reports read loaded tables in production.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from shelfmark.operators.ranking import percent_rank_average
 from shelfmark.plans import reports
 from shelfmark.plans.customer_analytics import ChurnPlan, customer_analytics, scored_customers
 from shelfmark.plans.etl import Etl, audit_log_row, reconciliation, run_audit
-from shelfmark.session import durable, shared_dir
+from shelfmark.session import durable, fresh_dir, stored
 from shelfmark.sources import readers, writers
 from shelfmark.sources.adapter import Tables, raw_tables
 
@@ -45,12 +45,23 @@ def _etl(application: str, spark: SparkSession, sf_dir: str) -> Etl:
 
 
 def etl_of(spark: SparkSession, sf_dir: str) -> Etl:
-    """The lazy lineage of a folder, built once per application."""
+    """The cleaned and validated tables of a folder, built once per application."""
     return _etl(spark.sparkContext.applicationId, spark, sf_dir)
 
 
+@lru_cache(maxsize=4)
+def _scored(application: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = scored_customers(etl_of(spark, sf_dir).valid)
+    return stored(scored, fresh_dir(spark, "scored"))
+
+
+def scored_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with features, segment and risk, stored once per application."""
+    return _scored(spark.sparkContext.applicationId, spark, sf_dir)
+
+
 def _add(name: str, build: Callable[[Etl], DataFrame]) -> None:
-    """Register a query over the ETL lineage; money columns leave as doubles."""
+    """Register a query over the ETL tables; money columns leave as doubles."""
     QUERIES[name] = lambda spark, sf_dir: money_as_double(build(etl_of(spark, sf_dir)))
 
 
@@ -58,8 +69,8 @@ def _add_valid(name: str, build: Callable[[Tables], DataFrame]) -> None:
     _add(name, lambda etl: build(etl.valid))
 
 
-def _fresh_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/shelfmark-{name}-{uuid.uuid4().hex[:12]}"
+def _add_scored(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf_dir: money_as_double(build(scored_of(spark, sf_dir)))
 
 
 # ------------------------------------------------------------- cleaning and validation
@@ -110,8 +121,8 @@ _add("rpt22_run_scorecard", lambda e: reports.run_scorecard(e.stats, e.reasons))
 _add_valid("rpt23_population_scorecard", lambda t: reports.population_scorecard(
     customer_features(t.orders, t.customers, t.products)))
 _add_valid("rpt24_seasonal_averages", reports.seasonal_averages)
-_add_valid("rpt25_customer_table", lambda t: reports.customer_table(
-    scored_customers(t).select(
+_add_scored("rpt25_customer_table", lambda s: reports.customer_table(
+    s.select(
         "customer_id", "name", "age", "state", "customer_segment", "risk_level", "total_revenue"),
     segments=["Champions", "At Risk", "Cannot Lose Them"],
     risk_levels=["HIGH", "CRITICAL", "LOW"],
@@ -135,16 +146,16 @@ _add_valid("fea18_labelled_cohort",
 _SEGMENT_COLUMNS = (
     "customer_id", "r_score", "f_score", "m_score", "rfm_score", "customer_segment",
 )
-_add_valid("rfm1_scores", lambda t: scored_customers(t).select(*_SEGMENT_COLUMNS))
-_add_valid("rfm4_segment_summary", lambda t: rfm.segment_summary(scored_customers(t)))
-_add_valid("rfm5_concentration", lambda t: rfm.segment_concentration(scored_customers(t)))
-_add_valid("rfm6_segment_profit", lambda t: rfm.segment_profit(scored_customers(t)))
-_add_valid("rsk1_scores", lambda t: scored_customers(t).select(
+_add_scored("rfm1_scores", lambda s: s.select(*_SEGMENT_COLUMNS))
+_add_scored("rfm4_segment_summary", rfm.segment_summary)
+_add_scored("rfm5_concentration", rfm.segment_concentration)
+_add_scored("rfm6_segment_profit", rfm.segment_profit)
+_add_scored("rsk1_scores", lambda s: s.select(
     "customer_id", "risk_score", "risk_level", "key_risk_driver", "recommended_action"))
-_add_valid("rsk5_tier_summary", lambda t: risk.tier_summary(scored_customers(t)))
-_add_valid("rsk6_exposure", lambda t: risk.exposure(scored_customers(t)))
-_add_valid("rsk7_intervention_list", lambda t: risk.intervention_list(scored_customers(t)))
-_add_valid("ag13_segment_by_tier", lambda t: risk.segment_by_tier(scored_customers(t)))
+_add_scored("rsk5_tier_summary", risk.tier_summary)
+_add_scored("rsk6_exposure", risk.exposure)
+_add_scored("rsk7_intervention_list", risk.intervention_list)
+_add_scored("ag13_segment_by_tier", risk.segment_by_tier)
 _add_valid("wn6_customer_tiles", reports.customer_tiles)
 _add_valid("wn7_percent_rank", lambda t: percent_rank_average(
     durable(customer_features(t.orders, t.customers, t.products).select(
@@ -178,7 +189,7 @@ _add_valid("msr_by_state", lambda t: measures.measures(
         t.customers.select("customer_id", "state"), "customer_id"), t.customers, ["state"]))
 _add_valid("msr19_time_intelligence",
            lambda t: measures.time_intelligence(facts.fact_orders(t.orders, t.products)))
-_add_valid("msr23_risk_measures", lambda t: measures.risk_measures(scored_customers(t)))
+_add_scored("msr23_risk_measures", measures.risk_measures)
 
 # ------------------------------------------------------------------------- data quality
 IDS = validate.ID_COLUMNS
@@ -216,7 +227,7 @@ _add("dq20_view_completeness", lambda e: quality.view_completeness(facts.order_a
     e.valid.orders, e.valid.customers, e.valid.products)))
 _add("dq21_feature_bounds", lambda e: quality.feature_bounds(customer_features(
     e.valid.orders, e.valid.customers, e.valid.products, cutoff=TEST.cutoff), TEST.cutoff))
-_add("dq22_segment_domains", lambda e: rfm.segment_domain_checks(scored_customers(e.valid)))
+_add_scored("dq22_segment_domains", rfm.segment_domain_checks)
 _add("sl5_dead_letter_samples",
      lambda e: quality.dead_letter_samples(e.rejected).drop("payload_preview"))
 
@@ -283,7 +294,7 @@ def _importances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = durable(scored_customers(etl_of(spark, sf_dir).valid))
+    scored = scored_of(spark, sf_dir)
     models, _ = _models(spark, sf_dir)
     return customer_analytics(scored, churn.score_population(models.logistic, scored))
 
@@ -307,7 +318,7 @@ def _msr26(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of the saved and re-loaded models, also written as JSON next to them."""
     models, test = _models(spark, sf_dir)
-    path = _fresh_dir(spark, "models")
+    path = fresh_dir(spark, "models")
     models.save(path)
     loaded = churn.ChurnModels.load(path)
     parts = []
@@ -326,14 +337,14 @@ def _model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("src1_csv_round_trip")
 def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw orders written as CSV, then read back with their schema in input order."""
-    path = f"{_fresh_dir(spark, 'raw')}/orders.csv"
+    path = f"{fresh_dir(spark, 'raw')}/orders.csv"
     writers.write_csv(etl_of(spark, sf_dir).raw.orders.drop("src_seq"), path)
     return readers.extract_raw_table(spark, path, "orders").drop("src_seq")
 
 
 @_register("src2_extract_counts")
 def _extract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _fresh_dir(spark, "raw")
+    out = fresh_dir(spark, "raw")
     for name, df in etl_of(spark, sf_dir).raw.items().items():
         writers.write_csv(df.drop("src_seq"), f"{out}/{name}.csv")
     _, metadata = readers.extract_all(spark, out, RUN_TIMESTAMP)
@@ -342,7 +353,7 @@ def _extract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _processed(spark: SparkSession, sf_dir: str) -> tuple[Etl, str]:
     etl = etl_of(spark, sf_dir)
-    out = _fresh_dir(spark, "processed")
+    out = fresh_dir(spark, "processed")
     audit = run_audit(etl, "RUN_TEST")
     writers.save_processed_files(etl.valid, etl.rejected, audit, out)
     return etl, out
@@ -370,13 +381,13 @@ def _table_prefix() -> str:
 def _load_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     etl = etl_of(spark, sf_dir)
     tables = {**etl.valid.items(), "rejected_records": etl.rejected}
-    return writers.load_tables(tables, _table_prefix(), _fresh_dir(spark, "tables"))
+    return writers.load_tables(tables, _table_prefix(), fresh_dir(spark, "tables"))
 
 
 @_register("snk9_list_tables")
 def _list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     etl, prefix = etl_of(spark, sf_dir), _table_prefix()
-    writers.load_tables(etl.valid.items(), prefix, _fresh_dir(spark, "tables"))
+    writers.load_tables(etl.valid.items(), prefix, fresh_dir(spark, "tables"))
     listed = writers.list_tables(spark, prefix)
     return listed.withColumn(
         "table_name", F.expr(f"substring(table_name, {len(prefix) + 1})")
@@ -386,7 +397,7 @@ def _list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("rpt21_audit_log")
 def _audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appended runs, newest first."""
-    name, path = f"{_table_prefix()}audit", _fresh_dir(spark, "audit")
+    name, path = f"{_table_prefix()}audit", fresh_dir(spark, "audit")
     etl = etl_of(spark, sf_dir)
     for run_id, stamp in (("RUN_A", "2001-08-01 00:00:00"), ("RUN_B", RUN_TIMESTAMP)):
         audit = run_audit(etl, run_id, stamp)
@@ -405,14 +416,14 @@ def _star_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fact_orders": facts.fact_orders(t.orders, t.products),
     }
     return writers.export_star(
-        tables, _fresh_dir(spark, "star"), _table_prefix(), _fresh_dir(spark, "tables"))
+        tables, fresh_dir(spark, "star"), _table_prefix(), fresh_dir(spark, "tables"))
 
 
 @_register("src5_star_import")
 def _star_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exported fact and dimensions, typed on import, joined into monthly revenue."""
     t = etl_of(spark, sf_dir).valid
-    out = _fresh_dir(spark, "star")
+    out = fresh_dir(spark, "star")
     writers.write_csv(_dates(t), f"{out}/dim_date.csv")
     writers.write_csv(star.dim_customers(t.customers), f"{out}/dim_customers.csv")
     writers.write_csv(facts.fact_orders(t.orders, t.products), f"{out}/fact_orders.csv")

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -53,11 +53,16 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def measured(df: DataFrame) -> DataFrame:
-    """Persist a dimension and fill it now, so that later plans know its true size.
+def fresh_dir(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/shelfmark-{name}-{uuid.uuid4().hex[:12]}"
 
-    Lost blocks are recomputed from the lineage; full memory spills to disk.
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a table once and read it from then on.
+
+    Unlike a checkpoint the copy is columnar: later plans read only the columns and row
+    groups they need, and know its true size when they choose a join.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    kept.count()
-    return kept
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
