@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -39,10 +40,15 @@ class Etl:
     @cached_property
     def checked(self) -> Tables:
         out = self.store_dir or fresh_dir(self.raw.orders.sparkSession, "checked")
-        customers = stored(validate.check_customers(self.cleaned.customers), f"{out}/customers")
-        products = stored(validate.check_products(self.cleaned.products), f"{out}/products")
+        cleaned = self.cleaned
+        with ThreadPoolExecutor(2) as jobs:  # two independent Spark jobs
+            pending = [
+                jobs.submit(stored, validate.check_customers(cleaned.customers), f"{out}/customers"),
+                jobs.submit(stored, validate.check_products(cleaned.products), f"{out}/products"),
+            ]
+            customers, products = (job.result() for job in pending)
         orders = validate.check_orders(
-            self.cleaned.orders, validate.valid_rows(customers), validate.valid_rows(products)
+            cleaned.orders, validate.valid_rows(customers), validate.valid_rows(products)
         )
         return Tables(customers, products, stored(orders, f"{out}/orders"))
 
