@@ -30,6 +30,26 @@ class RiskLimits:
     refund_rate: float = 0.15
 
 
+def percent_text(rate: str) -> Column:
+    """A four-digit rate as percent with one decimal, rounded as the binary double is.
+
+    ``format_string`` rounds the shortest decimal text of a double, so 0.1765 would give
+    17.7; the double next to 17.65 is below it and must give 17.6. A tie in the last digit
+    is therefore decided on the exact value, scaled by 2^52 to an integer; a true tie goes
+    to the even digit.
+    """
+    units = f"cast(round({rate} * 10000) as bigint)"
+    scale = 2**52
+    exact = f"cast(cast({rate} * 100 * {scale}D as bigint) as decimal(20,0)) * 100"
+    tie = f"cast({units} as decimal(10,0)) * {scale}"
+    up = (
+        f"{units} % 10 > 5 OR ({units} % 10 = 5 AND ({exact} > {tie}"
+        f" OR ({exact} = {tie} AND ({units} div 10) % 2 = 1)))"
+    )
+    tenths = f"({units} div 10 + if({up}, 1, 0))"
+    return F.expr(f"concat({tenths} div 10, '.', {tenths} % 10)")
+
+
 # A rule family is an ordered list of (condition, points, reason); its first hit counts.
 Family = list[tuple[Column, int, Column]]
 
@@ -40,7 +60,9 @@ def _families(limits: RiskLimits) -> list[Family]:
     quiet = F.col("recent_order_count") == 0
     earlier = F.col("historical_order_count")
     text = F.lit
-    refund_text = F.format_string("High Return Friction (%.1f%% Refund Rate)", refunds * 100)
+    refund_text = F.concat(
+        text("High Return Friction ("), percent_text("refund_rate"), text("% Refund Rate)")
+    )
     return [
         [
             (recency > 365, 40, text("Severe Inactivity (>365 Days)")),

@@ -118,6 +118,13 @@ def test_risk_edges(spark, row, score, driver):
     assert got.risk_level == tier and got.recommended_action == risk.ACTIONS[tier]
 
 
+def test_percent_text_equals_python_formatting(spark):
+    rates = [k / 10000 for k in range(500, 10001)]
+    df = spark.createDataFrame([(r,) for r in rates], "rate double")
+    got = {r.rate: r.t for r in df.select("rate", risk.percent_text("rate").alias("t")).collect()}
+    assert got == {r: f"{r * 100:.1f}" for r in rates}
+
+
 def test_previous_month_row_or_calendar(spark, make, shop):
     orders = make.orders([
         (i, f"O{i}", "C1", "P1", f"2024-{m:02d}-10", q, "PayPal", "Completed")
