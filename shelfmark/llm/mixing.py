@@ -5,8 +5,9 @@ copies, and one more with the fractional part as inclusion probability. The flig
 the fractional probabilities of three documents at a time along the null space of two
 constraints, words and documents, until one of the three is 0 or 1; so both totals stay exact.
 It runs in blocks of hashed documents of one source; what stays fractional in a block, two
-documents at most, goes to the blocks of the next level, until a source is a single block. There
-the landing phase rounds the last two so that the words come closest to the target.
+documents at most, goes to the blocks of the next level, until a source is a single block. There the
+landing phase rounds the last two and turns over single documents of that block, so that the
+words come closest to the target.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from shelfmark.operators.ranking import numbered
 WEIGHTS = (5, 2, 1)  # of the sources in code-point order, repeating
 MOST = 3  # times its size that a source, and so a document, is taken at most
 BLOCK = 2000  # expected documents of a flight block
+FLIPS = 8  # single documents that the landing turns over at most
 EPS = 1e-9
 
 
@@ -89,15 +91,22 @@ def flight(sizes: np.ndarray, p: np.ndarray) -> np.ndarray:
     return np.array(p)
 
 
-def land(sizes: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Round what is still open so that the words come closest to their expected total."""
-    p = p.copy()
-    rest = [k for k in range(len(p)) if 0 < p[k] < 1]
-    want = sum(p[k] * sizes[k] for k in rest)
-    choices = [[bool(bits >> j & 1) for j in range(len(rest))] for bits in range(1 << len(rest))]
-    best = min(choices, key=lambda c: abs(sum(sizes[k] for k, x in zip(rest, c) if x) - want))
-    for k, x in zip(rest, best):
-        p[k] = float(x)
+def land(sizes: np.ndarray, p: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Round what the flight left open, then turn single documents over while that brings the
+    words closer to their expected total; the document total gives way, by a few at most.
+
+    ``start``: the probabilities before the flight, whose words are the total to meet. Large
+    documents stay open longest, so rounding alone could miss it by half of a large one.
+    """
+    p = np.where(p >= 0.5, 1.0, 0.0)
+    over = float(((p - start) * sizes).sum())
+    for _ in range(FLIPS):
+        after = np.abs(over + np.where(p > 0, -1.0, 1.0) * sizes)
+        k = int(after.argmin()) if len(after) else 0
+        if not len(after) or after[k] >= abs(over) - EPS:
+            break
+        over += -sizes[k] if p[k] > 0 else sizes[k]
+        p[k] = 1 - p[k]
     return p
 
 
@@ -126,9 +135,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST, block: int = BLOCK
     def fly(last: bool):
         def one(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values(["size", "key"], ascending=[False, True], kind="stable").reset_index(drop=True)
-            s, p = pdf["size"].to_numpy(), pdf["p"].to_numpy()
-            p = flight(s, p)
-            pdf["p"] = land(s, p) if last else p
+            s, start = pdf["size"].to_numpy(), pdf["p"].to_numpy()
+            p = flight(s, start)
+            pdf["p"] = land(s, p, start) if last else p
             pdf["level"] += 1
             return pdf.drop(columns="_block")[[c.split()[0] for c in columns.split(", ")]]
 

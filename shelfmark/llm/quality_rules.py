@@ -23,7 +23,7 @@ WINDOW = 8
 REPEAT_PERCENT = 30  # base rule
 GUARD_WORDS = 40  # shorter texts aren't held against a distribution
 CHAR_DISTANCE = 0.30  # largest Jensen-Shannon distance (base 2, 0 to 1) of character classes
-WORD_DISTANCE = 0.75  # and of common words
+MEAN_DISTANCE = 0.26  # and largest mean of that and the distance of common words
 
 #: Frequent words of the languages that references exist for.
 COMMON = {
@@ -132,7 +132,7 @@ def judge_quality(docs: DataFrame) -> DataFrame:
                     far[side] = np.min([distance(p, q[side]) for q in known], axis=0)
             guarded = (batch.n_words < GUARD_WORDS).to_numpy() | np.isnan(far[0])
             out = batch.drop(columns=["classes", "common"])
-            out["kept"] = ~batch.base_failed.to_numpy() & (guarded | ((far[0] <= CHAR_DISTANCE) & (far[1] <= WORD_DISTANCE)))
+            out["kept"] = ~batch.base_failed.to_numpy() & (guarded | ((far[0] <= CHAR_DISTANCE) & (far[0] + far[1] <= 2 * MEAN_DISTANCE)))
             out["char_distance"], out["word_distance"] = (np.where(guarded, np.nan, x) for x in far)
             yield out
 

@@ -5,17 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import mixing, quality_rules, url_filter, warc
-from shelfmark.llm.storage import table
+from shelfmark.llm import mixing, quality_model, quality_rules, toxicity, url_filter, warc
+from shelfmark.llm.storage import remainder, table
 from shelfmark.session import fresh_dir
 
 
+def _scored(rows: DataFrame, score: str, held_out, threshold: float) -> DataFrame:
+    return rows.select("doc_id", held_out.alias("held_out"), F.col(score).alias("score"), (F.col(score) >= threshold).cast("int").alias("predicted"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder(5) == 0
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), remainder(5) != 0)
+    return _scored(toxicity.score_toxicity(docs.select("doc_id", "text"), model), "toxicity", held_out, 0.5)
+
+
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     return warc.resolve(warc.read_archives(spark, path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality_model.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), remainder(4) != 2)
+    return _scored(scores, "score", remainder(4) == 2, 0.7)
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
@@ -28,7 +43,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op4_warc_revisits, op7_source_mix, op9_quality_rules, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op4_warc_revisits, op5_quality_model, op7_source_mix, op9_quality_rules, op10_url_filter)}
 
 ORACLE = {
     "op4_warc_revisits": """

@@ -125,10 +125,9 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     def scored(rows: DataFrame) -> DataFrame:
         # a row number that any rerun of a task gives again; sums are combined before the shuffle
         rows = rows.withColumn("_row", F.monotonically_increasing_id())
-        own = [c for c in rows.columns if c != "_row"]
         return (rows.select("*", F.explode(grams(F.col("_url"))).alias("gram"))
                 .join(F.broadcast(model), "gram")
-                .groupBy("_row").agg(*[F.first(c).alias(c) for c in own], F.avg("ratio").alias("score")).drop("_row"))
+                .groupBy(*rows.columns).agg(F.avg("ratio").alias("score")).drop("_row"))
 
     threshold = calibrated(scored(judged.where(F.col("rule").isNotNull() & F.col("_held"))))
     by_model = scored(judged.where(F.col("rule").isNull())).withColumn(
