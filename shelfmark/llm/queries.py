@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import mixing, quality_model, quality_rules, toxicity, url_filter, warc
+from shelfmark.llm import mixing, near_duplicates, quality_model, quality_rules, toxicity, url_filter, warc
 from shelfmark.llm.storage import remainder, table
 from shelfmark.session import fresh_dir
 
@@ -35,6 +35,10 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op4_warc_revisits, op5_quality_model, op7_source_mix, op9_quality_rules, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op2_toxicity, op4_warc_revisits, op5_quality_model, op7_source_mix, op8_near_duplicates, op9_quality_rules, op10_url_filter)}
 
 ORACLE = {
     "op4_warc_revisits": """
