@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import mixing, near_duplicates, quality_model, quality_rules, toxicity, url_filter, warc
+from shelfmark.llm import decontamination, mixing, near_duplicates, quality_model, quality_rules, substrings, toxicity, url_filter, warc
 from shelfmark.llm.storage import remainder, table
 from shelfmark.session import fresh_dir
 
@@ -14,12 +14,20 @@ def _scored(rows: DataFrame, score: str, held_out, threshold: float) -> DataFram
     return rows.select("doc_id", held_out.alias("held_out"), F.col(score).alias("score"), (F.col(score) >= threshold).cast("int").alias("predicted"))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), remainder(5) == 0
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"), remainder(5) != 0)
     return _scored(toxicity.score_toxicity(docs.select("doc_id", "text"), model), "toxicity", held_out, 0.5)
 
 
+def op3_substring_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_spans(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -47,7 +55,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op4_warc_revisits, op5_quality_model, op7_source_mix, op8_near_duplicates, op9_quality_rules, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_substring_spans, op4_warc_revisits, op5_quality_model, op7_source_mix, op8_near_duplicates, op9_quality_rules, op10_url_filter)}
 
 ORACLE = {
     "op4_warc_revisits": """
