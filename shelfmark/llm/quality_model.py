@@ -26,7 +26,7 @@ from shelfmark.llm.words import WordHashes, to_bytes
 FEATURES = 256  # random Fourier features
 RIDGE = 1.0
 SEED = 7
-PARTS = 16  # partial sums of the normal equations, one FEATURES x FEATURES matrix each
+PARTS = 16  # partial sums of the normal equations at most, one FEATURES x FEATURES matrix each
 CLIP = 4.0  # standard deviations
 FOLDS = 4  # one of them calibrates
 
@@ -111,7 +111,7 @@ def fit(train: DataFrame, label: str = "quality") -> Model | None:
             b += f.T @ batch[label].to_numpy(float)
         yield pd.DataFrame({"a": [a.ravel()], "b": [b]})
 
-    parts = train.where(~calibrates).repartition(PARTS, "doc_id").mapInPandas(sums, "a array<double>, b array<double>").toPandas()
+    parts = train.where(~calibrates).coalesce(PARTS).mapInPandas(sums, "a array<double>, b array<double>").toPandas()
     a = np.sum([np.asarray(x) for x in parts.a], axis=0).reshape(FEATURES + 1, -1)
     penalty = RIDGE * np.eye(FEATURES + 1) / FEATURES
     penalty[-1, -1] = 0  # the constant is free
