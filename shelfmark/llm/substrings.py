@@ -1,10 +1,11 @@
 """Substring deduplication by content-defined chunks.
 
-A gear rolling hash over the bytes of a text cuts it into chunks behind white space, wherever the
-hash of the last 16 bytes is small. A cut depends on those bytes alone, so a passage is cut alike
-wherever it stands and whatever was inserted before it. A chunk whose digest also occurs in a
-document with a smaller id is a duplicate there; an unbroken run of duplicates with RUN_WORDS
-words or more is a repeated span, which deduplication removes.
+A gear rolling hash over the bytes of a text, with A-Z in lower case and all white space alike,
+cuts it into chunks behind white space, wherever the hash of the last 16 bytes is small. A cut
+depends on those bytes alone, so a passage is cut alike wherever it stands and whatever was
+inserted before it. A chunk whose digest also occurs in a document with a smaller id is a
+duplicate there; an unbroken run of duplicates with RUN_WORDS words or more is a repeated span,
+which deduplication removes.
 
 RUN_WORDS is well below the 50 words of the passages looked for, as the ends of a passage, up to
 the first and from the last cut within it, belong to chunks that differ. Digests have 64 bits:
@@ -31,6 +32,7 @@ LONGEST = 2048  # bytes of a chunk
 _GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
+_ALIKE = bytes.maketrans(b"\t\n\v\f\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"     abcdefghijklmnopqrstuvwxyz")
 _LAST_ID = (1 << 63) - 1  # stands for a null id: after all others
 
 
@@ -66,9 +68,10 @@ def chunked(docs: DataFrame) -> DataFrame:
             for doc_id, text in zip(batch.doc_id, batch.text):
                 raw = to_bytes(text)
                 if raw:
-                    ends, words = cuts(raw)
+                    alike = raw.translate(_ALIKE)  # byte for byte, so places stay
+                    ends, words = cuts(alike)
                     at = ends.tolist()
-                    digests = [xxhash.xxh3_64_intdigest(raw[s:e]) for s, e in zip([0, *at], at)]
+                    digests = [xxhash.xxh3_64_intdigest(alike[s:e]) for s, e in zip([0, *at], at)]
                     rows.append((doc_id, xxhash.xxh3_64_intdigest(raw) >> 33, np.array(digests, np.uint64).view(np.int64), ends.astype(np.int32), words.astype(np.int32)))
             yield pd.DataFrame(rows, columns=["doc_id", "text_key", "digests", "ends", "words"])
 
