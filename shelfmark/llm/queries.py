@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import decontamination, mixing, near_duplicates, quality_model, quality_rules, substrings, toxicity, url_filter, warc
+from shelfmark.llm import decontamination, language_model, mixing, near_duplicates, quality_model, quality_rules, substrings, toxicity, url_filter, warc
 from shelfmark.llm.storage import remainder, table
 from shelfmark.session import fresh_dir
 
@@ -39,6 +39,11 @@ def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(scores, "score", remainder(4) == 2, 0.7)
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = language_model.score_texts(table(spark, sf_dir, "documents"), remainder(7) != 2)
+    return scores.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
@@ -55,7 +60,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_substring_spans, op4_warc_revisits, op5_quality_model, op7_source_mix, op8_near_duplicates, op9_quality_rules, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_toxicity, op3_substring_spans, op4_warc_revisits, op5_quality_model, op6_language_model, op7_source_mix, op8_near_duplicates, op9_quality_rules, op10_url_filter)}
 
 ORACLE = {
     "op4_warc_revisits": """

@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-KNOWN_WORDS = 1_000_000  # size at which a worker forgets the hashes it remembers
+KNOWN_WORDS = 500_000  # size at which a worker forgets the hashes it remembers
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
