@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import decontamination, mixing, near_duplicates, substrings, toxicity
-from shelfmark.llm.storage import keep, remainder, table
+from shelfmark.llm.storage import free_name, keep, one_row_per_id, remainder, table
 
 TOXIC = 0.5  # score from which a document is rejected
 
@@ -20,43 +20,39 @@ TOXIC = 0.5  # score from which a document is rejected
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score under TOXIC. The grammar is learned from the labelled rows
     of ``docs``, those held out from the toxicity query left aside; without labels all stay."""
-    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), remainder(5) != 0)
-    return toxicity.score_toxicity(docs, model).where(F.col("toxicity") < TOXIC).select(docs.columns)
+    model, score = toxicity.learn(docs, table(spark, sf_dir, "labels"), remainder(5) != 0), free_name(docs, "toxicity")
+    return toxicity.score_toxicity(docs, model, score).where(F.col(score) < TOXIC).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group. Of rows that repeat an id one stays; rows
     without id all stay."""
-    judged = near_duplicates.near_duplicates(docs)
-    kept = keep(judged.where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "kept")
-    with_id = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return with_id.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)
+    dropped = near_duplicates.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    return one_row_per_id(docs.join(keep(dropped, "dropped"), "doc_id", "left_anti").select(docs.columns))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that one with a smaller id has; n_chars is counted anew for
     texts that lost some, and documents that nothing is left of go."""
-    spans = keep(substrings.repeated_spans(docs), "spans")
-    cut = substrings.without_spans(docs.withColumn("_before", F.xxhash64("text")), spans)
-    changed = F.xxhash64("text") != F.col("_before")
-    cut = cut.where(~changed | (F.length("text") > 0))
-    return cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+    spans, changed = keep(substrings.repeated_spans(docs), "spans"), free_name(docs, "changed")
+    cut = substrings.without_spans(docs, spans, changed).where(~F.col(changed) | (F.length("text") > 0))
+    return cut.withColumn("n_chars", F.when(F.col(changed), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    judged = decontamination.with_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return judged.where(F.size("leaks") == 0).select(docs.columns)
+    leaks = free_name(docs, "leaks")
+    judged = decontamination.with_leaks(docs, table(spark, sf_dir, "benchmark"), into=leaks)
+    return judged.where(F.size(leaks) == 0).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with ``copies``, how often, and ``taken``, the words that
-    makes; documents with no copy go. Of rows that repeat an id one stays; rows without id go, as
-    the mix could not name them."""
-    once = docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    taken = keep(mixing.mix(once).where(F.col("copies") > 0).select("doc_id", F.col("copies").alias("_copies"), F.col("taken").alias("_taken")), "mix")
-    mixed = once.drop("copies", "taken").join(taken, "doc_id")
-    return mixed.withColumnRenamed("_copies", "copies").withColumnRenamed("_taken", "taken")
+    makes (own columns of these names are replaced); documents with no copy go. Of rows that
+    repeat an id one stays; rows without id go, as the mix could not name them."""
+    once = one_row_per_id(docs.where(F.col("doc_id").isNotNull()))
+    taken = keep(mixing.mix(once).where(F.col("copies") > 0).select("doc_id", "copies", "taken"), "mix")
+    return once.drop("copies", "taken").join(taken, "doc_id")
 
 
 STAGES = [

@@ -153,13 +153,13 @@ def blocks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS
             yield Block.of(ids, words, word_bits(docs, np.unique(np.concatenate(words))))
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` with the column ``leaks``: the benchmark items that the text holds, as structs of
+def with_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS, into: str = "leaks") -> DataFrame:
+    """``docs`` with the column ``into``: the benchmark items that the text holds, as structs of
     item_id, score (1 for a full copy), matched_words, start_word and end_word.
 
     Null and empty texts hold none, and an empty benchmark is held by none. Rows are judged one
     by one: null or repeated ids need no rule. Repeated items are found each. An own column of
-    ``docs`` named leaks is replaced.
+    ``docs`` of that name is replaced.
     """
     kind = "array<struct<item_id long, score double, matched_words int, start_word int, end_word int>>"
     def search(block: Block):
@@ -173,7 +173,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_W
 
     found = [search(block) for block in blocks(docs, benchmark, block_words)]
     none = F.array().cast(kind)
-    return keep(docs.withColumn("leaks", F.concat(none, *found)), "leaks")
+    return keep(docs.withColumn(into, F.concat(none, *found)), "leaks")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -21,3 +21,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def remainder(n: int, column: str = "doc_id"):
     """crc32 of the id as text, modulo n; null ids count as remainder 0."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n, F.lit(0))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it while ``df`` has such a column (case aside)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def one_row_per_id(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of those that share an id; rows without id all stay.
+
+    Only the rows of repeated ids are compared in full, so texts move only if there are any.
+    """
+    repeated = keep(docs.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key), "repeated-ids")
+    if repeated.isEmpty():
+        return docs
+    return docs.join(repeated, key, "left_anti").unionByName(docs.join(repeated, key, "left_semi").dropDuplicates([key])).select(docs.columns)

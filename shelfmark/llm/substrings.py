@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.storage import keep
+from shelfmark.llm.storage import free_name, keep
 from shelfmark.llm.words import mixed, to_bytes
 
 RUN_WORDS = 20
@@ -113,8 +113,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return spans.withColumn("doc_id", F.when(F.col("doc_id") < _LAST_ID, F.col("doc_id")))
 
 
-def without_spans(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the spans cut out of their texts; other columns stay."""
+def without_spans(docs: DataFrame, spans: DataFrame, changed: str) -> DataFrame:
+    """``docs`` with the spans cut out of ``text``, and the boolean column ``changed``."""
 
     @F.pandas_udf("long")
     def key(texts: pd.Series) -> pd.Series:
@@ -123,17 +123,19 @@ def without_spans(docs: DataFrame, spans: DataFrame, text: str = "text") -> Data
     @F.pandas_udf("string")
     def cut(texts: pd.Series, holes: pd.Series) -> pd.Series:
         out = []
-        for t, gaps in zip(texts, holes):
-            if gaps is not None and t is not None:
-                raw, at, parts = to_bytes(t), 0, []
+        for text, gaps in zip(texts, holes):
+            if gaps is not None and text is not None:
+                raw, at, parts = to_bytes(text), 0, []
                 for gap in sorted(gaps, key=lambda g: g["start_byte"]):
                     parts.append(raw[at : gap["start_byte"]])
                     at = gap["end_byte"]
-                t = b"".join([*parts, raw[at:]]).decode("utf-8", "surrogatepass").strip()
-            out.append(t)
+                text = b"".join([*parts, raw[at:]]).decode("utf-8", "surrogatepass").strip()
+            out.append(text)
         return pd.Series(out, dtype=object)
 
-    holes = spans.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.collect_list(F.struct("start_byte", "end_byte")).alias("_holes"))
-    keyed = docs.withColumn("_text_key", key(text))
-    joined = keyed.join(holes, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left")
-    return joined.withColumn(text, F.when(F.col("_holes").isNotNull(), cut(text, "_holes")).otherwise(F.col(text))).drop("_id", "_key", "_text_key", "_holes")
+    text_key, holes = free_name(docs, "_text_key"), free_name(docs, "_holes")
+    gaps = spans.groupBy(F.col("doc_id").alias("_of"), F.col("text_key").alias("_of_text")).agg(F.collect_list(F.struct("start_byte", "end_byte")).alias("_gaps"))
+    keyed = docs.withColumn(text_key, key("text"))
+    joined = keyed.join(gaps, keyed["doc_id"].eqNullSafe(gaps["_of"]) & (keyed[text_key] == gaps["_of_text"]), "left")
+    joined = joined.select(*[keyed[c] for c in docs.columns], gaps["_gaps"].alias(holes))
+    return joined.withColumns({changed: F.col(holes).isNotNull(), "text": F.when(F.col(holes).isNotNull(), cut("text", holes)).otherwise(F.col("text"))}).drop(holes)

@@ -206,8 +206,8 @@ def learn(docs: DataFrame, labels: DataFrame, learns, rows: int = TRAIN_ROWS) ->
     return fit(labelled(docs.select("doc_id", "text"), labels, "toxic", learns, "toxicity", rows))
 
 
-def score_toxicity(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with the column ``toxicity`` (0 to 1); an own column of that name is replaced.
+def score_toxicity(docs: DataFrame, model: Model | None, into: str = "toxicity") -> DataFrame:
+    """``docs`` with the column ``into`` (0 to 1); an own column of that name is replaced.
 
     Null and empty texts have no clause and get the score of clean text. Without a model (no
     labels of both kinds) nothing is known and all scores are 0. Each row is scored by itself,
@@ -223,4 +223,4 @@ def score_toxicity(docs: DataFrame, model: Model | None) -> DataFrame:
             else:
                 yield pd.Series(model.scores(np.stack([clauses(t, symbols) for t in texts])))
 
-    return docs.withColumn("toxicity", judge("text"))
+    return docs.withColumn(into, judge("text"))
