@@ -83,7 +83,7 @@ def counts_of(level: np.ndarray) -> np.ndarray:
 
 
 def _spots(h: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
-    a = mixed(h + np.uint64(level) * _ONE)
+    a = mixed(h + np.array([level], np.uint64) * _ONE)
     b = mixed(a + _TWO) | np.uint64(1)
     for i in range(PROBES):
         yield ((a + np.uint64(i) * b) % np.uint64(bits)).astype(np.int64)

@@ -4,10 +4,11 @@
    keeps, of the least hash in it, the number of leading zeros and the mantissa bits behind them.
 2. Texts with equal shingle sets form a class; the least id stands for it from here on.
 3. Empty registers borrow from hashed other ones, and runs of registers are hashed to band keys.
-   Representatives that share a band key are candidates. Keys shared by few are paired directly;
-   in larger groups a growing number of pivots is compared with the members that no link has
-   joined to them yet, so a group of near copies costs about its size and not its square.
-4. A candidate pair is dropped if its collision-corrected Jaccard estimate lies more than six
+   Representatives that share a band key are candidates. Keys shared by few are paired directly.
+   In larger groups the member that shares most bands with others is compared with all first,
+   then a growing number of pivots with the members that no link has joined to them yet; so a
+   group of near copies costs about its size and not its square.
+4. A candidate pair is dropped if its collision-corrected Jaccard estimate lies more than five
    standard deviations below the threshold, and else confirmed on the full shingle sets.
 5. Links are closed to components.
 
@@ -37,7 +38,10 @@ ROWS, BANDS = 6, 42
 EMPTY = 0xFFFF
 TRIES = 64  # other registers that an empty one asks before it takes the next filled one
 FEW = 32  # members of a band key up to which all pairs are compared at once
-PIVOTS = 8  # of a larger band key in the first round; four times as many in each further one
+PIVOTS = 32  # of a larger band key in the second round; eight times as many in each further one
+SIGMAS = 5  # standard deviations by which an estimate may miss the threshold
+SMALL_SET = 256  # shingles of a set that pivots are compared with itself
+HINT_BITS = 4  # low bits of the mantissas that pivots are compared by
 BROADCAST_IDS = 1_000_000  # candidate ids (8 MB) up to which they are broadcast
 
 _DONORS = (mixed(np.arange(TRIES * REGISTERS, dtype=np.uint64) + np.uint64(1)) >> np.uint64(64 - PRECISION_BITS)).astype(np.int64).reshape(TRIES, REGISTERS)
@@ -134,15 +138,20 @@ def estimate(a: Column, b: Column, n_a: Column, n_b: Column) -> tuple[Column, Co
     return (same - chance) / used, used
 
 
+def _near(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
+    """The estimate is not SIGMAS standard deviations below the threshold."""
+    jaccard, used = estimate(a, b, n_a, n_b)
+    t = PERCENT / 100
+    return jaccard >= t - SIGMAS * F.sqrt(t * (1 - t) / used)
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The links among ``pairs`` (a, b): a, b."""
     pairs = keep(pairs.select("a", "b").distinct(), "pairs")
     sets = keep(with_sets(docs, keep(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidates")), "sets")
     side = lambda s, what: sets.select(F.col("doc_id").alias(s), F.size("shingles").alias(f"n_{s}"), F.col(what).alias(f"x_{s}"))
-    jaccard, used = estimate(F.col("x_a"), F.col("x_b"), F.col("n_a"), F.col("n_b"))
-    t = PERCENT / 100
     near = pairs.join(side("a", "registers"), "a").join(side("b", "registers"), "b")
-    near = keep(near.where(jaccard >= t - 6 * F.sqrt(t * (1 - t) / used)).select("a", "b"), "near")
+    near = keep(near.where(_near(F.col("x_a"), F.col("x_b"), F.col("n_a"), F.col("n_b"))).select("a", "b"), "near")
     common = F.size(F.array_intersect("x_a", "x_b"))
     full = near.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
     return full.where(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct()
@@ -167,26 +176,72 @@ def linked(docs: DataFrame, sketches: DataFrame) -> DataFrame:
     labels = components(links)
 
     active = keep(members.where(F.col("members") > FEW).drop("members"), "large-bands")
-    pivots = PIVOTS
-    while not active.isEmpty():
+    drawn_of, hints = 0, None
+    while True:
         # members of a band that is one component have nothing more to find in it
         at = active.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
         open_ = at.groupBy("band").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").drop("low", "high")
         at = keep(at.join(open_, "band"), "large-bands")
         if at.isEmpty():
-            break
-        drawn = F.pmod(F.xxhash64("id", F.lit(pivots)), F.lit(1 << 30)) < F.lit(pivots * float(1 << 30)) / F.col("members")
-        at = at.withColumn("pivot", drawn)
-        probe = at.where("pivot").select("band", F.col("id").alias("p"), F.col("n").alias("n_p"), F.col("component").alias("component_p"))
-        pairs = probe.join(at, "band").where((F.col("component_p") != F.col("component")) & _alike("n_p", "n"))
-        found = keep(confirmed(pairs.select(F.least("p", "id").alias("a"), F.greatest("p", "id").alias("b")), docs), "confirmed")
+            return labels
+        if hints is None:
+            hints = keep(hinted(docs, at.select(F.col("id").alias("doc_id")).distinct()), "hints")
+        if drawn_of:
+            at = at.withColumn("pivot", F.pmod(F.xxhash64("id", F.lit(drawn_of)), F.lit(1 << 30)) < F.lit(drawn_of * float(1 << 30)) / F.col("members"))
+        else:
+            # the text that most others were made from shares most bands with them
+            weight = at.groupBy("id").agg(F.sum("members").alias("weight"))
+            heart = at.join(weight, "id").groupBy("band").agg(F.max(F.struct("weight", -F.col("id"))).alias("most")).select("band", (-F.col("most.col2")).alias("p"))
+            at = at.join(heart, "band").withColumn("pivot", F.col("id") == F.col("p")).drop("p")
+        at = keep(at.drop("members"), "large-bands")
+        rows = at.join(hints, "id")
+        probe = rows.where("pivot").drop("pivot")
+        probe = probe.select("band", *[F.col(c).alias(f"{c}_p") for c in probe.columns if c != "band"])
+        pairs = probe.join(rows, "band").where((F.col("component_p") != F.col("component")) & _alike("n_p", "n") & _may_link())
+        found = keep(confirmed(pairs.select(F.least("id_p", "id").alias("a"), F.greatest("id_p", "id").alias("b")), docs), "confirmed")
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
         # a pivot has met all others of its band
         active = at.where(~F.col("pivot")).select("band", "id", "n")
-        pivots *= 4
-    return labels
+        drawn_of = drawn_of * 8 or PIVOTS
+
+
+def hinted(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, used (registers that the text itself fills), planes (HINT_BITS bit planes of the filled
+    registers, as 64-bit words), few (the shingles of a text that has at most SMALL_SET)."""
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHashes()
+        for batch in batches:
+            sets = [shingle_set(t, known) for t in batch.text]
+            if sets:
+                raw = np.stack([registers(h) for h in sets])
+                bits = filled(raw)[:, None, :] >> np.arange(HINT_BITS, dtype=np.uint16)[:, None] & 1
+                planes = np.packbits(bits.astype(bool), axis=2).reshape(len(sets), -1).view(np.int64)
+                yield pd.DataFrame({"id": batch.doc_id, "used": (raw != EMPTY).sum(axis=1).astype(np.int32), "planes": list(planes), "few": [signed(h) if len(h) <= SMALL_SET else None for h in sets]})
+
+    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(read, "id long, used int, planes array<long>, few array<long>")
+
+
+def _may_link() -> Column:
+    """Of a pivot (columns ending in _p) and a member: the registers agree in the hint bits often
+    enough, and small sets overlap enough. Hint bits that agree by chance are allowed for."""
+    words = REGISTERS // 64
+    differ = F.lit(0)
+    for i in range(words):
+        any_ = F.lit(0).cast("long")
+        for plane in range(HINT_BITS):
+            at = F.lit(plane * words + i)
+            any_ = any_.bitwiseOR(F.get("planes_p", at).bitwiseXOR(F.get("planes", at)))
+        differ = differ + F.bit_count(any_)
+    t = PERCENT / 100
+    jaccard = 1 - differ / (REGISTERS * (1 - 2.0**-HINT_BITS))
+    alike = jaccard >= t - SIGMAS * F.sqrt(t * (1 - t) / F.least("used_p", "used"))
+    common = F.size(F.array_intersect("few_p", "few"))
+    both = F.col("few_p").isNotNull() & F.col("few").isNotNull()
+    return F.when(alike, F.when(both, 100 * common >= PERCENT * (F.col("n_p") + F.col("n") - common)).otherwise(True)).otherwise(False)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

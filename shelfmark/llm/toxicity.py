@@ -185,10 +185,10 @@ class Model(NamedTuple):
 
 
 def fit(train: DataFrame, label: str = "toxic") -> Model | None:
-    """``train``: text and label. None without rows of both labels."""
+    """``train``: text and label. None if there is nothing to learn: without rows of both labels,
+    or without any word that tells them apart."""
     lexicon = learn_lexicon(train, label)
-    kinds = train.agg(F.min(label), F.max(label)).first()
-    if kinds[0] is None or kinds[0] == kinds[1]:
+    if not lexicon:
         return None
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -209,8 +209,8 @@ def learn(docs: DataFrame, labels: DataFrame, learns, rows: int = TRAIN_ROWS) ->
 def score_toxicity(docs: DataFrame, model: Model | None, into: str = "toxicity") -> DataFrame:
     """``docs`` with the column ``into`` (0 to 1); an own column of that name is replaced.
 
-    Null and empty texts have no clause and get the score of clean text. Without a model (no
-    labels of both kinds) nothing is known and all scores are 0. Each row is scored by itself,
+    Null and empty texts have no clause and get the score of clean text. Without a model
+    (nothing to learn) all scores are 0. Each row is scored by itself,
     so null ids and repeated rows need no rule.
     """
 
