@@ -54,7 +54,7 @@ FROM (SELECT o_orderkey, o_orderpriority,
       FROM orders)"""
 
 CTES["raw_customers"] = """
-SELECT k * 2 + copy AS src_seq, 'CUST_' || lpad(CAST(k AS VARCHAR), 12, '0') AS customer_id,
+SELECT k * 2 + copy AS src_seq, 'CUST_' || lpad(CAST(k AS VARCHAR), CAST(greatest(12, length(CAST(k AS VARCHAR))) AS INTEGER), '0') AS customer_id,
   CASE WHEN copy = 1 THEN nm || ' Dup' ELSE nm END AS name,
   CASE WHEN k % 100 = 7 THEN NULL WHEN k % 30 = 2 THEN 'M' WHEN k % 30 = 4 THEN 'FEMALE'
        WHEN k % 90 = 6 THEN 'n/a' WHEN k % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
@@ -75,7 +75,7 @@ FROM (
 
 CTES["raw_products"] = """
 SELECT k * 2 + copy AS src_seq,
-  'PROD_' || lpad(CAST(k - copy AS VARCHAR), 12, '0') AS product_id, p_name AS product_name,
+  'PROD_' || lpad(CAST(k - copy AS VARCHAR), CAST(greatest(12, length(CAST(k - copy AS VARCHAR))) AS INTEGER), '0') AS product_id, p_name AS product_name,
   CASE WHEN copy = 1 THEN p_type WHEN k % 100 = 7 THEN NULL
        WHEN k % 50 = 3 THEN ' ' || lower(p_type) ELSE p_type END AS category,
   CASE WHEN k % 400 = 11 THEN 0.00::DECIMAL(18,2) ELSE list_price END AS price,
@@ -91,14 +91,14 @@ FROM (
   FROM part)"""
 
 CTES["raw_orders"] = """
-SELECT (l_partkey * 4194304 + l_suppkey % 4194304) * 64 + CAST(l_quantity AS INTEGER) AS src_seq,
-  'ORD_' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '_' || CAST(l_linenumber AS VARCHAR) ||
+SELECT CAST((CAST(l_partkey AS DECIMAL(19,0)) * 1000000000000 + l_suppkey) * 64 + CAST(l_quantity AS INTEGER) AS DECIMAL(38,0)) AS src_seq,
+  'ORD_' || lpad(CAST(l_orderkey AS VARCHAR), CAST(greatest(12, length(CAST(l_orderkey AS VARCHAR))) AS INTEGER), '0') || '_' || CAST(l_linenumber AS VARCHAR) ||
     CASE WHEN l_orderkey % 40 = 0 THEN ''
          ELSE '_' || CAST(l_partkey AS VARCHAR) || '_' || CAST(l_suppkey AS VARCHAR)
               || '_' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS order_id,
   CASE WHEN l_orderkey % 997 = 5 THEN 'CUST_GHOST'
-       ELSE 'CUST_' || lpad(CAST(custkey AS VARCHAR), 12, '0') END AS customer_id,
-  'PROD_' || lpad(CAST(l_partkey AS VARCHAR), 12, '0') AS product_id,
+       ELSE 'CUST_' || lpad(CAST(custkey AS VARCHAR), CAST(greatest(12, length(CAST(custkey AS VARCHAR))) AS INTEGER), '0') END AS customer_id,
+  'PROD_' || lpad(CAST(l_partkey AS VARCHAR), CAST(greatest(12, length(CAST(l_partkey AS VARCHAR))) AS INTEGER), '0') AS product_id,
   order_date,
   CAST(CASE WHEN (l_orderkey * 7 + l_linenumber) % 300 = 1 THEN -1 - CAST(l_quantity AS INTEGER) % 3
        WHEN (l_orderkey * 7 + l_linenumber) % 600 = 2 THEN 0

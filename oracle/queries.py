@@ -12,7 +12,7 @@ _PROD = f"src_seq, product_id, product_name, category, {dbl('price')} AS price,
 _ORD = "order_id, customer_id, product_id, order_date, quantity, payment_method, order_status"
 Q["cln_customers"] = f"SELECT {_CUST} FROM clean_customers"
 Q["cln_products"] = f"SELECT {_PROD} FROM clean_products"
-Q["cln_orders"] = f"SELECT src_seq, {_ORD} FROM clean_orders"
+Q["cln_orders"] = f"SELECT CAST(src_seq AS VARCHAR) AS src_seq, {_ORD} FROM clean_orders"
 Q["cln12_customer_stats"] = """SELECT count(*) AS input_rows,
   count(*) FILTER (is_age_imputed) AS ages_imputed, count(*) FILTER (gender = 'Unknown') AS unknown_genders,
   (SELECT med FROM age_median) AS median_imputed_age FROM clean_customers"""
@@ -27,7 +27,7 @@ Q["cln12_status_distribution"] = (
 )
 Q["val1_customers"] = f"SELECT {_CUST}, rejection_reason FROM checked_customers"
 Q["val3_products"] = f"SELECT {_PROD}, rejection_reason FROM checked_products"
-Q["val4_orders"] = f"SELECT src_seq, {_ORD}, rejection_reason FROM checked_orders"
+Q["val4_orders"] = f"SELECT CAST(src_seq AS VARCHAR) AS src_seq, {_ORD}, rejection_reason FROM checked_orders"
 Q["val6_valid_orders"] = f"SELECT {_ORD} FROM vo"
 Q["val7_dead_letters"] = "SELECT * FROM dlq"
 Q["val8_reason_counts"] = (
@@ -522,6 +522,14 @@ FROM (SELECT {_cm(t)} FROM score_table)"""
 )
 
 # ---------------------------------------------------------------------- sources and sinks
+_ANALYTICS = """customer_id name gender age city state signup_date total_orders completed_orders total_units active_months
+first_order_date last_order_date last_completed_order_date recency_days account_age_days customer_lifetime_days
+total_gross_revenue total_revenue total_profit average_order_value order_frequency_monthly gross_margin_pct refund_count
+refund_amount refund_rate cancellation_count cancellation_amount cancellation_rate recent_revenue recent_order_count
+historical_revenue historical_order_count recent_revenue_ratio recent_order_ratio revenue_trend r_score f_score m_score
+rfm_score customer_segment risk_score risk_level key_risk_driver recommended_action""".split()
+_MONEY = """total_gross_revenue total_revenue total_profit refund_amount cancellation_amount recent_revenue
+historical_revenue""".split()
 Q["src1_csv_round_trip"] = f"SELECT {_ORD} FROM raw_orders"
 Q["src2_extract_counts"] = """SELECT TIMESTAMP '2001-08-02 00:00:00' AS extracted_at, (SELECT count(*) FROM raw_customers) AS customers,
   (SELECT count(*) FROM raw_products) AS products, (SELECT count(*) FROM raw_orders) AS orders"""
@@ -537,7 +545,11 @@ SELECT i AS pipeline_run_id, t AS run_timestamp, 'parquet' AS database_type, tot
   {pct('total_valid', 'total_extracted')} AS pass_rate_pct
 FROM s JOIN (VALUES ('RUN_A', TIMESTAMP '2001-08-01 00:00:00'), ('RUN_B', TIMESTAMP '2001-08-02 00:00:00')) x(i, t) ON true"""
 Q["snk6_star_export"] = f"""SELECT 'dim_date' AS table_name, count(*) AS rows_loaded FROM {_D} UNION ALL SELECT 'dim_products', count(*) FROM vp
-UNION ALL SELECT 'dim_customers', count(*) FROM vc UNION ALL SELECT 'fact_orders', count(*) FROM vo"""
+UNION ALL SELECT 'dim_customers', count(*) FROM vc UNION ALL SELECT 'fact_orders', count(*) FROM vo
+UNION ALL SELECT 'dim_customer_analytics', count(*) FROM vc"""
+# The stored customer table; SQL cannot fit the model, so its probability counts as present or not.
+Q["snk5_customer_analytics"] = f"""SELECT {", ".join(dbl(c) + " AS " + c if c in _MONEY else c for c in _ANALYTICS)},
+  TRUE AS has_probability FROM scored"""
 Q["src5_star_import"] = f"""SELECT order_month AS month_year, customer_state AS state, {dbl('SUM(net_revenue)')} AS net_revenue
 FROM v GROUP BY order_month, customer_state"""
 Q["src4_sql_over_view"] = f"""SELECT customer_state, product_category, count(order_id) AS orders, {dbl('SUM(net_revenue)')} AS net_revenue

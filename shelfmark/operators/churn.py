@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -72,7 +73,9 @@ def _assembler() -> VectorAssembler:
 def fit_logistic(train: DataFrame) -> PipelineModel:
     """Scaler and class weights come from the training rows only.
 
-    The penalty 1/n makes the mean-loss objective equal a sum-loss with unit C.
+    The penalty 1/n makes the mean-loss objective equal a sum-loss with unit C. The scaler
+    divides by the n-1 deviation; (n-1)/n of the penalty makes the fit that of inputs scaled by
+    the population deviation.
     """
     weighted, n = _balanced(train)
     return Pipeline(
@@ -80,7 +83,7 @@ def fit_logistic(train: DataFrame) -> PipelineModel:
             _assembler(),
             StandardScaler(inputCol="inputs", outputCol="features", withMean=True, withStd=True),
             LogisticRegression(
-                labelCol=LABEL, weightCol="class_weight", maxIter=1000, regParam=1.0 / n,
+                labelCol=LABEL, weightCol="class_weight", maxIter=1000, regParam=(n - 1.0) / n**2,
                 elasticNetParam=0.0, standardization=False,
             ),
         ]
@@ -193,8 +196,12 @@ def _feature_table(spark: SparkSession, values: list[float], name: str) -> DataF
 
 
 def coefficients(model: PipelineModel, spark: SparkSession) -> DataFrame:
-    """Standardised coefficients, largest (most churn) first."""
-    return _feature_table(spark, model.stages[-1].coefficients.toArray().tolist(), "coefficient")
+    """Coefficients of inputs scaled by the population deviation, largest (most churn) first."""
+    fitted = model.stages[-1]
+    penalty = fitted.getRegParam()  # (n - 1) / n**2
+    n = (1 + math.sqrt(max(0.0, 1 - 4 * penalty))) / (2 * penalty)
+    scale = math.sqrt((n - 1) / n)
+    return _feature_table(spark, [scale * c for c in fitted.coefficients.toArray()], "coefficient")
 
 
 def importances(model: PipelineModel, spark: SparkSession) -> DataFrame:

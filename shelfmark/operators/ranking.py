@@ -98,25 +98,11 @@ def value_ranks(df: DataFrame, metrics: list[str], weights: dict[str, Column] |
     ).withColumn("pct_rank", F.col("avg_rank") / F.col("total"))
 
 
-HOT_SHARE = 1000
-
-
 def percent_rank_average(df: DataFrame, metric: str, name: str = "pct_rank") -> DataFrame:
     """Attach the average-rank percentile of ``metric`` to every row (NULL stays NULL).
 
-    A value held by at least 1/1000 of the rows is hot; there are at most 1000 of them, so
-    they are broadcast. All other values go through an ordinary join on the value.
+    The ranks have one row per value, so a value that many rows share is many rows on one side
+    of the join only, and AQE can split them.
     """
-    ranks = durable(
-        value_ranks(df, [metric]).select(
-            F.col("value").alias("_value"), F.col("pct_rank").alias(name), "n_equal", "total"
-        )
-    )
-    is_hot = F.col("n_equal") * HOT_SHARE >= F.col("total")
-    hot = ranks.where(is_hot).select("_value", name)
-    cold = ranks.where(~is_hot).select("_value", name)
-    key = F.col(metric).cast("double")
-    tagged = df.join(F.broadcast(hot), key == F.col("_value"), "left")
-    done = tagged.where(F.col("_value").isNotNull() | F.col(metric).isNull()).drop("_value")
-    rest = tagged.where(F.col("_value").isNull() & F.col(metric).isNotNull()).drop("_value", name)
-    return done.unionByName(rest.join(cold, key == F.col("_value")).drop("_value"))
+    ranks = value_ranks(df, [metric]).select(F.col("value").alias("_value"), F.col("pct_rank").alias(name))
+    return df.join(ranks, F.col(metric).cast("double") == F.col("_value"), "left").drop("_value")

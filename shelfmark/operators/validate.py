@@ -110,7 +110,8 @@ def dead_letters(
     """Rejected rows in the dead-letter layout; the payload is the cleaned row as JSON."""
     id_col = id_col or ID_COLUMNS[table_name]
     payload = [c for c in checked.columns if c not in (REASON, SEQ)]
-    identifier = F.col(id_col).cast("string") if id_col in checked.columns else F.lit("UNKNOWN")
+    known = F.col(id_col).cast("string") if id_col in checked.columns else F.lit(None)
+    identifier = F.coalesce(known, F.lit("UNKNOWN"))
     return checked.where(F.col(REASON).isNotNull()).select(
         F.lit(table_name).alias("table_name"),
         identifier.alias("record_identifier"),

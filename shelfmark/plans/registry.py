@@ -39,25 +39,35 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+RETAIL = ("region", "nation", "customer", "part", "orders", "lineitem")
+
+
+def _state(spark: SparkSession, sf_dir: str) -> int:
+    """A number that changes with the path, length or time of any input file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([f"{sf_dir}/{t}.parquet" for t in RETAIL])
+    return files.agg(F.sum(F.xxhash64("path", "length", "modificationTime") % (1 << 40))).first()[0]
+
+
 @lru_cache(maxsize=4)
-def _etl(application: str, spark: SparkSession, sf_dir: str) -> Etl:
+def _etl(application: str, state: int, spark: SparkSession, sf_dir: str) -> Etl:
     return Etl(raw_tables(spark, sf_dir), RUN_TIMESTAMP)
 
 
 def etl_of(spark: SparkSession, sf_dir: str) -> Etl:
-    """The cleaned and validated tables of a folder, built once per application."""
-    return _etl(spark.sparkContext.applicationId, spark, sf_dir)
+    """The cleaned and validated tables of a folder, built once per application and state of its
+    files."""
+    return _etl(spark.sparkContext.applicationId, _state(spark, sf_dir), spark, sf_dir)
 
 
 @lru_cache(maxsize=4)
-def _scored(application: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def _scored(application: str, state: int, spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = scored_customers(etl_of(spark, sf_dir).valid)
     return stored(scored, fresh_dir(spark, "scored"))
 
 
 def scored_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with features, segment and risk, stored once per application."""
-    return _scored(spark.sparkContext.applicationId, spark, sf_dir)
+    return _scored(spark.sparkContext.applicationId, _state(spark, sf_dir), spark, sf_dir)
 
 
 def _add(name: str, build: Callable[[Etl], DataFrame]) -> None:
@@ -76,7 +86,14 @@ def _add_scored(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
 # ------------------------------------------------------------- cleaning and validation
 _add("cln_customers", lambda e: e.cleaned.customers)
 _add("cln_products", lambda e: e.cleaned.products)
-_add("cln_orders", lambda e: e.cleaned.orders)
+
+
+def _seq_as_text(orders: DataFrame) -> DataFrame:
+    """The wide sequence number as text: a double could not hold it."""
+    return orders.withColumn("src_seq", F.col("src_seq").cast("string"))
+
+
+_add("cln_orders", lambda e: _seq_as_text(e.cleaned.orders))
 _add("cln12_customer_stats",
      lambda e: clean.customer_clean_stats(e.cleaned.customers, e.raw.customers))
 _add("cln12_product_stats", lambda e: clean.product_clean_stats(e.cleaned.products))
@@ -85,7 +102,7 @@ _add("cln12_status_distribution", lambda e: clean.status_distribution(e.cleaned.
 
 _add("val1_customers", lambda e: e.checked.customers)
 _add("val3_products", lambda e: e.checked.products)
-_add("val4_orders", lambda e: e.checked.orders)
+_add("val4_orders", lambda e: _seq_as_text(e.checked.orders))
 _add("val6_valid_orders", lambda e: e.valid.orders)
 _add("val7_dead_letters", lambda e: e.rejected.drop("raw_payload"))
 _add("val8_reason_counts", lambda e: e.reasons)
@@ -246,13 +263,13 @@ _add_valid("chn6_rule_score_thresholds", lambda t: churn.threshold_table(_rule_s
 
 
 @lru_cache(maxsize=4)
-def _fitted(application: str, spark: SparkSession, sf_dir: str):
+def _fitted(application: str, state: int, spark: SparkSession, sf_dir: str):
     """Fitted models of a folder, shared by the model queries of one application."""
     return PLAN.fit(etl_of(spark, sf_dir).valid)
 
 
 def _models(spark: SparkSession, sf_dir: str):
-    return _fitted(spark.sparkContext.applicationId, spark, sf_dir)
+    return _fitted(spark.sparkContext.applicationId, _state(spark, sf_dir), spark, sf_dir)
 
 
 def _register(name: str):
@@ -309,6 +326,17 @@ def _chn9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return money_as_double(_analytics(spark, sf_dir))
 
 
+@_register("snk5_customer_analytics")
+def _snk5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer table written as file and as catalog table; the table read back, with the
+    model's probability reduced to whether it is one."""
+    table, out = _analytics(spark, sf_dir), fresh_dir(spark, "analytics")
+    writers.write_csv(table, f"{out}/customer_analytics.csv")
+    name = writers.save_table(table, f"{_table_prefix()}customer_analytics", f"{out}/table")
+    valid = F.coalesce(F.col(churn.PROBABILITY).between(0, 1), F.lit(False))
+    return money_as_double(spark.table(name).withColumn("has_probability", valid).drop(churn.PROBABILITY))
+
+
 @_register("msr26_scored_risk_measures")
 def _msr26(spark: SparkSession, sf_dir: str) -> DataFrame:
     return money_as_double(measures.risk_measures(_analytics(spark, sf_dir)))
@@ -410,6 +438,7 @@ def _star_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows loaded per star table after export to CSV and catalog tables."""
     t = etl_of(spark, sf_dir).valid
     tables = {
+        "dim_customer_analytics": _analytics(spark, sf_dir),
         "dim_date": _dates(t),
         "dim_products": star.dim_products(t.products),
         "dim_customers": star.dim_customers(t.customers),

@@ -296,10 +296,10 @@ def customer_lifecycle(t: Tables) -> DataFrame:
 def _leading(df: DataFrame, t: Tables, limit: int, *attributes: Column | str) -> DataFrame:
     """The ``limit`` customers with the most revenue, then their attributes.
 
-    Only those few rows are broadcast to the customer scan.
+    Spark broadcasts those rows if their size allows; ``limit`` is the caller's.
     """
     best = df.orderBy(F.desc("revenue"), "customer_id").limit(limit)
-    return t.customers.select("customer_id", *attributes).join(F.broadcast(best), "customer_id")
+    return t.customers.select("customer_id", *attributes).join(best, "customer_id")
 
 
 def customer_ltv(t: Tables, snapshot: str, limit: int = 100) -> DataFrame:

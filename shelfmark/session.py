@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +27,7 @@ def build_session(app_name: str = "shelfmark", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only for a local master without that setting.
+    Without that setting it is a folder in the warehouse, which executors share as well.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,9 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="shelfmark-"))
+        sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shelfmark-work")
     return sc.getCheckpointDir().rstrip("/")
 
 

@@ -8,10 +8,8 @@ and no window is needed.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -27,7 +25,9 @@ class Tables:
 
 
 def _key(prefix: str, key: str) -> str:
-    return f"concat('{prefix}', lpad(cast({key} as string), 12, '0'))"
+    """Padded to 12 digits at least; ``lpad`` alone would also cut longer keys."""
+    text = f"cast({key} as string)"
+    return f"concat('{prefix}', if(length({text}) < 12, lpad({text}, 12, '0'), {text}))"
 
 
 def _sales_orders(orders: DataFrame) -> DataFrame:
@@ -123,9 +123,10 @@ def raw_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         "l_linestatus = 'O' as is_open",
     )
     # Lines of every 40th order keep the repeated (order, line) pairs of the source as
-    # repeated ids; elsewhere part, supplier and quantity make the id unique.
+    # repeated ids; elsewhere part, supplier and quantity make the id unique. The sequence is a
+    # decimal: part and supplier keys up to 10**12 neither collide nor overflow in it.
     return lines.join(heads, lines["ok"] == heads["o_orderkey"]).selectExpr(
-        "(pk * 4194304 + sk % 4194304) * 64 + qty as src_seq",
+        "cast((cast(pk as decimal(19,0)) * 1000000000000 + sk) * 64 + qty as decimal(38,0)) as src_seq",
         f"""concat_ws('_', {_key('ORD_', 'ok')}, cast(ln as string),
               if(ok % 40 = 0, null, concat_ws('_', pk, sk, qty))) as order_id""",
         f"if(ok % 997 = 5, 'CUST_GHOST', {_key('CUST_', 'custkey')}) as customer_id",
@@ -146,35 +147,13 @@ def raw_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=256)
-def _schema(application: str, spark: SparkSession, path: str) -> StructType:
-    """Footer schema of a driver table, read once per application."""
-    return spark.read.parquet(path).schema
-
-
-@lru_cache(maxsize=256)
-def _splits(application: str, spark: SparkSession, path: str) -> int:
-    return spark.read.parquet(path).rdd.getNumPartitions()
-
-
 def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Read the driver parquet tables and derive the raw retail tables, lazily.
-
-    A line table with fewer splits than the cluster has cores (a single small file) is
-    spread over the cores first; with enough splits the scan is left as it is.
-    """
-    application = spark.sparkContext.applicationId
-    cores = spark.sparkContext.defaultParallelism
-
-    def path(name: str) -> str:
-        return f"{sf_dir}/{name}.parquet"
+    """Read the driver parquet tables and derive the raw retail tables, lazily."""
 
     def table(name: str) -> DataFrame:
-        return spark.read.schema(_schema(application, spark, path(name))).parquet(path(name))
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     orders, lineitem = table("orders"), table("lineitem")
-    if _splits(application, spark, path("lineitem")) < cores:
-        lineitem = lineitem.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey")
     return Tables(
         customers=raw_customers(table("customer"), table("nation"), table("region"), orders),
         products=raw_products(table("part")),
