@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.components import components
 from shelfmark.llm.storage import keep
-from shelfmark.llm.words import WordHashes, mixed, signed, to_bytes, windows
+from shelfmark.llm.words import WordHashes, mixed, signed, slices, to_bytes, windows
 
 WORDS = 5
 PERCENT = 85
@@ -97,7 +97,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             n, d1, d2, large = [], [], [], {}
             for i, text in enumerate(batch.text):
                 h = shingle_set(text, known)
@@ -121,7 +121,7 @@ def with_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             sets = [shingle_set(t, known) for t in batch.text]
             yield pd.DataFrame({"doc_id": batch.doc_id, "shingles": [signed(h) for h in sets], "registers": [registers(h).astype(np.int32) for h in sets]})
 
@@ -214,7 +214,7 @@ def hinted(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             sets = [shingle_set(t, known) for t in batch.text]
             if sets:
                 raw = np.stack([registers(h) for h in sets])

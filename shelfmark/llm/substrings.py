@@ -19,11 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.storage import free_name, keep
-from shelfmark.llm.words import mixed, to_bytes
+from shelfmark.llm.words import mixed, slices, to_bytes
 
 RUN_WORDS = 20
 CUT_SHARE = 5  # one of so many words ends a chunk, on average
@@ -58,24 +58,28 @@ def cuts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return ends, np.cumsum(begins)[ends - 1]
 
 
+def _text_key() -> Column:
+    return F.shiftrightunsigned(F.xxhash64("text"), 33)
+
+
 def chunked(docs: DataFrame) -> DataFrame:
     """doc_id, text_key (31 bits of the text's hash), digests, ends, words (running): a row per
     row of ``docs`` with text."""
 
     def chunk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             rows = []
-            for doc_id, text in zip(batch.doc_id, batch.text):
+            for doc_id, key, text in zip(batch.doc_id, batch.text_key, batch.text):
                 raw = to_bytes(text)
                 if raw:
                     alike = raw.translate(_ALIKE)  # byte for byte, so places stay
                     ends, words = cuts(alike)
                     at = ends.tolist()
                     digests = [xxhash.xxh3_64_intdigest(alike[s:e]) for s, e in zip([0, *at], at)]
-                    rows.append((doc_id, xxhash.xxh3_64_intdigest(raw) >> 33, np.array(digests, np.uint64).view(np.int64), ends.astype(np.int32), words.astype(np.int32)))
+                    rows.append((doc_id, key, np.array(digests, np.uint64).view(np.int64), ends.astype(np.int32), words.astype(np.int32)))
             yield pd.DataFrame(rows, columns=["doc_id", "text_key", "digests", "ends", "words"])
 
-    return docs.select(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("doc_id"), "text").mapInPandas(chunk, "doc_id long, text_key long, digests array<long>, ends array<int>, words array<int>")
+    return docs.select(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("doc_id"), _text_key().alias("text_key"), "text").mapInPandas(chunk, "doc_id long, text_key long, digests array<long>, ends array<int>, words array<int>")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -116,10 +120,6 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 def without_spans(docs: DataFrame, spans: DataFrame, changed: str) -> DataFrame:
     """``docs`` with the spans cut out of ``text``, and the boolean column ``changed``."""
 
-    @F.pandas_udf("long")
-    def key(texts: pd.Series) -> pd.Series:
-        return pd.Series([xxhash.xxh3_64_intdigest(to_bytes(t)) >> 33 for t in texts], dtype="int64")
-
     @F.pandas_udf("string")
     def cut(texts: pd.Series, holes: pd.Series) -> pd.Series:
         out = []
@@ -135,7 +135,7 @@ def without_spans(docs: DataFrame, spans: DataFrame, changed: str) -> DataFrame:
 
     text_key, holes = free_name(docs, "_text_key"), free_name(docs, "_holes")
     gaps = spans.groupBy(F.col("doc_id").alias("_of"), F.col("text_key").alias("_of_text")).agg(F.collect_list(F.struct("start_byte", "end_byte")).alias("_gaps"))
-    keyed = docs.withColumn(text_key, key("text"))
+    keyed = docs.withColumn(text_key, _text_key())
     joined = keyed.join(gaps, keyed["doc_id"].eqNullSafe(gaps["_of"]) & (keyed[text_key] == gaps["_of_text"]), "left")
     joined = joined.select(*[keyed[c] for c in docs.columns], gaps["_gaps"].alias(holes))
     return joined.withColumns({changed: F.col(holes).isNotNull(), "text": F.when(F.col(holes).isNotNull(), cut("text", holes)).otherwise(F.col("text"))}).drop(holes)

@@ -42,6 +42,7 @@ REPORTS = "said says wrote called quoted claimed alleged according sagte sagt sc
 THREATS = "kill hurt beat destroy stab shoot töten schlagen umbringen tuer frapper détruire matar golpear destruir".split()
 
 INSULT, THREAT, TARGET, NEGATION, REPORT = range(1, 6)
+_ONLY_END = (0, 0.0, True)
 _ENDS = ".,;:!?\n"
 _STRIP = " \t.,;:!?\"'()[]{}<>*#$%&|«»“”„¿¡-"
 
@@ -107,7 +108,8 @@ class Symbols(dict):
                 weight = self.lexicon.get(w[:n] + "*", 0.0)
         ends = word[-1] in _ENDS
         symbol = (THREAT if w in THREATS else INSULT) if weight else self.fixed.get(w, 0)
-        value = self[word] = (symbol, weight, ends) if symbol or ends else 0
+        # most words only end a clause, or mean nothing: those share one value
+        value = self[word] = (symbol, weight, ends) if symbol else _ONLY_END if ends else 0
         return value
 
 
@@ -148,13 +150,22 @@ def learn_lexicon(train: DataFrame, label: str = "toxic") -> dict[str, float]:
     """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: tuple[Counter, Counter] = (Counter(), Counter())
+
+        def sent(toxic: int) -> pd.DataFrame:
+            out = pd.DataFrame({"entry": list(sums[toxic]), "toxic": toxic, "docs": list(sums[toxic].values())})
+            sums[toxic].clear()
+            return out
+
         for batch in batches:
             for text, toxic in zip(batch.text, batch[label]):
                 words = {b for w in set((text or "").split()) if len(b := bare(w)) > 2}
-                sums[int(toxic)].update(words | {w[:n] + "*" for w in words for n in STEMS if len(w) >= n})
+                counter = sums[int(toxic)]
+                counter.update(words | {w[:n] + "*" for w in words for n in STEMS if len(w) >= n})
+                if len(counter) > KNOWN_WORDS:  # sums are partial anyway
+                    yield sent(int(toxic))
         for toxic, counter in enumerate(sums):
             if counter:
-                yield pd.DataFrame({"entry": list(counter), "toxic": toxic, "docs": list(counter.values())})
+                yield sent(toxic)
 
     @F.pandas_udf("long")
     def signature(texts: pd.Series) -> pd.Series:

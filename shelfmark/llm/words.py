@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-KNOWN_WORDS = 500_000  # size at which a worker forgets the hashes it remembers
+KNOWN_WORDS = 150_000  # size at which a worker forgets the hashes it remembers
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -27,6 +27,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def slices(batch, rows: int = 1000):
+    """Parts of an Arrow batch, whose results are sent off before the next one is begun."""
+    for start in range(0, len(batch), rows):
+        yield batch.iloc[start : start + rows]
+
+
 def to_bytes(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
