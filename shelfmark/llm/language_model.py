@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm.storage import keep
 from shelfmark.llm.words import WordHashes, mixed, to_bytes
 
-BATCH_BYTES = 16_000_000  # of text, expected
+BATCH_BYTES = 8_000_000  # of text, expected
 BROADCAST_BYTES = 1 << 30  # bound of the filters; they come to about an eighth of it
 PROBES = 4  # hash functions: an absent n-gram passes with a chance of about 2 ** -PROBES
 BASE = 1.5  # of the logarithm
