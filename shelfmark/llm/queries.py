@@ -75,4 +75,30 @@ ORACLE = {
                CASE WHEN payload_bytes >= 1000 AND page_id < last_page THEN last_page END AS refers_to
         FROM q
     """,
+    "op8_near_duplicates": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle
+            FROM words
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+        ), links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+        ), steps AS (
+            SELECT a, b FROM links UNION SELECT b, a FROM links
+        ), reached AS (
+            SELECT a, b FROM steps UNION SELECT r.a, s.b FROM reached r JOIN steps s ON r.b = s.a
+        ), component AS (
+            SELECT a AS doc_id, least(a, min(b)) AS component_id FROM reached GROUP BY a
+        )
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
+               d.doc_id = coalesce(component_id, d.doc_id) AS kept
+        FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN component USING (doc_id)
+    """,
 }

@@ -5,7 +5,7 @@ Markov models over characters, one learned from URLs that the rules allow, one f
 they block: the mean difference of the log-probabilities per character is compared with a
 threshold calibrated on a fifth of the rule-judged URLs that the models did not see.
 
-Only DataFrame functions. A model has at most ``len(SYMBOLS) ** 4`` (about 3.4 million) rows
+Only DataFrame functions. A model has at most ``len(SYMBOLS) ** 4`` (about 3.1 million) rows
 whatever the input, since URLs are first folded to a fixed alphabet; that bound is why its
 table may be broadcast. Counting has map-side combine, so a host with a third of all pages is
 no hot key.
