@@ -179,7 +179,7 @@ def linked(docs: DataFrame, sketches: DataFrame) -> DataFrame:
     drawn_of, hints = 0, None
     while True:
         # members of a band that is one component have nothing more to find in it
-        at = active.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        at = keep(active.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "large-bands")
         open_ = at.groupBy("band").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").drop("low", "high")
         at = keep(at.join(open_, "band"), "large-bands")
         if at.isEmpty():
