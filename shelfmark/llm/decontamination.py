@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.storage import keep
+from shelfmark.llm.storage import keep, small_batches
 from shelfmark.llm.words import KNOWN_WORDS, WordHashes, windows
 
 SEED_WORDS = 3
@@ -133,7 +133,7 @@ def word_bits(docs: DataFrame, vocabulary: np.ndarray) -> dict[int, float]:
         some = np.flatnonzero(sums)
         yield pd.DataFrame({"place": np.append(some, -1), "n": np.append(sums[some], total)})
 
-    rows = docs.select("text").mapInPandas(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    rows = small_batches(docs).select("text").mapInPandas(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
     n = {r.place: r.n for r in rows}
     return {int(w): math.log2((n.get(-1, 0) + 1) / (n.get(i, 0) + 1)) for i, w in enumerate(vocabulary.tolist())}
 
@@ -173,7 +173,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_W
 
     found = [search(block) for block in blocks(docs, benchmark, block_words)]
     none = F.array().cast(kind)
-    return keep(docs.withColumn(into, F.concat(none, *found)), "leaks")
+    return keep(small_batches(docs).withColumn(into, F.concat(none, *found)), "leaks")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

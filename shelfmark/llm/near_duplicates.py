@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.components import components
-from shelfmark.llm.storage import keep
+from shelfmark.llm.storage import keep, small_batches
 from shelfmark.llm.words import WordHashes, mixed, signed, slices, to_bytes, windows
 
 WORDS = 5
@@ -112,7 +112,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                     bands[i] = keys
             yield pd.DataFrame({"doc_id": batch.doc_id, "n_shingles": np.array(n, np.int64), "d1": signed(np.array(d1, np.uint64)), "d2": signed(np.array(d2, np.uint64)), "bands": bands})
 
-    return docs.select("doc_id", "text").mapInPandas(sketch, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+    return small_batches(docs).select("doc_id", "text").mapInPandas(sketch, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
 def with_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:

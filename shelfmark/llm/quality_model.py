@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.quality_rules import repeated_words
-from shelfmark.llm.storage import keep
+from shelfmark.llm.storage import keep, small_batches
 from shelfmark.llm.training import TRAIN_ROWS, labelled
 from shelfmark.llm.words import WordHashes, to_bytes
 
@@ -60,7 +60,7 @@ def described(docs: DataFrame) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch.doc_id, "x": [statistics(t, known) for t in batch.text]})
 
-    return docs.select("doc_id", "text").mapInPandas(describe, "doc_id long, x array<double>")
+    return small_batches(docs).select("doc_id", "text").mapInPandas(describe, "doc_id long, x array<double>")
 
 
 class Model(NamedTuple):

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.storage import keep
+from shelfmark.llm.storage import keep, small_batches
 from shelfmark.llm.words import WordHashes, to_bytes, windows
 
 MIN_WORDS = 20  # base rule
@@ -90,7 +90,7 @@ def measured(docs: DataFrame) -> DataFrame:
                 "classes": [r[1] for r in rows], "common": [r[2] for r in rows]})
 
     schema = "doc_id long, lang string, " + ", ".join(f"{m} long" for m in MEASURES) + ", classes array<long>, common array<long>"
-    return docs.select("doc_id", "lang", "text").mapInPandas(count, schema)
+    return small_batches(docs).select("doc_id", "lang", "text").mapInPandas(count, schema)
 
 
 def references(counted: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:

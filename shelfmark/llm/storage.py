@@ -7,6 +7,21 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import fresh_dir, stored
 
+ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BYTES = 4 << 20  # bytes of rows that a Python worker is sent at once; a longer row goes alone
+
+
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, after its session is told to send texts to Python in batches of ARROW_BYTES.
+
+    The default is sixteen times that, and a worker holds a batch several times over, as does its
+    executor. A limit that the user has set differs from the default and stays.
+    """
+    conf = docs.sparkSession.conf
+    if conf.get(ARROW_LIMIT) == "67108864b":
+        conf.set(ARROW_LIMIT, f"{ARROW_BYTES}b")
+    return docs
+
 
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write a table once and read it from then on: lost executors cost a re-read, and later

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.storage import free_name, keep
+from shelfmark.llm.storage import free_name, keep, small_batches
 from shelfmark.llm.words import mixed, slices, to_bytes
 
 RUN_WORDS = 20
@@ -79,7 +79,7 @@ def chunked(docs: DataFrame) -> DataFrame:
                     rows.append((doc_id, key, np.array(digests, np.uint64).view(np.int64), ends.astype(np.int32), words.astype(np.int32)))
             yield pd.DataFrame(rows, columns=["doc_id", "text_key", "digests", "ends", "words"])
 
-    return docs.select(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("doc_id"), _text_key().alias("text_key"), "text").mapInPandas(chunk, "doc_id long, text_key long, digests array<long>, ends array<int>, words array<int>")
+    return small_batches(docs).select(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("doc_id"), _text_key().alias("text_key"), "text").mapInPandas(chunk, "doc_id long, text_key long, digests array<long>, ends array<int>, words array<int>")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:

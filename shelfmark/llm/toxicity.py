@@ -24,7 +24,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.storage import keep
+from shelfmark.llm.storage import keep, small_batches
 from shelfmark.llm.training import TRAIN_ROWS, labelled
 from shelfmark.llm.words import KNOWN_WORDS, WordHashes
 
@@ -173,7 +173,7 @@ def learn_lexicon(train: DataFrame, label: str = "toxic") -> dict[str, float]:
         least = [np.unique(known.of([w.encode("utf-8", "surrogatepass") for w in set((t or "").lower().split())]))[:3] for t in texts]
         return pd.Series([int(x.sum(dtype=np.uint64).astype(np.int64)) if len(x) else 0 for x in least])
 
-    once = train.withColumn("_copies", signature("text")).dropDuplicates(["_copies", label]).drop("_copies")
+    once = small_batches(train).withColumn("_copies", signature("text")).dropDuplicates(["_copies", label]).drop("_copies")
     once = keep(once, "toxicity-once")
     n = {r[label]: r["count"] for r in once.groupBy(label).count().collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
@@ -234,4 +234,4 @@ def score_toxicity(docs: DataFrame, model: Model | None, into: str = "toxicity")
             else:
                 yield pd.Series(model.scores(np.stack([clauses(t, symbols) for t in texts])))
 
-    return docs.withColumn(into, judge("text"))
+    return small_batches(docs).withColumn(into, judge("text"))
