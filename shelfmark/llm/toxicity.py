@@ -173,7 +173,7 @@ def learn_lexicon(train: DataFrame, label: str = "toxic") -> dict[str, float]:
         least = [np.unique(known.of([w.encode("utf-8", "surrogatepass") for w in set((t or "").lower().split())]))[:3] for t in texts]
         return pd.Series([int(x.sum(dtype=np.uint64).astype(np.int64)) if len(x) else 0 for x in least])
 
-    once = small_batches(train).withColumn("_copies", signature("text")).dropDuplicates(["_copies", label]).drop("_copies")
+    once = small_batches(train).withColumn("_copies", signature("text")).groupBy("_copies", label).agg(F.min("text").alias("text")).drop("_copies")
     once = keep(once, "toxicity-once")
     n = {r[label]: r["count"] for r in once.groupBy(label).count().collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
