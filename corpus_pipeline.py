@@ -15,6 +15,7 @@ from shelfmark.llm import decontamination, mixing, near_duplicates, substrings,
 from shelfmark.llm.storage import free_name, keep, one_row_per_id, remainder, table
 
 TOXIC = 0.5  # score from which a document is rejected
+NEAR = 80  # percent of shingles in common from which documents are near-duplicates
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +28,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group. Of rows that repeat an id one stays; rows
     without id all stay."""
-    dropped = near_duplicates.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    dropped = near_duplicates.near_duplicates(docs, NEAR).where(~F.col("kept")).select("doc_id").distinct()
     return one_row_per_id(docs.join(keep(dropped, "dropped"), "doc_id", "left_anti").select(docs.columns))
 
 

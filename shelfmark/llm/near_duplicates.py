@@ -12,8 +12,8 @@
    standard deviations below the threshold, and else confirmed on the full shingle sets.
 5. Links are closed to components.
 
-With BANDS bands of ROWS registers, a pair at the threshold of 0.85 shares no band with a chance
-of about (1 - 0.85 ** 6) ** 42, 2e-9.
+With BANDS bands of ROWS registers, a pair at a threshold of 0.85 shares no band with a chance
+of about (1 - 0.85 ** 6) ** 42, 2e-9; at 0.8 of (1 - 0.8 ** 6) ** 42, 3e-6.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from shelfmark.llm.storage import keep, small_batches
 from shelfmark.llm.words import WordHashes, mixed, signed, slices, to_bytes, windows
 
 WORDS = 5
-PERCENT = 85
+PERCENT = 85  # least Jaccard similarity of a link, unless the caller names another
 PRECISION_BITS = 8  # 256 registers
 MANTISSA_BITS = 10
 REGISTERS = 1 << PRECISION_BITS
@@ -87,13 +87,13 @@ def band_keys(sketches: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketched(docs: DataFrame) -> DataFrame:
+def sketched(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, d1 and d2 (128 bits that tell shingle sets apart), bands: a row per row.
 
     Sets too small to have a near but unequal one (n - 1 of n shingles is under the threshold)
     have no bands.
     """
-    least = -(-100 // (100 - PERCENT)) - 1
+    least = -(-100 // (100 - percent)) - 1
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
@@ -138,31 +138,31 @@ def estimate(a: Column, b: Column, n_a: Column, n_b: Column) -> tuple[Column, Co
     return (same - chance) / used, used
 
 
-def _near(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
+def _near(a: Column, b: Column, n_a: Column, n_b: Column, percent: int) -> Column:
     """The estimate is not SIGMAS standard deviations below the threshold."""
     jaccard, used = estimate(a, b, n_a, n_b)
-    t = PERCENT / 100
+    t = percent / 100
     return jaccard >= t - SIGMAS * F.sqrt(t * (1 - t) / used)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The links among ``pairs`` (a, b): a, b."""
     pairs = keep(pairs.select("a", "b").distinct(), "pairs")
     sets = keep(with_sets(docs, keep(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidates")), "sets")
     side = lambda s, what: sets.select(F.col("doc_id").alias(s), F.size("shingles").alias(f"n_{s}"), F.col(what).alias(f"x_{s}"))
     near = pairs.join(side("a", "registers"), "a").join(side("b", "registers"), "b")
-    near = keep(near.where(_near(F.col("x_a"), F.col("x_b"), F.col("n_a"), F.col("n_b"))).select("a", "b"), "near")
+    near = keep(near.where(_near(F.col("x_a"), F.col("x_b"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b"), "near")
     common = F.size(F.array_intersect("x_a", "x_b"))
     full = near.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
-    return full.where(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct()
+    return full.where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct()
 
 
-def _alike(n_a: str, n_b: str) -> Column:
+def _alike(n_a: str, n_b: str, percent: int) -> Column:
     """Sizes that allow the threshold."""
-    return 100 * F.least(n_a, n_b) >= PERCENT * F.greatest(n_a, n_b)
+    return 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
 
 
-def linked(docs: DataFrame, sketches: DataFrame) -> DataFrame:
+def linked(docs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
     """id, component: of all class representatives that are linked to another one."""
     classes = sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"))
     reps = sketches.join(keep(classes.select("doc_id").distinct(), "representatives"), "doc_id", "left_semi")
@@ -172,7 +172,7 @@ def linked(docs: DataFrame, sketches: DataFrame) -> DataFrame:
 
     left = members.where(F.col("members") <= FEW).select("band", F.col("id").alias("a"), F.col("n").alias("n_a"))
     right = members.where(F.col("members") <= FEW).select("band", F.col("id").alias("b"), F.col("n").alias("n_b"))
-    links = keep(confirmed(left.join(right, "band").where((F.col("a") < F.col("b")) & _alike("n_a", "n_b")), docs), "confirmed")
+    links = keep(confirmed(left.join(right, "band").where((F.col("a") < F.col("b")) & _alike("n_a", "n_b", percent)), docs, percent), "confirmed")
     labels = components(links)
 
     active = keep(members.where(F.col("members") > FEW).drop("members"), "large-bands")
@@ -197,8 +197,8 @@ def linked(docs: DataFrame, sketches: DataFrame) -> DataFrame:
         rows = at.join(hints, "id")
         probe = rows.where("pivot").drop("pivot")
         probe = probe.select("band", *[F.col(c).alias(f"{c}_p") for c in probe.columns if c != "band"])
-        pairs = probe.join(rows, "band").where((F.col("component_p") != F.col("component")) & _alike("n_p", "n") & _may_link())
-        found = keep(confirmed(pairs.select(F.least("id_p", "id").alias("a"), F.greatest("id_p", "id").alias("b")), docs), "confirmed")
+        pairs = probe.join(rows, "band").where((F.col("component_p") != F.col("component")) & _alike("n_p", "n", percent) & _may_link(percent))
+        found = keep(confirmed(pairs.select(F.least("id_p", "id").alias("a"), F.greatest("id_p", "id").alias("b")), docs, percent), "confirmed")
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
@@ -225,7 +225,7 @@ def hinted(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(read, "id long, used int, planes array<long>, few array<long>")
 
 
-def _may_link() -> Column:
+def _may_link(percent: int) -> Column:
     """Of a pivot (columns ending in _p) and a member: the registers agree in the hint bits often
     enough, and small sets overlap enough. Hint bits that agree by chance are allowed for."""
     words = REGISTERS // 64
@@ -236,24 +236,25 @@ def _may_link() -> Column:
             at = F.lit(plane * words + i)
             any_ = any_.bitwiseOR(F.get("planes_p", at).bitwiseXOR(F.get("planes", at)))
         differ = differ + F.bit_count(any_)
-    t = PERCENT / 100
+    t = percent / 100
     jaccard = 1 - differ / (REGISTERS * (1 - 2.0**-HINT_BITS))
     alike = jaccard >= t - SIGMAS * F.sqrt(t * (1 - t) / F.least("used_p", "used"))
     common = F.size(F.array_intersect("few_p", "few"))
     both = F.col("few_p").isNotNull() & F.col("few").isNotNull()
-    return F.when(alike, F.when(both, 100 * common >= PERCENT * (F.col("n_p") + F.col("n") - common)).otherwise(True)).otherwise(False)
+    return F.when(alike, F.when(both, 100 * common >= percent * (F.col("n_p") + F.col("n") - common)).otherwise(True)).otherwise(False)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``.
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row for each row of ``docs``. Texts whose
+    shingle sets have a Jaccard similarity of ``percent`` or more are linked.
 
     Texts without words (null, empty) have no shingles and are linked with nothing. Rows that
     repeat an id are one document in the links: all have one component, and all are kept if its
     least id is theirs. Rows without id are linked with nothing and kept, with a null component.
     Columns other than doc_id and text are not read.
     """
-    sketches = keep(sketched(docs), "sketches")
-    labels = linked(docs, sketches)
+    sketches = keep(sketched(docs, percent), "sketches")
+    labels = linked(docs, sketches, percent)
     usable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     classes = sketches.where(usable).groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     # the class of each document that is not alone, then the component of its representative
