@@ -1,15 +1,17 @@
 """Substring deduplication by content-defined chunks.
 
 A gear rolling hash over the bytes of a text, with A-Z in lower case and all white space alike,
-cuts it into chunks behind white space, wherever the hash of the last 16 bytes is small. A cut
-depends on those bytes alone, so a passage is cut alike wherever it stands and whatever was
-inserted before it. A chunk whose digest also occurs in a document with a smaller id is a
-duplicate there; an unbroken run of duplicates with RUN_WORDS words or more is a repeated span,
-which deduplication removes.
-
-RUN_WORDS is well below the 50 words of the passages looked for, as the ends of a passage, up to
-the first and from the last cut within it, belong to chunks that differ. Digests have 64 bits:
-a wrong span would need several collisions in a row.
+cuts it into chunks before words: of any WINDOW words in a row, it cuts before the one where the
+hash of the last 16 bytes is least (the last of equal ones). So a passage is cut alike wherever
+it stands and whatever was inserted before it. A chunk whose digest also occurs in a document
+with a smaller id is a duplicate there; an unbroken run of duplicates with RUN_WORDS words or
+more is a repeated span, which deduplication removes.
+
+The ends of a passage, up to the first and from the last cut that depends on the passage alone,
+belong to chunks that may differ. The hash reaches back over eight words at most, so these ends
+have 8 + WINDOW - 1 and WINDOW words at most, and a passage of 50 words has a run of 25 or more.
+Words of 2048 bytes and more are an exception. Digests have 64 bits: a wrong span would need
+several collisions in a row.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from shelfmark.llm.storage import free_name, keep, small_batches
 from shelfmark.llm.words import mixed, slices, to_bytes
 
 RUN_WORDS = 20
-CUT_SHARE = 5  # one of so many words ends a chunk, on average
+WINDOW = 9  # words among which there is a cut; one word in five begins a chunk, on average
 LONGEST = 2048  # bytes of a chunk
 
 _GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -47,14 +49,17 @@ def cuts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         longer[width:] += h[:-width] << np.uint32(width)
         h = longer
     space = _SPACE[b]
-    ends = np.flatnonzero(space & ((h & np.uint32(0xFFFF)) < 0x10000 // CUT_SHARE)) + 1
-    if not len(ends) or ends[-1] != len(b):
-        ends = np.append(ends, len(b))
+    begins = ~space
+    begins[1:] &= space[:-1]
+    at = np.flatnonzero(begins[1:]) + 1
+    ends = np.array([len(b)])
+    if len(at) >= WINDOW:
+        windows = np.lib.stride_tricks.sliding_window_view(h[at - 1], WINDOW)
+        least = np.arange(WINDOW - 1, len(at)) - windows[:, ::-1].argmin(axis=1)
+        ends = np.append(at[np.unique(least)], len(b))
     starts = np.append(0, ends[:-1])
     if (ends - starts).max() > LONGEST:
         ends = np.unique(np.concatenate([ends, *[np.arange(s + LONGEST, e, LONGEST) for s, e in zip(starts, ends) if e - s > LONGEST]]))
-    begins = ~space
-    begins[1:] &= space[:-1]
     return ends, np.cumsum(begins)[ends - 1]
 
 
@@ -97,7 +102,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     again = rows.join(shared, "digest").where("doc_id > first")
     # bounded by a text's own chunks
     per_text = again.groupBy("doc_id", F.shiftright("at", 32).alias("text_key")).agg(F.collect_set(F.struct(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("place"), "first")).alias("again"))
-    found = keep(per_text.where(F.size("again") > 1), "repeated-chunks").join(chunks.select("doc_id", "text_key", "ends", "words").dropDuplicates(["doc_id", "text_key"]), ["doc_id", "text_key"])
+    found = keep(per_text, "repeated-chunks").join(chunks.select("doc_id", "text_key", "ends", "words").dropDuplicates(["doc_id", "text_key"]), ["doc_id", "text_key"])
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
