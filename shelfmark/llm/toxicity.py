@@ -1,7 +1,9 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
 Words become symbols: insults and threats from a lexicon of words and stems, weighted by their
-log-odds in labelled rows, and targets, negations and verbs of reporting from word lists. Small
+log-odds in labelled rows, and targets, negations and verbs of reporting from word lists. Verbs of
+threat that the lexicon doesn't have count where they are aimed at someone, with a prior weight that
+labelled rows refine. Small
 transducers for offence, target, negation and reported speech are composed to one machine that
 reads the symbols of a clause and ends in the kind of the clause: what was said, to someone or
 not, negated or not, reported or not. A document's clauses, by kind and strength, enter a
@@ -31,8 +33,10 @@ from shelfmark.llm.words import KNOWN_WORDS, WordHashes
 STEMS = (4, 5, 6)  # lengths of word beginnings that may enter the lexicon
 LEAST_DOCS = 3  # different toxic documents that a lexicon entry needs, and their share:
 LEAST_SHARE = 0.005
+CHANCE = 1e-7  # or so small a chance that an entry without meaning has such a share of toxic documents
+THREAT_SHARE, THREAT_DOCS = 0.95, 2  # toxic share of aimed threats before labels, which counts as so many documents
 PRECISION = 0.9  # share of toxic documents among those with the entry
-LEXICON = 20_000  # entries at most reach the workers; an entry needs LEAST_SHARE, so far fewer do
+LEXICON = 20_000  # entries at most reach the workers
 LARGEST = 6.0  # weight of an entry
 
 #: Function words of the four languages.
@@ -40,10 +44,12 @@ TARGETS = "you your you're u he she they them him her these those people du dich
 NEGATIONS = "not no never isn't aren't wasn't don't nor without nicht kein keine keinen nie niemals ohne ne pas jamais aucun sans nunca jamás ningún tampoco sin".split()
 REPORTS = "said says wrote called quoted claimed alleged according sagte sagt schrieb nannte behauptete laut zitierte dit disait écrit appelé cité selon dijo dice escribió llamó citó según".split()
 THREATS = "kill hurt beat destroy stab shoot töten schlagen umbringen tuer frapper détruire matar golpear destruir".split()
+_TARGETS, _THREATS = set(TARGETS), set(THREATS)
 
 INSULT, THREAT, TARGET, NEGATION, REPORT = range(1, 6)
-_ONLY_END = (0, 0.0, True)
+_ONLY_END = (0, 0.0, True, False)
 _ENDS = ".,;:!?\n"
+_IF_AIMED = " aimed"  # behind a verb of threat; no word has a space
 _STRIP = " \t.,;:!?\"'()[]{}<>*#$%&|«»“”„¿¡-"
 
 
@@ -84,6 +90,7 @@ def compose(*parts: Transducer) -> tuple[list[list[int]], list[str]]:
 MOVES, OUTPUTS = compose(OFFENCE, AIM, NEGATED, REPORTED)
 KINDS = [" ".join(filter(None, x)) for x in product(("insult", "threat", "both"), ("", "aimed"), ("", "negated"), ("", "reported"))]
 _KIND = [KINDS.index(o) if o in KINDS else -1 for o in OUTPUTS]
+_AIMED = ["aimed" in o for o in OUTPUTS]
 DIMENSIONS = len(KINDS) + 2  # strength by kind; offences a word; strongest clause
 
 
@@ -91,11 +98,36 @@ def bare(word: str) -> str:
     return word.strip(_STRIP).lower()
 
 
+def threat_weight(toxic: float, clean: float) -> float:
+    """Of a verb that is aimed at someone in so many toxic and clean documents, as if there were as
+    many of both; 0 once it is as frequent in clean ones."""
+    prior = THREAT_DOCS * THREAT_SHARE
+    return min(LARGEST, max(0.0, math.log((toxic + prior) / (clean + THREAT_DOCS - prior))))
+
+
+def aimed_threats(words: list[str]) -> set[str]:
+    """The verbs of threat among ``words`` whose clause has a target."""
+    out: set[str] = set()
+    verbs: set[str] = set()
+    aimed = False
+    for word in words:
+        w = bare(word)
+        if w in _THREATS:
+            verbs.add(w)
+        aimed = aimed or w in _TARGETS
+        if word[-1] in _ENDS:
+            out |= verbs if aimed else set()
+            verbs, aimed = set(), False
+    return out | verbs if aimed else out
+
+
 class Symbols(dict):
-    """Word -> (symbol, strength, ends a clause); 0 if the word means nothing to the grammar."""
+    """Word -> (symbol, strength, ends a clause, counts in aimed clauses only); 0 if the word means
+    nothing to the grammar."""
 
-    def __init__(self, lexicon: dict[str, float]):
+    def __init__(self, lexicon: dict[str, float], threats: dict[str, float] | None = None):
         self.lexicon = lexicon
+        self.threats = dict.fromkeys(THREATS, threat_weight(0, 0)) if threats is None else threats
         self.fixed = {w: s for words, s in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)) for w in words}
 
     def __missing__(self, word: str):
@@ -108,8 +140,11 @@ class Symbols(dict):
                 weight = self.lexicon.get(w[:n] + "*", 0.0)
         ends = word[-1] in _ENDS
         symbol = (THREAT if w in THREATS else INSULT) if weight else self.fixed.get(w, 0)
+        if_aimed = not weight and self.threats.get(w, 0.0) > 0
+        if if_aimed:
+            symbol, weight = THREAT, self.threats[w]
         # most words only end a clause, or mean nothing: those share one value
-        value = self[word] = (symbol, weight, ends) if symbol else _ONLY_END if ends else 0
+        value = self[word] = (symbol, weight, ends, if_aimed) if symbol else _ONLY_END if ends else 0
         return value
 
 
@@ -118,31 +153,35 @@ def clauses(text: str | None, symbols: Symbols) -> np.ndarray:
     out = np.zeros(DIMENSIONS)
     words = (text or "").split()
     offences = 0
-    state, strength, strongest = 0, 0.0, 0.0
+    strongest = 0.0
+    # of a clause without and with the threats that count in aimed clauses only
+    state, strength, hits, state_aimed, strength_aimed, hits_aimed = 0, 0.0, 0, 0, 0.0, 0
 
-    for x in filter(None, map(symbols.__getitem__, words)):
-        symbol, weight, ends = x
+    for x in [*filter(None, map(symbols.__getitem__, words)), _ONLY_END]:
+        symbol, weight, ends, if_aimed = x
         if symbol:
-            state = MOVES[state][symbol]
-            if weight:
+            state_aimed = MOVES[state_aimed][symbol]
+            strength_aimed += weight
+            hits_aimed += weight > 0
+            if not if_aimed:
+                state = MOVES[state][symbol]
                 strength += weight
-                offences += 1
+                hits += weight > 0
         if ends:
+            if strength_aimed > strength and _AIMED[state_aimed]:
+                state, strength, hits = state_aimed, strength_aimed, hits_aimed
             if strength:
                 out[_KIND[state]] += strength
                 strongest = max(strongest, strength)
-                strength = 0.0
-            state = 0
-    if strength:
-        out[_KIND[state]] += strength
-        strongest = max(strongest, strength)
+                offences += hits
+            state, strength, hits, state_aimed, strength_aimed, hits_aimed = 0, 0.0, 0, 0, 0.0, 0
     out[: len(KINDS)] = np.log1p(out[: len(KINDS)])
     out[-2:] = math.log1p(1000 * offences / len(words)) if words else 0.0, strongest / LARGEST
     return out
 
 
-def learn_lexicon(train: DataFrame, label: str = "toxic") -> dict[str, float]:
-    """Word or stem (ending in *) -> weight.
+def learn_lexicon(train: DataFrame, label: str = "toxic") -> tuple[dict[str, float], dict[str, float]]:
+    """Word or stem (ending in *) -> weight; verb of threat -> weight in aimed clauses.
 
     Entries are counted by document, in partial sums per partition; copies of a document, which
     share their three least word hashes, count once, else each word of a toxic text with many
@@ -160,6 +199,8 @@ def learn_lexicon(train: DataFrame, label: str = "toxic") -> dict[str, float]:
             for text, toxic in zip(batch.text, batch[label]):
                 words = {b for w in set((text or "").split()) if len(b := bare(w)) > 2}
                 counter = sums[int(toxic)]
+                if words & _THREATS:
+                    counter.update(w + _IF_AIMED for w in aimed_threats(text.split()))
                 counter.update(words | {w[:n] + "*" for w in words for n in STEMS if len(w) >= n})
                 if len(counter) > KNOWN_WORDS:  # sums are partial anyway
                     yield sent(int(toxic))
@@ -178,18 +219,26 @@ def learn_lexicon(train: DataFrame, label: str = "toxic") -> dict[str, float]:
     n = {r[label]: r["count"] for r in once.groupBy(label).count().collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic or not clean:
-        return {}
+        return {}, {}
     counts = once.mapInPandas(count, "entry string, toxic int, docs long").groupBy("entry").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("docs")).otherwise(0)).alias("toxic"), F.sum(F.when(F.col("toxic") == 0, F.col("docs")).otherwise(0)).alias("clean"))
-    found = counts.where((F.col("toxic") >= max(LEAST_DOCS, LEAST_SHARE * toxic)) & (F.col("toxic") >= PRECISION * (F.col("toxic") + F.col("clean"))))
+    counts = keep(counts, "toxicity-counts")
+    verbs = {r.entry: threat_weight(r.toxic * (toxic + clean) / (2 * toxic), r.clean * (toxic + clean) / (2 * clean)) for r in counts.where(F.col("entry").isin([w + _IF_AIMED for w in THREATS])).collect()}
+    threats = {w: verbs.get(w + _IF_AIMED, threat_weight(0, 0)) for w in THREATS}
+    # Chernoff's bound of the chance that an entry as frequent in toxic documents as all words are has this share of them
+    base, n_docs = toxic / (toxic + clean), F.col("toxic") + F.col("clean")
+    bound = F.col("toxic") * F.log(F.col("toxic") / n_docs / base) + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / n_docs / (1 - base))).otherwise(0.0)
+    evident = (F.col("toxic") >= LEAST_SHARE * toxic) | (bound >= -math.log(CHANCE))
+    found = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") >= PRECISION * n_docs) & evident & ~F.col("entry").endswith(_IF_AIMED))
     rows = found.orderBy(F.desc("toxic"), "entry").limit(LEXICON).collect()
-    return {r.entry: min(LARGEST, math.log((r.toxic + 0.5) / (toxic + 1) / ((r.clean + 0.5) / (clean + 1)))) for r in rows}
+    return {r.entry: min(LARGEST, math.log((r.toxic + 0.5) / (toxic + 1) / ((r.clean + 0.5) / (clean + 1)))) for r in rows}, threats
 
 
 class Model(NamedTuple):
     lexicon: dict[str, float]
     weights: np.ndarray
     constant: float
+    threats: dict[str, float] | None = None
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights + self.constant, -30, 30)))
@@ -198,18 +247,26 @@ class Model(NamedTuple):
 def fit(train: DataFrame, label: str = "toxic") -> Model | None:
     """``train``: text and label. None if there is nothing to learn: without rows of both labels,
     or without any word that tells them apart."""
-    lexicon = learn_lexicon(train, label)
+    lexicon, threats = learn_lexicon(train, label)
     if not lexicon:
         return None
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        symbols = Symbols(lexicon)
+        symbols = Symbols(lexicon, threats)
         for batch in batches:
             yield pd.DataFrame({"x": [clauses(t, symbols) for t in batch.text], "label": batch[label].astype(float)})
 
     rows = keep(train.select("text", label).mapInPandas(read, "x array<double>, label double"), "toxicity-clauses")
     fitted = LogisticRegression(regParam=1e-3, maxIter=50, standardization=False).fit(rows.select(array_to_vector("x").alias("features"), "label"))
-    return Model(lexicon, fitted.coefficients.toArray(), fitted.intercept)
+    weights = fitted.coefficients.toArray()
+    # kinds of threat that no labelled row has count like the insult of that kind, or an aimed one like any insult
+    seen = rows.select(*[F.max(F.get("x", F.lit(i))).alias(f"x{i}") for i in range(len(KINDS))]).first()
+    for i, kind in enumerate(KINDS):
+        if not seen[i] and not kind.startswith("insult"):
+            like = "insult" + kind[len(kind.split()[0]) :]
+            also = [k for k in (like, "insult") if seen[KINDS.index(k)]] if kind in ("threat aimed", "both aimed") else [like]
+            weights[i] = weights[KINDS.index(also[0])] if also else 0.0
+    return Model(lexicon, weights, fitted.intercept, threats)
 
 
 def learn(docs: DataFrame, labels: DataFrame, learns, rows: int = TRAIN_ROWS) -> Model | None:
@@ -227,7 +284,7 @@ def score_toxicity(docs: DataFrame, model: Model | None, into: str = "toxicity")
 
     @F.pandas_udf("double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        symbols = Symbols(model.lexicon if model else {})
+        symbols = Symbols(model.lexicon, model.threats) if model else None
         for texts in batches:
             if model is None or not len(texts):
                 yield pd.Series(np.zeros(len(texts)))
