@@ -4,7 +4,8 @@ An item's word n-grams are seeds if they are rare: the frequencies of their word
 all documents, make them carry SEED_BITS bits. Rarity is judged by words and not by the n-grams
 themselves, so that an item copied into a third of the corpus keeps its seeds. A seed found in a
 document proposes the passage around it, which is aligned with the item word by word; copies
-with replaced, added or missing words still reach the score.
+with replaced, added or missing words still reach the score. An excerpt that is too short for the
+score of its item counts if it has EXCERPT_WORDS matched words, nearly without others between them.
 
 The benchmark is the query set. It is read in blocks of a fixed number of words, and each block
 is held against all documents where these are, so no text moves and no key is hot.
@@ -30,6 +31,8 @@ SEED_BITS = 22.0
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5  # of the score of a full copy
 LEAST_WORDS = 8  # matched words, or all of a shorter item
+EXCERPT_WORDS = 13  # matched words from which an excerpt counts, however long its item is, and
+EXCERPT_SHARE = 0.8  # their share of the excerpt
 BLOCK_WORDS = 500_000  # benchmark words held at once
 _FLAGS = 22  # bits of the table that most n-grams fail to pass
 _STRIP = b" \t\n\v\f\r.,;:!?\"'()[]{}<>*#$%&|-_"
@@ -111,9 +114,13 @@ def leaks(h: np.ndarray, block: Block) -> list[dict]:
         for group in groups:
             low, high = max(0, int(group[0]) - len(w) // 2), int(group[-1]) + len(w) + len(w) // 2
             score, matched, start, end = align(w, h[low:high])
+            copied = score >= LEAST_SCORE * MATCH * len(w) and matched >= min(LEAST_WORDS, len(w))
+            excerpt = matched >= EXCERPT_WORDS and matched >= EXCERPT_SHARE * (end - start)
+            if not copied and not excerpt:
+                continue
             if best is None or score > best["score"]:
                 best = {"item_id": block.ids[item], "score": score / (MATCH * len(w)), "matched_words": matched, "start_word": low + start, "end_word": low + end}
-        if best and best["score"] >= LEAST_SCORE and best["matched_words"] >= min(LEAST_WORDS, len(w)):
+        if best:
             out.append(best)
     return out
 
