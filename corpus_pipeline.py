@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import decontamination, mixing, near_duplicates, substrings, toxicity
-from shelfmark.llm.storage import free_name, keep, one_row_per_id, remainder, table
+from shelfmark.llm.storage import free_name, keep, one_row_per_id, remainder, table, with_names
 
 TOXIC = 0.5  # score from which a document is rejected
 NEAR = 80  # percent of shingles in common from which documents are near-duplicates
@@ -26,10 +26,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group. Of rows that repeat an id one stays; rows
-    without id all stay."""
-    dropped = near_duplicates.near_duplicates(docs, NEAR).where(~F.col("kept")).select("doc_id").distinct()
-    return one_row_per_id(docs.join(keep(dropped, "dropped"), "doc_id", "left_anti").select(docs.columns))
+    """The document with the least id of each group. Different texts that share an id are documents
+    of their own; of rows equal in id and text one stays, and rows without id all stay."""
+    name = free_name(docs, "name")
+    named = with_names(docs, name)
+    texts = named.select(F.col(name).alias("doc_id"), "text")
+    dropped = near_duplicates.near_duplicates(texts, NEAR).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    return one_row_per_id(named.join(keep(dropped, "dropped"), name, "left_anti"), name).select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,11 +52,15 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with ``copies``, how often, and ``taken``, the words that
-    makes (own columns of these names are replaced); documents with no copy go. Of rows that
-    repeat an id one stays; rows without id go, as the mix could not name them."""
-    once = one_row_per_id(docs.where(F.col("doc_id").isNotNull()))
-    taken = keep(mixing.mix(once).where(F.col("copies") > 0).select("doc_id", "copies", "taken"), "mix")
-    return once.drop("copies", "taken").join(taken, "doc_id")
+    makes (own columns of these names are replaced); documents with no copy go. Of rows equal in
+    id and text one stays; other rows that share an id, and rows without id, are documents of
+    their own."""
+    name, row = free_name(docs, "name"), free_name(docs, "mix_row")
+    once = one_row_per_id(with_names(docs, name), name).drop(name)
+    # a row's number is stored, as it depends on how files are split
+    once = keep(once.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    taken = keep(mixing.mix(once, row=row).where(F.col("copies") > 0).select(row, "copies", "taken"), "mix")
+    return once.drop("copies", "taken").join(taken, row).drop(row)
 
 
 STAGES = [

@@ -30,14 +30,14 @@ FLIPS = 8  # single documents that the landing turns over at most
 EPS = 1e-9
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words; 0 for null), key: a hash that orders the documents."""
+def sized(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, source, size (words; 0 for null), key: a hash that orders the documents; and ``row``."""
 
     @F.pandas_udf("long")
     def n_words(texts: pd.Series) -> pd.Series:
         return pd.Series([len(to_bytes(t).split()) for t in texts], dtype="int64")
 
-    return docs.select("doc_id", "source", n_words("text").alias("size")).withColumn("key", F.xxhash64("doc_id", "size"))
+    return docs.select("doc_id", "source", n_words("text").alias("size"), *[row] * bool(row)).withColumn("key", F.xxhash64("doc_id", "size"))
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, most: float = MOST) -> DataFrame:
@@ -110,16 +110,16 @@ def land(sizes: np.ndarray, p: np.ndarray, start: np.ndarray) -> np.ndarray:
     return p
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST, block: int = BLOCK) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST, block: int = BLOCK, row: str | None = None) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken: one row for each input row.
 
     ``copies`` is how often the mix takes the document, ``taken`` the words that makes. Null and
     empty texts have size 0: they are taken at their source's rate and add no words. A null
     source is a source like others. Rows that repeat (or have no id) are documents of their own,
     in an order of hashed id and size; equal ones are interchangeable. Clashing columns of
-    ``docs`` are not read. Reruns agree, as every order and draw comes from the data.
+    ``docs`` are not read. ``row``: a column (long) that is carried through. Reruns agree, as every order and draw comes from the data.
     """
-    sizes = keep(sized(docs), "mix-sizes")
+    sizes = keep(sized(docs, row), "mix-sizes")
     rates = targets(sizes, weights, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     # rates are one row per source; the documents of a large source can be split over tasks
@@ -130,7 +130,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST, block: int = BLOCK
     rows = rows.withColumn("p", F.when(F.col("p") < EPS, 0.0).otherwise(F.col("p")))
     rows = keep(rows, "mix-level")
     most_docs = rows.groupBy("source").count().agg(F.max("count")).first()[0] or 0
-    columns = "doc_id long, source string, size long, key long, source_size long, target double, sure long, level int, p double"
+    columns = "doc_id long, source string, size long, key long, source_size long, target double, sure long, level int, p double" + (f", {row} long" if row else "")
 
     def fly(last: bool):
         def one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -158,4 +158,4 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: float = MOST, block: int = BLOCK
     for part in done:
         rows = rows.unionByName(part)
     copies = F.col("sure") + F.col("p").cast("long")
-    return rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), *[row] * bool(row))

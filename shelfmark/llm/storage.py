@@ -46,6 +46,21 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def with_names(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the column ``name``: doc_id, but where an id has different texts, only for the
+    one with the least hash; the others get a hash of id and text, from 2 ** 62 on. Null without id.
+    """
+    key = F.xxhash64("doc_id", "text")
+    ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id", key.alias("_key")).groupBy("doc_id").agg(F.min("_key").alias("_least"), F.max("_key").alias("_most"))
+    several = keep(ids.where("_least < _most").select(F.col("doc_id").alias("_of"), "_least"), "ids-of-several-texts")
+    if several.isEmpty():
+        return docs.withColumn(name, F.col("doc_id"))
+    joined = docs.join(several, docs["doc_id"] == several["_of"], "left")
+    other = F.shiftrightunsigned(key, 2).bitwiseOR(F.lit(1 << 62))
+    named = F.when(several["_least"].isNull() | (key == several["_least"]), docs["doc_id"]).otherwise(other)
+    return joined.select(*[docs[c] for c in docs.columns], named.alias(name))
+
+
 def one_row_per_id(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` with one row of those that share an id; rows without id all stay.
 
