@@ -265,9 +265,8 @@ def manifest(rows: DataFrame, key: str, group: str, leaf: Column, changed: Colum
     An empty table gives an empty result.
     """
     leaves = rows.select(F.col(key).cast("string").alias("key"), F.col(key).alias("order"), tree_key(F.col(group)).alias("tree"), F.unhex(leaf).alias("digest"), F.unhex(F.coalesce(changed, leaf)).alias("changed"))
-    at = keep(with_positions(leaves, "tree", [F.col("order").asc_nulls_first(), F.col("digest"), F.col("changed")], "pos"), "leaves")
-    sizes = at.groupBy("tree").agg(F.count("*").alias("total"))
-    lower, subroots = stages(at.drop("order").join(sizes, "tree"))
+    at = keep(with_positions(leaves, "tree", [F.col("order").asc_nulls_first(), F.col("digest"), F.col("changed")], "pos", "total"), "leaves")
+    lower, subroots = stages(at.drop("order"))
 
     groups = with_positions(subroots.withColumn("top", F.lit(0)), "top", [F.col("tree")], "pos").withColumnRenamed("tree", "of")
     groups = keep(groups.select("of", "pos", "digest"), "groups")
