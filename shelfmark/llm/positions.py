@@ -32,4 +32,4 @@ def with_positions(rows: DataFrame, group: str, order: list[Column], into: str,
     runs = keep(runs.withColumn("_at_shift", F.coalesce(F.sum("_at_n").over(earlier), F.lit(0)) - F.col("_at_first"))
                 .withColumn("_at_total", F.sum("_at_n").over(Window.partitionBy("_at_group"))).drop("_at_n", "_at_first"), "runs")
     same = (task == runs["_at_task"]) & at[group].eqNullSafe(runs["_at_group"])
-    return at.join(runs, same).select(*[at[c] for c in rows.columns], (place + runs["_at_shift"]).cast("long").alias(into), *[runs["_at_total"].alias(total)] * bool(total))
+    return at.join(runs, same).select(*[at[c] for c in rows.columns], (place + runs["_at_shift"]).cast("long").alias(into), *([runs["_at_total"].alias(total)] if total else []))
