@@ -40,9 +40,27 @@ def _unit_economics(products: DataFrame, *extra: str) -> DataFrame:
     )
 
 
+def until(orders: DataFrame, last: str) -> DataFrame:
+    """Orders up to a day; where the year is a column, later years are not even opened."""
+    kept = orders.where(f"order_date <= date'{last}'")
+    return kept.where(f"order_year <= year(date'{last}')") if "order_year" in orders.columns else kept
+
+
+def _priced(orders: DataFrame, products: DataFrame, how: str, *attributes: str) -> DataFrame:
+    """Orders with unit price, unit cost and product attributes.
+
+    Orders that carry their prices need no product join unless attributes are asked for.
+    """
+    if not {"unit_price", "unit_cost"} <= set(orders.columns):
+        return orders.join(_unit_economics(products, *attributes), "product_id", how)
+    if not attributes:
+        return orders
+    return orders.join(products.selectExpr("product_id", *attributes), "product_id", how)
+
+
 def order_lines(orders: DataFrame, products: DataFrame, how: str = "inner") -> DataFrame:
     """Order lines with unit economics and measures, without dimension attributes."""
-    return with_order_measures(orders.join(_unit_economics(products), "product_id", how))
+    return with_order_measures(_priced(orders, products, how))
 
 
 def order_analytics(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
@@ -51,8 +69,8 @@ def order_analytics(orders: DataFrame, customers: DataFrame, products: DataFrame
     customer_attrs = customers.selectExpr(
         "customer_id", *[f"{c} as customer_{c}" for c in attributes]
     )
-    catalogue = _unit_economics(products, "product_name", "category as product_category")
-    lines = with_order_measures(orders.join(catalogue, "product_id")).withColumns(
+    catalogue = ("product_name", "category as product_category")
+    lines = with_order_measures(_priced(orders, products, "inner", *catalogue)).withColumns(
         {
             "order_year": F.date_format("order_date", "yyyy"),
             "order_month": F.date_format("order_date", "yyyy-MM"),

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions.exprs import count_where, ratio, ratio_or_zero, rnd, sum_where
-from shelfmark.operators.facts import CANCELLED, REALISED, REFUNDED, order_lines
+from shelfmark.operators.facts import CANCELLED, REALISED, REFUNDED, order_lines, until
 
 NO_ORDER_RECENCY = 999
 
@@ -24,6 +24,10 @@ class ChurnWindow:
     def history(self) -> str:
         return f"order_date <= date'{self.cutoff}'"
 
+    def orders(self, orders: DataFrame) -> DataFrame:
+        """The orders that features or label look at."""
+        return until(orders, max(self.cutoff, self.end)).where(f"{self.history} OR {self.outcome}")
+
     @property
     def outcome(self) -> str:
         return f"order_date BETWEEN date'{self.start}' AND date'{self.end}'"
@@ -144,7 +148,7 @@ def customer_features(
         as_of = orders.agg(F.max("order_date")).scalar()
     else:
         as_of = F.lit(cutoff).cast("date")
-        orders = orders.where(f"order_date <= date'{cutoff}'")
+        orders = until(orders, cutoff)
         customers = customers.where(f"signup_date <= date'{cutoff}'")
     recent = F.col("order_date") > F.date_sub(as_of, recent_days)
     lines = order_lines(orders, products, how="left").withColumn("is_recent", recent)
@@ -182,7 +186,7 @@ def churn_dataset(
     Label 1 means no realised order inside the outcome window.
     """
     lines = order_lines(
-        orders.where(f"{window.history} OR {window.outcome}"), products, how="left"
+        window.orders(orders), products, how="left"
     ).selectExpr(
         "*", f"order_date > date_sub(date'{window.cutoff}', {recent_days}) as is_recent"
     )
@@ -225,7 +229,7 @@ def labelled_cohort(
     history = f"({window.history})"
     realised = f"{history} AND {REALISED}"
     per_customer = (
-        order_lines(orders.where(f"{window.history} OR {window.outcome}"), products)
+        order_lines(window.orders(orders), products)
         .groupBy("customer_id")
         .agg(
             count_where(history).alias("_orders"),

@@ -19,24 +19,46 @@ SEQ = "src_seq"
 ID_COLUMNS = {"customers": "customer_id", "products": "product_id", "orders": "order_id"}
 
 
-def flag_repeats(df: DataFrame, id_col: str, seq: str = SEQ) -> DataFrame:
-    """Add ``is_repeat``: true for every row of an id but its first in input order.
-
-    Ids are counted with map-side combine and only repeated ids survive, so the side that
-    is joined back is small in clean data (AQE then broadcasts it after seeing its size)
-    and holds one row per id in dirty data. A window over the id would sort all rows of
-    one hot id in a single task; here the hot id is one aggregate row, and AQE can split
-    the order side of the join. ``seq`` must be unique within an id.
+def repeated_ids(df: DataFrame, id_col: str, seq: str = SEQ) -> DataFrame:
+    """``_id`` and ``_first``: the ids that several rows have, and the first place of each.
+
+    Rows are counted with map-side combine, so a hot id is one row for each task. All rows
+    without id count as one id.
     """
-    repeated = (
-        df.groupBy(id_col)
+    return (
+        df.groupBy(F.col(id_col).alias("_id"))
         .agg(F.min(seq).alias("_first"), F.count("*").alias("_n"))
         .where("_n > 1")
-        .selectExpr(f"{id_col} as _id", "_first")
+        .drop("_n")
     )
+
+
+def flag_repeats(
+    df: DataFrame, id_col: str, seq: str = SEQ, repeated: DataFrame | None = None
+) -> DataFrame:
+    """Add ``is_repeat``: true for every row of an id but its first in input order, and
+    ``is_first``: true for the first row of an id that has several.
+
+    Only repeated ids are joined back (``repeated``, if they are stored already), so that side
+    is small in clean data (AQE then broadcasts it after seeing its size) and holds one row
+    per id in dirty data. Rows without id are compared with one number and match nothing in
+    the join. A window over the id would sort all rows of one hot id in a single task; here
+    AQE can split the row side of the join. ``seq`` must be unique within an id: see
+    ``Etl.checked``, which counts the first rows.
+    """
+    if repeated is None:
+        repeated = repeated_ids(df, id_col, seq)
+    unnamed = repeated.where("_id IS NULL").select("_first").scalar()
+    first = F.coalesce(F.col("_first"), F.when(F.col(id_col).isNull(), unnamed))
     return (
-        df.join(repeated, F.expr(f"{id_col} <=> _id"), "left")
-        .withColumn("is_repeat", F.expr(f"coalesce({seq} > _first, false)"))
+        df.join(repeated.where("_id IS NOT NULL"), F.expr(f"{id_col} = _id"), "left")
+        .withColumn("_first", first)
+        .withColumns(
+            {
+                "is_repeat": F.expr(f"coalesce({seq} > _first, false)"),
+                "is_first": F.expr(f"coalesce({seq} = _first, false)"),
+            }
+        )
         .drop("_id", "_first")
     )
 
@@ -70,29 +92,39 @@ ORDER_RULES = {
 }
 
 
-def check_customers(cleaned: DataFrame) -> DataFrame:
-    flagged = flag_repeats(cleaned, "customer_id")
+RULES = {"customers": CUSTOMER_RULES, "products": PRODUCT_RULES, "orders": ORDER_RULES}
+FIRST = "is_first"
+
+
+def check_customers(cleaned: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    flagged = flag_repeats(cleaned, "customer_id", repeated=repeated)
     return flagged.withColumn(REASON, _first_reason(CUSTOMER_RULES)).drop("is_repeat")
 
 
-def check_products(cleaned: DataFrame) -> DataFrame:
-    flagged = flag_repeats(cleaned, "product_id")
+def check_products(cleaned: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+    flagged = flag_repeats(cleaned, "product_id", repeated=repeated)
     return flagged.withColumn(REASON, _first_reason(PRODUCT_RULES)).drop("is_repeat")
 
 
 def check_orders(
-    cleaned: DataFrame, valid_customers: DataFrame, valid_products: DataFrame
+    cleaned: DataFrame, valid_customers: DataFrame, valid_products: DataFrame,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """Orders are checked against *validated* dimensions, whose ids are unique.
 
+    The product join also brings ``unit_price`` and ``unit_cost``, so that no later step has
+    to join order lines with products for them.
+
     The customer join comes last: reports group by product or join the catalogue next, so
     each of the three joins is followed by another exchange and AQE is free to split a hot
     key in any of them.
     """
     customer_ids = valid_customers.selectExpr("customer_id as known_customer")
-    product_ids = valid_products.selectExpr("product_id as known_product")
+    product_ids = valid_products.selectExpr(
+        "product_id as known_product", "price as unit_price", "cost as unit_cost"
+    )
     return (
-        flag_repeats(cleaned, "order_id")
+        flag_repeats(cleaned, "order_id", repeated=repeated)
         .join(product_ids, F.expr("product_id = known_product"), "left")
         .join(customer_ids, F.expr("customer_id = known_customer"), "left")
         .withColumn(REASON, _first_reason(ORDER_RULES))
@@ -100,8 +132,32 @@ def check_orders(
     )
 
 
+REJECTED = "is_rejected"
+YEAR = "order_year"
+
+
+def split(checked: DataFrame) -> DataFrame:
+    """``checked`` with the columns it is stored by: the outcome, and the year of an order."""
+    out = checked.withColumn(REJECTED, F.col(REASON).isNotNull())
+    return out.withColumn(YEAR, F.year("order_date")) if "order_date" in checked.columns else out
+
+
+def outcome_counts(table: str) -> list[Column]:
+    """Rows, rows per rejection reason and first rows of repeated ids, to observe on a write."""
+    reasons = [count_where(f"{REASON} = '{name}'").alias(name) for name in RULES[table]]
+    return [F.count(F.lit(1)).alias("rows"), *reasons, count_where(FIRST).alias(FIRST)]
+
+
 def valid_rows(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col(REASON).isNull()).drop(REASON)
+    """Rows without a reason; of a stored table, only its valid directories are read."""
+    if REJECTED in checked.columns:
+        checked = checked.where(f"NOT {REJECTED}")
+    return checked.where(F.col(REASON).isNull()).drop(REASON, REJECTED, FIRST)
+
+
+def rejected_rows(checked: DataFrame) -> DataFrame:
+    """Rows with a reason; of a stored table, only its rejected directories are read."""
+    return checked.where(REJECTED if REJECTED in checked.columns else f"{REASON} IS NOT NULL")
 
 
 def dead_letters(
@@ -109,10 +165,11 @@ def dead_letters(
 ) -> DataFrame:
     """Rejected rows in the dead-letter layout; the payload is the cleaned row as JSON."""
     id_col = id_col or ID_COLUMNS[table_name]
-    payload = [c for c in checked.columns if c not in (REASON, SEQ)]
+    added = (REASON, SEQ, FIRST, REJECTED, YEAR, "unit_price", "unit_cost")
+    payload = [c for c in checked.columns if c not in added]
     known = F.col(id_col).cast("string") if id_col in checked.columns else F.lit(None)
     identifier = F.coalesce(known, F.lit("UNKNOWN"))
-    return checked.where(F.col(REASON).isNotNull()).select(
+    return rejected_rows(checked).select(
         F.lit(table_name).alias("table_name"),
         identifier.alias("record_identifier"),
         F.col(REASON),

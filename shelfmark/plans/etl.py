@@ -6,23 +6,32 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
+from shelfmark import schemas
 from shelfmark.functions.exprs import count_where, pct
 from shelfmark.operators import clean, validate
 from shelfmark.operators.validate import REASON
-from shelfmark.session import fresh_dir, stored
+from shelfmark.session import fresh_dir, stored, stored_split
 from shelfmark.sources.adapter import Tables
 
 
+HOT_SHARE = 4  # times an even bucket that one customer's orders may fill
+
+
 @dataclass(frozen=True)
 class Etl:
     """Cleaning and validation of one set of raw tables.
 
     The annotated tables are written once to the shared folder (``store_dir``, by default
-    a new one). Valid rows, dead letters and counts are all read from there, so a report
-    never repeats the cleaning, and every join sees the true size of a dimension: below
-    Spark's threshold it is broadcast, above it is shuffled.
+    a new one), split into valid and rejected rows, orders by year as well. Valid rows and dead
+    letters are read from there, so a report never repeats the cleaning and opens only the
+    rows it is about, and every join sees the true size of a dimension: below Spark's
+    threshold it is broadcast, above it is shuffled. Outcomes are counted while the rows are written.
+
+    Orders carry their unit price and cost and are dealt into buckets by customer. If one
+    customer has more orders than HOT_SHARE even buckets, they are left undealt: then Spark
+    shuffles by customer, after combining rows in each task.
     """
 
     raw: Tables
@@ -38,25 +47,77 @@ class Etl:
         )
 
     @cached_property
-    def checked(self) -> Tables:
-        out = self.store_dir or fresh_dir(self.raw.orders.sparkSession, "checked")
+    def _out(self) -> str:
+        return self.store_dir or fresh_dir(self.raw.orders.sparkSession, "checked")
+
+    def _repeated(self, name: str, cleaned: DataFrame) -> DataFrame:
+        ids = validate.repeated_ids(cleaned, validate.ID_COLUMNS[name])
+        return stored(ids, f"{self._out}/repeated-{name}")
+
+    def _store(
+        self, name: str, annotated: DataFrame, repeated: DataFrame, by: list[str],
+        buckets: tuple[int, str] | None = None,
+    ) -> tuple[DataFrame, dict[str, int]]:
+        """Write one annotated table; its counts are taken on the way, in the writing stage."""
+        counts = Observation()
+        split = validate.split(annotated)
+        if buckets:
+            split = split.repartition(*buckets)
+        watched = split.observe(counts, *validate.outcome_counts(name)).drop(validate.FIRST)
+        table = stored_split(watched, f"{self._out}/{name}", by, buckets)
+        if counts.get[validate.FIRST] != repeated.count():
+            raise ValueError(f"{name}: rows of one id share their {validate.SEQ}")
+        return table, counts.get
+
+    def _store_dimension(self, name: str, cleaned: DataFrame, check) -> tuple[DataFrame, dict[str, int]]:
+        repeated = self._repeated(name, cleaned)
+        return self._store(name, check(cleaned, repeated), repeated, [validate.REJECTED])
+
+    def _buckets(self) -> tuple[int, str] | None:
+        """Buckets by customer, unless a customer would fill too much of one."""
+        orders = self.raw.orders
+        n = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        per_customer = orders.groupBy("customer_id").agg(F.count("*").alias("n"))
+        most, total = per_customer.agg(F.max("n"), F.sum("n")).first()
+        return None if (most or 0) * n > HOT_SHARE * (total or 0) else (n, "customer_id")
+
+    @cached_property
+    def _checked(self) -> dict[str, tuple[DataFrame, dict[str, int]]]:
         cleaned = self.cleaned
-        with ThreadPoolExecutor(2) as jobs:  # two independent Spark jobs
-            pending = [
-                jobs.submit(stored, validate.check_customers(cleaned.customers), f"{out}/customers"),
-                jobs.submit(stored, validate.check_products(cleaned.products), f"{out}/products"),
-            ]
-            customers, products = (job.result() for job in pending)
+        with ThreadPoolExecutor(4) as jobs:  # independent Spark jobs
+            dims = {
+                "customers": jobs.submit(
+                    self._store_dimension, "customers", cleaned.customers, validate.check_customers),
+                "products": jobs.submit(
+                    self._store_dimension, "products", cleaned.products, validate.check_products),
+            }
+            repeated = jobs.submit(self._repeated, "orders", cleaned.orders)
+            buckets = jobs.submit(self._buckets)
+            out = {name: job.result() for name, job in dims.items()}
         orders = validate.check_orders(
-            cleaned.orders, validate.valid_rows(customers), validate.valid_rows(products)
+            cleaned.orders, *[validate.valid_rows(df) for df, _ in out.values()], repeated.result()
         )
-        return Tables(customers, products, stored(orders, f"{out}/orders"))
+        by = [validate.REJECTED, validate.YEAR]
+        out["orders"] = self._store("orders", orders, repeated.result(), by, buckets.result())
+        return out
+
+    @cached_property
+    def checked(self) -> Tables:
+        return Tables(**{name: df for name, (df, _) in self._checked.items()})
 
     @cached_property
     def valid(self) -> Tables:
-        return Tables(
-            **{n: validate.valid_rows(df).drop("src_seq") for n, df in self.checked.items().items()}
-        )
+        """The validated tables in their published columns."""
+        return Tables(**{
+            n: validate.valid_rows(df).select(*schemas.CLEAN[n].names)
+            for n, df in self.checked.items().items()
+        })
+
+    @cached_property
+    def priced(self) -> Tables:
+        """The validated tables; orders with their prices, year and bucketing."""
+        orders = validate.valid_rows(self.checked.orders).drop(validate.SEQ)
+        return Tables(self.valid.customers, self.valid.products, orders)
 
     @cached_property
     def rejected(self) -> DataFrame:
@@ -69,10 +130,14 @@ class Etl:
 
     @cached_property
     def outcomes(self) -> DataFrame:
-        """Rows per table and rejection reason; NULL is the valid bucket."""
-        return validate.union_all(
-            [validate.reason_counts(df, name) for name, df in self.checked.items().items()]
-        )
+        """Rows per table and rejection reason; NULL is the valid bucket. One row per rule."""
+        rows = []
+        for name, (_, counts) in self._checked.items():
+            reasons = {rule: counts[rule] for rule in validate.RULES[name]}
+            valid = counts["rows"] - sum(reasons.values())
+            rows += [(name, rule, n) for rule, n in ((None, valid), *reasons.items()) if n]
+        spark = self.raw.orders.sparkSession
+        return spark.createDataFrame(rows, f"table_name string, {REASON} string, n long")
 
     @cached_property
     def stats(self) -> DataFrame:

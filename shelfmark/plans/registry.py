@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -43,14 +44,28 @@ RETAIL = ("region", "nation", "customer", "part", "orders", "lineitem")
 
 
 def _state(spark: SparkSession, sf_dir: str) -> int:
-    """A number that changes with the path, length or time of any input file."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([f"{sf_dir}/{t}.parquet" for t in RETAIL])
-    return files.agg(F.sum(F.xxhash64("path", "length", "modificationTime") % (1 << 40))).first()[0]
+    """A number that changes with the path, length or time of any input file. The file system
+    lists them; no job is run."""
+    found, conf = [], spark._jsc.hadoopConfiguration()
+    for t in RETAIL:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hash(tuple(sorted(found)))
+
+
+def stored_raw(spark: SparkSession, sf_dir: str) -> Tables:
+    """The raw tables, extracted once: later passes over them read only the columns they need."""
+    out, raw = fresh_dir(spark, "raw"), raw_tables(spark, sf_dir).items()
+    with ThreadPoolExecutor(3) as jobs:
+        return Tables(*jobs.map(lambda name: stored(raw[name], f"{out}/{name}"), raw))
 
 
 @lru_cache(maxsize=4)
 def _etl(application: str, state: int, spark: SparkSession, sf_dir: str) -> Etl:
-    return Etl(raw_tables(spark, sf_dir), RUN_TIMESTAMP)
+    return Etl(stored_raw(spark, sf_dir), RUN_TIMESTAMP)
 
 
 def etl_of(spark: SparkSession, sf_dir: str) -> Etl:
@@ -61,7 +76,7 @@ def etl_of(spark: SparkSession, sf_dir: str) -> Etl:
 
 @lru_cache(maxsize=4)
 def _scored(application: str, state: int, spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = scored_customers(etl_of(spark, sf_dir).valid)
+    scored = scored_customers(etl_of(spark, sf_dir).priced)
     return stored(scored, fresh_dir(spark, "scored"))
 
 
@@ -76,7 +91,7 @@ def _add(name: str, build: Callable[[Etl], DataFrame]) -> None:
 
 
 def _add_valid(name: str, build: Callable[[Tables], DataFrame]) -> None:
-    _add(name, lambda etl: build(etl.valid))
+    _add(name, lambda etl: build(etl.priced))
 
 
 def _add_scored(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
@@ -100,9 +115,13 @@ _add("cln12_product_stats", lambda e: clean.product_clean_stats(e.cleaned.produc
 _add("cln12_order_stats", lambda e: clean.order_clean_stats(e.cleaned.orders))
 _add("cln12_status_distribution", lambda e: clean.status_distribution(e.cleaned.orders))
 
-_add("val1_customers", lambda e: e.checked.customers)
-_add("val3_products", lambda e: e.checked.products)
-_add("val4_orders", lambda e: _seq_as_text(e.checked.orders))
+def _annotated(e: Etl, name: str) -> DataFrame:
+    return e.checked.items()[name].select(validate.SEQ, *schemas.CLEAN[name].names, validate.REASON)
+
+
+_add("val1_customers", lambda e: _annotated(e, "customers"))
+_add("val3_products", lambda e: _annotated(e, "products"))
+_add("val4_orders", lambda e: _seq_as_text(_annotated(e, "orders")))
 _add("val6_valid_orders", lambda e: e.valid.orders)
 _add("val7_dead_letters", lambda e: e.rejected.drop("raw_payload"))
 _add("val8_reason_counts", lambda e: e.reasons)
@@ -220,7 +239,7 @@ _add("dq7_foreign_keys", lambda e: quality.foreign_key_audits(e.raw))
 _add("dq8_temporal_violations",
      lambda e: quality.temporal_violations(e.raw.orders, e.raw.customers))
 _add("dq9_reconciliation", lambda e: reconciliation(e, facts.order_analytics(
-    e.valid.orders, e.valid.customers, e.valid.products)))
+    e.priced.orders, e.valid.customers, e.valid.products)))
 _add("dq10_orphan_root_causes", lambda e: quality.orphan_root_causes(e.raw, e.valid.products))
 _add("dq11_negative_quantities", lambda e: quality.negative_quantities(e.raw.orders))
 _add("dq12_margin_divergence", lambda e: quality.margin_divergence(e.valid.products))
@@ -229,21 +248,21 @@ _add("dq14_status_units", lambda e: quality.status_units(e.valid.orders))
 _add("dq14_refund_quantities", lambda e: quality.refund_quantities(e.valid.orders))
 _add("dq15_payload_fields", lambda e: quality.payload_fields(e.rejected))
 _add("dq16_revenue_identities", lambda e: quality.revenue_identities(
-    facts.order_lines(e.valid.orders, e.valid.products)))
+    facts.order_lines(e.priced.orders, e.valid.products)))
 _add("dq17_cross_totals", lambda e: quality.cross_totals(
-    durable(facts.order_lines(e.valid.orders, e.valid.products).select(
+    durable(facts.order_lines(e.priced.orders, e.valid.products).select(
         "customer_id", "product_id", "order_date", "net_revenue", "net_profit"))))
 _add("dq18_quarantine_isolation",
      lambda e: quality.quarantine_isolation(e.valid, e.rejected, IDS))
 _add("dq19_star_integrity", lambda e: quality.star_integrity(
-    durable(facts.fact_orders(e.valid.orders, e.valid.products).select(
+    durable(facts.fact_orders(e.priced.orders, e.valid.products).select(
         "order_id", "customer_id", "product_id", "order_date_id")),
     e.valid.customers, e.valid.products, _dates(e.valid),
-    customer_features(e.valid.orders, e.valid.customers, e.valid.products)))
+    customer_features(e.priced.orders, e.valid.customers, e.valid.products)))
 _add("dq20_view_completeness", lambda e: quality.view_completeness(facts.order_analytics(
-    e.valid.orders, e.valid.customers, e.valid.products)))
+    e.priced.orders, e.valid.customers, e.valid.products)))
 _add("dq21_feature_bounds", lambda e: quality.feature_bounds(customer_features(
-    e.valid.orders, e.valid.customers, e.valid.products, cutoff=TEST.cutoff), TEST.cutoff))
+    e.priced.orders, e.valid.customers, e.valid.products, cutoff=TEST.cutoff), TEST.cutoff))
 _add_scored("dq22_segment_domains", rfm.segment_domain_checks)
 _add("sl5_dead_letter_samples",
      lambda e: quality.dead_letter_samples(e.rejected).drop("payload_preview"))
@@ -265,7 +284,7 @@ _add_valid("chn6_rule_score_thresholds", lambda t: churn.threshold_table(_rule_s
 @lru_cache(maxsize=4)
 def _fitted(application: str, state: int, spark: SparkSession, sf_dir: str):
     """Fitted models of a folder, shared by the model queries of one application."""
-    return PLAN.fit(etl_of(spark, sf_dir).valid)
+    return PLAN.fit(etl_of(spark, sf_dir).priced)
 
 
 def _models(spark: SparkSession, sf_dir: str):
@@ -436,7 +455,7 @@ def _audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("snk6_star_export")
 def _star_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows loaded per star table after export to CSV and catalog tables."""
-    t = etl_of(spark, sf_dir).valid
+    t = etl_of(spark, sf_dir).priced
     tables = {
         "dim_customer_analytics": _analytics(spark, sf_dir),
         "dim_date": _dates(t),
@@ -451,7 +470,7 @@ def _star_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("src5_star_import")
 def _star_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exported fact and dimensions, typed on import, joined into monthly revenue."""
-    t = etl_of(spark, sf_dir).valid
+    t = etl_of(spark, sf_dir).priced
     out = fresh_dir(spark, "star")
     writers.write_csv(_dates(t), f"{out}/dim_date.csv")
     writers.write_csv(star.dim_customers(t.customers), f"{out}/dim_customers.csv")
@@ -474,7 +493,7 @@ def _star_import(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("src4_sql_over_view")
 def _sql_over_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK8 and SRC4: create the order view, then query it with SQL text."""
-    t = etl_of(spark, sf_dir).valid
+    t = etl_of(spark, sf_dir).priced
     view = writers.create_view(
         facts.order_analytics(t.orders, t.customers, t.products), "v_order_analytics"
     )

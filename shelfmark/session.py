@@ -55,6 +55,21 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/shelfmark-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored_split(df: DataFrame, path: str, by: list[str], buckets: tuple[int, str] | None = None) -> DataFrame:
+    """Write a table once, one directory for each value of ``by``, and read it from then on.
+
+    Filters on ``by`` open only the directories that match. With ``buckets`` (number, column) rows are
+    dealt by that column's hash, and joins and sums by it need no exchange.
+    """
+    if buckets is None:
+        df.write.mode("overwrite").partitionBy(*by).parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    name = f"shelfmark_{uuid.uuid4().hex}"
+    dealt = df.write.mode("overwrite").partitionBy(*by).bucketBy(*buckets).format("parquet")
+    dealt.option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write a table once and read it from then on.
 
