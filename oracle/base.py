@@ -179,9 +179,31 @@ SELECT 'customers' AS table_name, customer_id AS record_identifier, rejection_re
 UNION ALL SELECT 'products', product_id, rejection_reason FROM checked_products
 UNION ALL SELECT 'orders', order_id, rejection_reason FROM checked_orders"""
 
-CTES["dlq"] = """
-SELECT table_name, record_identifier, rejection_reason, TIMESTAMP '2001-08-02 00:00:00' AS rejected_at
-FROM reasons WHERE rejection_reason IS NOT NULL"""
+
+def _payload(**columns: str) -> str:
+    """JSON text of a row: quoted text and dates, bare numbers and booleans, null for NULL."""
+    cells = []
+    for name, kind in columns.items():
+        value = f"CAST({name} AS VARCHAR)"
+        quoted = f"'\"' || {value} || '\"'" if kind == "text" else value
+        cells.append(f"'\"{name}\":' || COALESCE({quoted}, 'null')")
+    return "'{' || " + " || ',' || ".join(cells) + " || '}'"
+
+
+_PAYLOADS = {
+    "customers": _payload(customer_id="text", name="text", gender="text", age="number", city="text", state="text",
+                          signup_date="text", is_age_imputed="number"),
+    "products": _payload(product_id="text", product_name="text", category="text", price="number", cost="number",
+                         gross_margin_pct="number"),
+    "orders": _payload(order_id="text", customer_id="text", product_id="text", order_date="text", quantity="number",
+                       payment_method="text", order_status="text"),
+}
+CTES["dlq"] = "\nUNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, {t[:-1]}_id AS record_identifier, rejection_reason,
+  TIMESTAMP '2001-08-02 00:00:00' AS rejected_at, {payload} AS raw_payload
+FROM checked_{t} WHERE rejection_reason IS NOT NULL"""
+    for t, payload in _PAYLOADS.items()
+)
 
 CTES["v"] = f"""
 SELECT order_id, o.customer_id, o.product_id, order_date,

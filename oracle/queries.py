@@ -432,8 +432,8 @@ Q["dq12_margin_divergence"] = f"""SELECT {rnd(f"max(abs(gross_margin_pct - ({dbl
   COALESCE(bool_or(gross_margin_pct < 0), false) AS any_negative, COALESCE(bool_or(gross_margin_pct > 100), false) AS any_above_100 FROM vp"""
 Q["dq13_dead_letter_completeness"] = "\nUNION ALL ".join(
     f"SELECT '{c}_missing' AS rule, count(*) FILTER ({c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '') AS violations FROM dlq"
-    for c in ("table_name", "record_identifier", "rejection_reason", "rejected_at")
-) + "\nUNION ALL SELECT 'raw_payload_missing', 0::BIGINT UNION ALL SELECT 'payload_not_json', 0::BIGINT"
+    for c in ("table_name", "record_identifier", "rejection_reason", "rejected_at", "raw_payload")
+) + "\nUNION ALL SELECT 'payload_not_json', count(*) FILTER (NOT json_valid(raw_payload)) FROM dlq"
 Q["dq14_status_units"] = f"SELECT order_status, count(*) AS order_count, {big('SUM(quantity)')} AS total_units FROM vo GROUP BY order_status"
 Q["dq14_refund_quantities"] = "SELECT quantity, count(*) AS order_count FROM vo WHERE order_status = 'Refunded' GROUP BY quantity"
 Q["dq15_payload_fields"] = """SELECT rejection_reason, order_id, customer_id, product_id, quantity, order_status
@@ -487,8 +487,8 @@ _DOMAINS = {
 Q["dq22_segment_domains"] = "\nUNION ALL ".join(
     f"SELECT '{rule}' AS rule, count(*) FILTER ({cond}) AS violations FROM rfm" for rule, cond in _DOMAINS.items()
 )
-Q["sl5_dead_letter_samples"] = """SELECT rejection_reason, any_value(table_name) AS table_name, min(record_identifier) AS record_identifier
-FROM dlq GROUP BY rejection_reason"""
+Q["sl5_dead_letter_samples"] = """SELECT rejection_reason, any_value(table_name) AS table_name, min(record_identifier) AS record_identifier,
+  substr(arg_min(raw_payload, (record_identifier, raw_payload)), 1, 120) AS payload_preview FROM dlq GROUP BY rejection_reason"""
 
 # -------------------------------------------------------------------- model evaluation
 _ONES = "count(*) FILTER (is_churned = 1)"
@@ -530,28 +530,45 @@ historical_revenue historical_order_count recent_revenue_ratio recent_order_rati
 rfm_score customer_segment risk_score risk_level key_risk_driver recommended_action""".split()
 _MONEY = """total_gross_revenue total_revenue total_profit refund_amount cancellation_amount recent_revenue
 historical_revenue""".split()
-Q["src1_csv_round_trip"] = f"SELECT {_ORD} FROM raw_orders"
+Q["src1_csv_round_trip"] = f"""SELECT CAST(src_seq AS VARCHAR) AS src_seq, * EXCLUDE (src_seq) FROM (SELECT src_seq, {_ORD.replace("order_status", """
+  CASE quantity WHEN 3 THEN order_status || chr(10) || '"x" ' || chr(92) || 'n' || chr(92) WHEN 4 THEN ''
+  WHEN 5 THEN chr(13) || chr(10) || ',' ELSE order_status END AS order_status""")} FROM raw_orders)"""
 Q["src2_extract_counts"] = """SELECT TIMESTAMP '2001-08-02 00:00:00' AS extracted_at, (SELECT count(*) FROM raw_customers) AS customers,
   (SELECT count(*) FROM raw_products) AS products, (SELECT count(*) FROM raw_orders) AS orders"""
 Q["snk1_processed_files"] = Q["rpt01_executive_scorecard"]
-Q["src6_dead_letter_file"] = Q["rpt20_dlq_root_causes"]
+Q["src6_dead_letter_file"] = Q["val7_dead_letters"]
 _LOADED = """SELECT 'customers' AS table_name, count(*) AS {n} FROM vc UNION ALL SELECT 'products', count(*) FROM vp
 UNION ALL SELECT 'orders', count(*) FROM vo"""
 Q["snk3_load_tables"] = _LOADED.format(n="rows_loaded") + " UNION ALL SELECT 'rejected_records', count(*) FROM dlq"
 Q["snk9_list_tables"] = _LOADED.format(n="row_count")
+_PAIRS = "(SELECT string_agg(k || '=' || n, ';' ORDER BY k || '=' || n) FROM ({}))"
+_AUDIT = f"""(SELECT count(*) FROM reasons) AS extracted_rows,
+  {_PAIRS.format("SELECT table_name AS k, count(*) AS n FROM reasons GROUP BY 1")} AS source_counts,
+  a.ages_imputed, a.unknown_genders, a.median_imputed_age, b.missing_categories, b.missing_costs, b.average_margin_pct,
+  c.unknown_payment_methods, a.input_rows AS cleaned_customers, b.input_rows AS cleaned_products, c.input_rows AS cleaned_orders,
+  {_PAIRS.format("SELECT COALESCE(order_status, 'missing') AS k, count(*) AS n FROM clean_orders GROUP BY 1")} AS status_distribution,
+  (SELECT count(*) FROM reasons WHERE rejection_reason IS NULL) AS valid_rows, (SELECT count(*) FROM dlq) AS rejected_rows,
+  (SELECT {pct('count(*) FILTER (rejection_reason IS NULL)', 'count(*)')} FROM reasons) AS overall_pass_rate_pct, """ + ", ".join(
+    f"(SELECT {c} FROM ({_STATS}) WHERE table_name = '{t}') AS {t}_{c}"
+    for t in ("customers", "products", "orders") for c in ("total_input", "valid_count", "rejected_count", "pass_rate_pct")
+) + f""",
+  {_PAIRS.format("SELECT rejection_reason AS k, count(*) AS n FROM dlq GROUP BY 1")} AS dead_letter_queue_breakdown"""
+_STATS3 = f"({Q['cln12_customer_stats']}) a, ({Q['cln12_product_stats']}) b, ({Q['cln12_order_stats']}) c"
+Q["snk2_audit_summary"] = f"""SELECT 'RUN_TEST' AS pipeline_run_id, TIMESTAMP '2001-08-02 00:00:00' AS run_timestamp,
+  0.0::DOUBLE AS duration_seconds, {_AUDIT} FROM {_STATS3}"""
 Q["rpt21_audit_log"] = f"""WITH s AS (SELECT count(*) AS total_extracted, count(*) FILTER (rejection_reason IS NULL) AS total_valid,
     count(rejection_reason) AS total_rejected FROM reasons)
 SELECT i AS pipeline_run_id, t AS run_timestamp, 'parquet' AS database_type, total_extracted, total_valid, total_rejected,
-  {pct('total_valid', 'total_extracted')} AS pass_rate_pct
-FROM s JOIN (VALUES ('RUN_A', TIMESTAMP '2001-08-01 00:00:00'), ('RUN_B', TIMESTAMP '2001-08-02 00:00:00')) x(i, t) ON true"""
+  {pct('total_valid', 'total_extracted')} AS pass_rate_pct, {_AUDIT}
+FROM {_STATS3}, s JOIN (VALUES ('RUN_A', TIMESTAMP '2001-08-01 00:00:00'), ('RUN_B', TIMESTAMP '2001-08-02 00:00:00')) x(i, t) ON true"""
 Q["snk6_star_export"] = f"""SELECT 'dim_date' AS table_name, count(*) AS rows_loaded FROM {_D} UNION ALL SELECT 'dim_products', count(*) FROM vp
 UNION ALL SELECT 'dim_customers', count(*) FROM vc UNION ALL SELECT 'fact_orders', count(*) FROM vo
 UNION ALL SELECT 'dim_customer_analytics', count(*) FROM vc"""
 # The stored customer table; SQL cannot fit the model, so its probability counts as present or not.
 Q["snk5_customer_analytics"] = f"""SELECT {", ".join(dbl(c) + " AS " + c if c in _MONEY else c for c in _ANALYTICS)},
   TRUE AS has_probability FROM scored"""
-Q["src5_star_import"] = f"""SELECT order_month AS month_year, customer_state AS state, {dbl('SUM(net_revenue)')} AS net_revenue
-FROM v GROUP BY order_month, customer_state"""
+Q["src5_star_import"] = f"""SELECT table_name, rows_loaded AS rows_imported, rows_loaded AS rows_exported, 0::BIGINT AS rows_missing,
+  0::BIGINT AS rows_added FROM ({Q['snk6_star_export']})"""
 Q["src4_sql_over_view"] = f"""SELECT customer_state, product_category, count(order_id) AS orders, {dbl('SUM(net_revenue)')} AS net_revenue
 FROM v WHERE is_completed = 1 GROUP BY customer_state, product_category"""
 

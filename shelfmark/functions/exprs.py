@@ -47,26 +47,15 @@ def title_case_sql(x: str) -> str:
 
 
 def lookup_sql(x: str, mapping: Mapping[str, str]) -> str:
-    """Case-insensitive alias lookup; NULL for anything that is not listed."""
-    aliases: dict[str, list[str]] = {}
-    for alias, target in mapping.items():
-        aliases.setdefault(target, []).append(_quoted(alias))
-    cases = " ".join(
-        f"WHEN lower({strip_sql(x)}) IN ({', '.join(names)}) THEN {_quoted(target)}"
-        for target, names in aliases.items()
-    )
-    return f"CASE {cases} END"
+    """Case-insensitive alias lookup of stripped text; NULL for anything that is not listed."""
+    pairs = ", ".join(_quoted(word) for pair in mapping.items() for word in pair)
+    return f"try_element_at(map({pairs}), lower({x}))"
 
 
 def strip(x: str) -> Column:
     return F.expr(strip_sql(x))
 
 
-def title_case(x: str) -> Column:
-    """Title-cased text without surrounding whitespace."""
-    return F.expr(title_case_sql(strip_sql(x)))
-
-
 def capitalize(x: str) -> Column:
     """First character upper-case, all others lower-case, blanks untouched."""
     return F.expr(f"concat(upper(substring({x}, 1, 1)), lower(substring({x}, 2)))")

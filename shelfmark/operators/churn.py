@@ -6,14 +6,16 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    LogisticRegression, LogisticRegressionModel, RandomForestClassifier,
+)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfmark.functions.exprs import as_double, count_where, rnd
 from shelfmark.operators.ranking import value_ranks
-from shelfmark.session import durable
+from shelfmark.session import durable, fresh_dir
 
 # The model inputs, all known at the cutoff, and the thresholds reported.
 FEATURES = (
@@ -78,7 +80,7 @@ def fit_logistic(train: DataFrame) -> PipelineModel:
     the population deviation.
     """
     weighted, n = _balanced(train)
-    return Pipeline(
+    fitted = Pipeline(
         stages=[
             _assembler(),
             StandardScaler(inputCol="inputs", outputCol="features", withMean=True, withStd=True),
@@ -88,6 +90,11 @@ def fit_logistic(train: DataFrame) -> PipelineModel:
             ),
         ]
     ).fit(weighted)
+    # A model read back has no training summary. That holds the session, which cannot be sent to
+    # tasks once anything was observed in it.
+    path = fresh_dir(train.sparkSession, "logistic")
+    fitted.stages[-1].write().save(path)
+    return PipelineModel([*fitted.stages[:-1], LogisticRegressionModel.load(path)])
 
 
 def fit_forest(train: DataFrame, seed: int = 42) -> PipelineModel:

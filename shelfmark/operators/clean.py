@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfmark.functions.exprs import (
-    count_where, lookup_sql, rnd, strip, strip_sql, title_case, title_case_sql,
+    count_where, lookup_sql, rnd, strip_sql, title_case_sql,
 )
 
 # Canonical names and their accepted aliases (lower case).
@@ -49,16 +49,25 @@ def median_age(raw_customers: DataFrame) -> Column:
     return counts.agg(F.expr(f"coalesce(percentile(age, 0.5D, n), {FALLBACK_AGE}D)")).scalar()
 
 
+def _stripped(raw: DataFrame, *columns: str) -> DataFrame:
+    """Text columns without surrounding whitespace.
+
+    In a projection of their own: the expressions on top use each several times, and it is
+    computed once that way.
+    """
+    return raw.withColumns({c: F.expr(strip_sql(c)) for c in columns})
+
+
 def clean_customers(raw: DataFrame, median: Column | None = None) -> DataFrame:
     """Canonical names, gender and dates; missing ages take the median of the input."""
     median = median_age(raw) if median is None else median
-    return raw.withColumns(
+    return _stripped(raw, "name", "gender", "city", "state").withColumns(
         {
-            "name": title_case("name"),
+            "name": F.expr(title_case_sql("name")),
             "gender": F.expr(f"coalesce({lookup_sql('gender', GENDERS)}, '{UNKNOWN}')"),
             "age": rnd(F.coalesce(F.expr("try_cast(age as double)"), median), 1),
-            "city": title_case("city"),
-            "state": F.expr(f"upper({strip_sql('state')})"),
+            "city": F.expr(title_case_sql("city")),
+            "state": F.upper("state"),
             "signup_date": F.expr("cast(signup_date as date)"),
             "is_age_imputed": F.expr("try_cast(age as double) is null"),
         }
@@ -67,12 +76,9 @@ def clean_customers(raw: DataFrame, median: Column | None = None) -> DataFrame:
 
 def clean_products(raw: DataFrame) -> DataFrame:
     """Canonical categories, money at two digits, derived margin."""
-    category = f"coalesce({lookup_sql('category', CATEGORIES)}, " + (
-        title_case_sql(strip_sql("category")) + ")"
-    )
-    return raw.withColumns(
+    category = f"coalesce({lookup_sql('category', CATEGORIES)}, {title_case_sql('category')})"
+    return _stripped(raw, "product_name", "category").withColumns(
         {
-            "product_name": strip("product_name"),
             "category": F.expr(category),
             "price": F.expr("try_cast(price as decimal(18,2))"),
             "cost": F.expr("try_cast(cost as decimal(18,2))"),
@@ -86,11 +92,11 @@ def clean_products(raw: DataFrame) -> DataFrame:
 def clean_orders(raw: DataFrame) -> DataFrame:
     """Canonical payment methods, statuses and dates."""
     payment = f"coalesce({lookup_sql('payment_method', PAYMENT_METHODS)}, '{UNKNOWN}')"
-    return raw.withColumns(
+    return _stripped(raw, "payment_method", "order_status").withColumns(
         {
             "order_date": F.expr("cast(order_date as date)"),
             "payment_method": F.expr(payment),
-            "order_status": title_case("order_status"),
+            "order_status": F.expr(title_case_sql("order_status")),
         }
     )
 

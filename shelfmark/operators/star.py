@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfmark.functions.exprs import as_double, rnd
 from shelfmark.operators.facts import date_id
+from shelfmark.operators.validate import union_all
 
 
 def _calendar(days: DataFrame) -> DataFrame:
@@ -85,3 +86,27 @@ def star_reconciliation(
             "dim_date_count": rows(dates),
         }
     )
+
+
+def import_differences(imported: dict[str, DataFrame], exported: dict[str, DataFrame]) -> DataFrame:
+    """Per table: rows on both sides, and rows that only one of them has.
+
+    Rows are counted per value on either side and compared once, so repeats count and each side
+    is shuffled once, combined in its tasks first.
+    """
+    parts = []
+    for name, back in imported.items():
+        columns = back.columns
+        sides = [
+            df.select(F.struct(*columns).alias("row"), F.lit(i).alias("i"), F.lit(o).alias("o"))
+            for df, i, o in ((back, 1, 0), (exported[name], 0, 1))
+        ]
+        counted = sides[0].unionByName(sides[1]).groupBy("row").agg(F.sum("i").alias("i"), F.sum("o").alias("o"))
+        parts.append(counted.agg(
+            F.lit(name).alias("table_name"),
+            F.coalesce(F.sum("i"), F.lit(0)).cast("long").alias("rows_imported"),
+            F.coalesce(F.sum("o"), F.lit(0)).cast("long").alias("rows_exported"),
+            F.coalesce(F.sum(F.greatest(F.col("o") - F.col("i"), F.lit(0))), F.lit(0)).cast("long").alias("rows_missing"),
+            F.coalesce(F.sum(F.greatest(F.col("i") - F.col("o"), F.lit(0))), F.lit(0)).cast("long").alias("rows_added"),
+        ))
+    return union_all(parts)

@@ -12,7 +12,7 @@ from shelfmark import schemas
 from shelfmark.functions.exprs import count_where, pct
 from shelfmark.operators import clean, validate
 from shelfmark.operators.validate import REASON
-from shelfmark.session import fresh_dir, stored, stored_split
+from shelfmark.session import fresh_dir, stored_counted, stored_split
 from shelfmark.sources.adapter import Tables
 
 
@@ -50,12 +50,12 @@ class Etl:
     def _out(self) -> str:
         return self.store_dir or fresh_dir(self.raw.orders.sparkSession, "checked")
 
-    def _repeated(self, name: str, cleaned: DataFrame) -> DataFrame:
+    def _repeated(self, name: str, cleaned: DataFrame) -> tuple[DataFrame, int]:
         ids = validate.repeated_ids(cleaned, validate.ID_COLUMNS[name])
-        return stored(ids, f"{self._out}/repeated-{name}")
+        return stored_counted(ids, f"{self._out}/repeated-{name}")
 
     def _store(
-        self, name: str, annotated: DataFrame, repeated: DataFrame, by: list[str],
+        self, name: str, annotated: DataFrame, repeated: int, by: list[str],
         buckets: tuple[int, str] | None = None,
     ) -> tuple[DataFrame, dict[str, int]]:
         """Write one annotated table; its counts are taken on the way, in the writing stage."""
@@ -65,13 +65,13 @@ class Etl:
             split = split.repartition(*buckets)
         watched = split.observe(counts, *validate.outcome_counts(name)).drop(validate.FIRST)
         table = stored_split(watched, f"{self._out}/{name}", by, buckets)
-        if counts.get[validate.FIRST] != repeated.count():
+        if counts.get[validate.FIRST] != repeated:
             raise ValueError(f"{name}: rows of one id share their {validate.SEQ}")
         return table, counts.get
 
     def _store_dimension(self, name: str, cleaned: DataFrame, check) -> tuple[DataFrame, dict[str, int]]:
-        repeated = self._repeated(name, cleaned)
-        return self._store(name, check(cleaned, repeated), repeated, [validate.REJECTED])
+        repeated, n = self._repeated(name, cleaned)
+        return self._store(name, check(cleaned, repeated), n, [validate.REJECTED])
 
     def _buckets(self) -> tuple[int, str] | None:
         """Buckets by customer, unless a customer would fill too much of one."""
@@ -94,11 +94,12 @@ class Etl:
             repeated = jobs.submit(self._repeated, "orders", cleaned.orders)
             buckets = jobs.submit(self._buckets)
             out = {name: job.result() for name, job in dims.items()}
+        ids, n = repeated.result()
         orders = validate.check_orders(
-            cleaned.orders, *[validate.valid_rows(df) for df, _ in out.values()], repeated.result()
+            cleaned.orders, *[validate.valid_rows(df) for df, _ in out.values()], ids
         )
         by = [validate.REJECTED, validate.YEAR]
-        out["orders"] = self._store("orders", orders, repeated.result(), by, buckets.result())
+        out["orders"] = self._store("orders", orders, n, by, buckets.result())
         return out
 
     @cached_property

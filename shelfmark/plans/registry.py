@@ -12,7 +12,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfmark import schemas
 from shelfmark.functions.exprs import as_double, money_as_double
@@ -123,7 +123,7 @@ _add("val1_customers", lambda e: _annotated(e, "customers"))
 _add("val3_products", lambda e: _annotated(e, "products"))
 _add("val4_orders", lambda e: _seq_as_text(_annotated(e, "orders")))
 _add("val6_valid_orders", lambda e: e.valid.orders)
-_add("val7_dead_letters", lambda e: e.rejected.drop("raw_payload"))
+_add("val7_dead_letters", lambda e: e.rejected)
 _add("val8_reason_counts", lambda e: e.reasons)
 _add("val9_table_stats", lambda e: e.stats)
 _add("val10_declared_constraints", lambda e: validate.declared_constraints(e.cleaned.items()))
@@ -264,8 +264,7 @@ _add("dq20_view_completeness", lambda e: quality.view_completeness(facts.order_a
 _add("dq21_feature_bounds", lambda e: quality.feature_bounds(customer_features(
     e.priced.orders, e.valid.customers, e.valid.products, cutoff=TEST.cutoff), TEST.cutoff))
 _add_scored("dq22_segment_domains", rfm.segment_domain_checks)
-_add("sl5_dead_letter_samples",
-     lambda e: quality.dead_letter_samples(e.rejected).drop("payload_preview"))
+_add("sl5_dead_letter_samples", lambda e: quality.dead_letter_samples(e.rejected))
 
 
 # -------------------------------------------------------------------------- churn models
@@ -383,10 +382,16 @@ def _model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------- sources and sinks
 @_register("src1_csv_round_trip")
 def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw orders written as CSV, then read back with their schema in input order."""
+    """Raw orders, some with line breaks, quotes, backslashes or empty text planted, written as CSV and read
+    back with their schema; their sequence number travels as a text column."""
     path = f"{fresh_dir(spark, 'raw')}/orders.csv"
-    writers.write_csv(etl_of(spark, sf_dir).raw.orders.drop("src_seq"), path)
-    return readers.extract_raw_table(spark, path, "orders").drop("src_seq")
+    odd = F.when(F.col("quantity") == 3, F.concat("order_status", F.lit('\n"x" \\n\\'))).when(
+        F.col("quantity") == 4, F.lit("")).when(F.col("quantity") == 5, F.lit("\r\n,")).otherwise(F.col("order_status"))
+    raw = etl_of(spark, sf_dir).raw.orders.withColumn("order_status", odd)
+    writers.write_csv(raw.select(F.col("src_seq").cast("string").alias("row_seq"), *schemas.RAW_ORDERS.names), path)
+    schema = T.StructType([T.StructField("row_seq", T.StringType()), *schemas.RAW_ORDERS.fields])
+    back = readers.extract_raw_table(spark, path, "orders", schema, foreign=False)
+    return back.drop("src_seq").withColumnRenamed("row_seq", "src_seq")
 
 
 @_register("src2_extract_counts")
@@ -394,7 +399,7 @@ def _extract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_dir(spark, "raw")
     for name, df in etl_of(spark, sf_dir).raw.items().items():
         writers.write_csv(df.drop("src_seq"), f"{out}/{name}.csv")
-    _, metadata = readers.extract_all(spark, out, RUN_TIMESTAMP)
+    _, metadata = readers.extract_all(spark, out, RUN_TIMESTAMP, foreign=False)
     return metadata.select("extracted_at", "source_counts.*")
 
 
@@ -416,8 +421,16 @@ def _processed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("src6_dead_letter_file")
 def _dead_letter_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dead letters as their file gives them back, payloads included."""
     _, out = _processed(spark, sf_dir)
-    return reports.dlq_root_causes(readers.read_dead_letters(spark, out))
+    return readers.read_dead_letters(spark, out)
+
+
+@_register("snk2_audit_summary")
+def _audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every number of the audit summary, from the JSON file that was written."""
+    _, out = _processed(spark, sf_dir)
+    return reports.audit_details(readers.read_audit_summary(spark, out))
 
 
 def _table_prefix() -> str:
@@ -443,51 +456,43 @@ def _list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("rpt21_audit_log")
 def _audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two appended runs, newest first."""
+    """Two appended runs, newest first, with the numbers of their audits."""
     name, path = f"{_table_prefix()}audit", fresh_dir(spark, "audit")
     etl = etl_of(spark, sf_dir)
     for run_id, stamp in (("RUN_A", "2001-08-01 00:00:00"), ("RUN_B", RUN_TIMESTAMP)):
         audit = run_audit(etl, run_id, stamp)
         writers.append_audit_row(audit_log_row(audit, "parquet"), name, path)
-    return reports.audit_history(spark.table(name))
+    log = readers.parsed_audit_log(reports.audit_history(spark.table(name)))
+    return reports.audit_details(log, "audit.").drop("audit_json")
 
 
-@_register("snk6_star_export")
-def _star_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows loaded per star table after export to CSV and catalog tables."""
+def _star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     t = etl_of(spark, sf_dir).priced
-    tables = {
+    return {
         "dim_customer_analytics": _analytics(spark, sf_dir),
         "dim_date": _dates(t),
         "dim_products": star.dim_products(t.products),
         "dim_customers": star.dim_customers(t.customers),
         "fact_orders": facts.fact_orders(t.orders, t.products),
     }
+
+
+@_register("snk6_star_export")
+def _star_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows loaded per star table after export to CSV and catalog tables."""
+    tables = _star_tables(spark, sf_dir)
     return writers.export_star(
         tables, fresh_dir(spark, "star"), _table_prefix(), fresh_dir(spark, "tables"))
 
 
 @_register("src5_star_import")
 def _star_import(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The exported fact and dimensions, typed on import, joined into monthly revenue."""
-    t = etl_of(spark, sf_dir).priced
-    out = fresh_dir(spark, "star")
-    writers.write_csv(_dates(t), f"{out}/dim_date.csv")
-    writers.write_csv(star.dim_customers(t.customers), f"{out}/dim_customers.csv")
-    writers.write_csv(facts.fact_orders(t.orders, t.products), f"{out}/fact_orders.csv")
-    dates, customers, fact = (
-        readers.read_csv(spark, f"{out}/{n}.csv", schemas.STAR[n])
-        for n in ("dim_date", "dim_customers", "fact_orders")
-    )
-    monthly = fact.groupBy("order_date_id", "customer_id").agg(
-        F.sum("net_revenue").alias("net_revenue")
-    )
-    joined = monthly.join(dates, F.col("order_date_id") == F.col("date_id")).join(
-        customers, "customer_id"
-    )
-    return money_as_double(
-        joined.groupBy("month_year", "state").agg(F.sum("net_revenue").alias("net_revenue"))
-    )
+    """The five exported star tables, typed on import, against the catalog tables exported with
+    them: rows of either side, and rows that the other side has not (repeats count)."""
+    tables, out, prefix = _star_tables(spark, sf_dir), fresh_dir(spark, "star"), _table_prefix()
+    writers.export_star(tables, out, prefix, fresh_dir(spark, "tables"))
+    exported = {name: spark.table(f"{prefix}{name}") for name in tables}
+    return star.import_differences(readers.read_star(spark, out), exported)
 
 
 @_register("src4_sql_over_view")

@@ -517,7 +517,37 @@ def dlq_root_causes(rejected: DataFrame) -> DataFrame:
 
 
 def audit_history(log: DataFrame) -> DataFrame:
-    return log.drop("audit_json").orderBy(F.desc("run_timestamp"), "pipeline_run_id")
+    return log.orderBy(F.desc("run_timestamp"), "pipeline_run_id")
+
+
+def audit_details(audit: DataFrame, prefix: str = "") -> DataFrame:
+    """Every number of nested audits as a column; maps as sorted ``key=value`` texts.
+
+    ``prefix``: the struct column that holds the audits, with a dot; all other columns stay.
+    """
+    x, v = f"{prefix}transformation", f"{prefix}validation"
+    own = [c for c in audit.columns if prefix and c != prefix[:-1]] or ["pipeline_run_id", "run_timestamp", "duration_seconds"]
+    stats = ("total_input", "valid_count", "rejected_count", "pass_rate_pct")
+
+    def listed(entries: str) -> Column:
+        pairs = F.transform(F.map_entries(entries), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+        return F.array_join(F.array_sort(pairs), ";")
+
+    return audit.select(
+        *own,
+        F.col(f"{prefix}extraction.total_extracted").alias("extracted_rows"),
+        listed(f"{prefix}extraction.counts").alias("source_counts"),
+        F.col(f"{x}.customers.ages_imputed"), F.col(f"{x}.customers.unknown_genders"),
+        F.col(f"{x}.customers.median_imputed_age"), F.col(f"{x}.products.missing_categories"),
+        F.col(f"{x}.products.missing_costs"), F.col(f"{x}.products.average_margin_pct"),
+        F.col(f"{x}.orders.unknown_payment_methods"),
+        *[F.col(f"{x}.{t}.input_rows").alias(f"cleaned_{t}") for t in ("customers", "products", "orders")],
+        listed(f"{x}.status_distribution").alias("status_distribution"),
+        F.col(f"{v}.total_valid").alias("valid_rows"), F.col(f"{v}.total_rejected").alias("rejected_rows"),
+        F.col(f"{v}.overall_pass_rate_pct"),
+        *[F.col(f"{v}.tables")[t][c].alias(f"{t}_{c}") for t in ("customers", "products", "orders") for c in stats],
+        listed(f"{v}.dead_letter_queue_breakdown").alias("dead_letter_queue_breakdown"),
+    )
 
 
 def run_scorecard(stats: DataFrame, reasons: DataFrame) -> DataFrame:

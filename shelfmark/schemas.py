@@ -43,6 +43,22 @@ AUDIT_LOG = _struct(
     total_rejected=L, pass_rate_pct=D, audit_json=S,
 )
 
+_TABLE_STATS = _struct(total_input=L, valid_count=L, rejected_count=L, pass_rate_pct=D)
+AUDIT = _struct(
+    pipeline_run_id=S, run_timestamp=TS, duration_seconds=D,
+    extraction=_struct(total_extracted=L, counts=T.MapType(S, L)),
+    transformation=_struct(
+        customers=_struct(input_rows=L, ages_imputed=L, unknown_genders=L, median_imputed_age=D),
+        products=_struct(input_rows=L, missing_categories=L, missing_costs=L, average_margin_pct=D),
+        orders=_struct(input_rows=L, unknown_payment_methods=L),
+        status_distribution=T.MapType(S, L),
+    ),
+    validation=_struct(
+        total_valid=L, total_rejected=L, overall_pass_rate_pct=D,
+        tables=T.MapType(S, _TABLE_STATS), dead_letter_queue_breakdown=T.MapType(S, L),
+    ),
+)
+
 DIM_DATE = _struct(
     date=DATE, date_id=I, date_str=S, year=I, quarter=I, quarter_name=S, year_quarter=S,
     month=I, month_name=S, month_short=S, month_year=S, day_of_month=I, day_of_week=I,

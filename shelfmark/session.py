@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def build_session(app_name: str = "shelfmark", **conf: str) -> SparkSession:
@@ -70,6 +70,13 @@ def stored_split(df: DataFrame, path: str, by: list[str], buckets: tuple[int, st
     return df.sparkSession.table(name)
 
 
+def stored_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """As ``stored``, with the number of rows, counted by the writing stage."""
+    seen = Observation()
+    table = stored(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return table, seen.get["rows"]
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write a table once and read it from then on.
 

@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfmark.operators.validate import union_all
 from shelfmark.sources.adapter import Tables
 
 
+def escaped(c: str) -> Column:
+    """Text without line breaks: they become \\n and \\r, and a backslash becomes two."""
+    doubled = F.replace(F.col(c), F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(doubled, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
 def write_csv(df: DataFrame, path: str) -> str:
-    """CSV with doubled quotes and untouched blanks; NULL is an empty field, and so an
-    empty text reads back as NULL."""
+    """CSV of one line per row, with doubled quotes and untouched blanks.
+
+    Line breaks are escaped, so files can be split at any line; ``readers.read_csv`` undoes it.
+    NULL is an empty field, empty text a pair of quotes.
+    """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     (
-        df.write.mode("overwrite")
+        df.withColumns({c: escaped(c) for c in texts})
+        .write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
-        .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

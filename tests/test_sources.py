@@ -45,13 +45,83 @@ def etl_like(spark, products):
 
 
 def test_csv_keeps_blanks_quotes_and_nulls(spark, tmp_path):
-    rows = [(' a "quoted", b ', "y"), (None, " x"), ("multi word", None)]
+    rows = [(' a "quoted", b ', "y"), (None, " x"), ("multi word", None), ("", "a\nb"), ("\\", "\\n"), ("\r\n\\\n", ""),
+            ("\\\\n\\", '"\n"'), ("\n", "\\r\\\r"), (None, None), ("x,y", "\\-")]
     df = spark.createDataFrame(rows, "a string, b string")
     path = writers.write_csv(df, str(tmp_path / "t.csv"))
     assert sorted(map(tuple, readers.read_csv(spark, path, df.schema).collect()), key=str) == sorted(
         rows, key=str)
 
 
+def test_one_line_for_each_row(spark, tmp_path):
+    df = spark.createDataFrame([("a\nb\r\nc",), ('"\n"',)], "a string").coalesce(1)
+    path = writers.write_csv(df, str(tmp_path / "t.csv"))
+    assert spark.read.text(path).count() == 3
+
+
+def test_foreign_files_may_hold_line_breaks(spark, tmp_path):
+    path = write_text(tmp_path / "p.csv", PRODUCTS + 'P1,"desk\nlamp \\n",Books,10,3\nP2,x,y,1,1\n')
+    rows = readers.extract_raw_table(spark, path, "products").orderBy("src_seq").collect()
+    assert [r.product_name for r in rows] == ["desk\nlamp \\n", "x"]
+
+
+def test_rows_that_share_id_and_place_are_refused(spark, sf_dir):
+    raw = etl_of(spark, sf_dir).raw
+    twice = type(raw)(raw.customers, raw.products, raw.orders.limit(5).unionByName(raw.orders.limit(5)))
+    with pytest.raises(ValueError, match="src_seq"):
+        Etl(twice, "2024-01-01").checked
+
+
+def test_a_hot_customer_is_left_undealt(spark, sf_dir):
+    """The same results whether orders are dealt into buckets or one customer has a third of them."""
+    from shelfmark.operators.features import customer_features
+
+    raw = etl_of(spark, sf_dir).raw
+    hot = raw.orders.withColumn("customer_id", F.when(F.crc32("order_id") % 3 == 0, "CUST_000000000001").otherwise(F.col("customer_id")))
+    etl = Etl(type(raw)(raw.customers, raw.products, hot), "2024-01-01")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        assert etl._buckets() is None and etl_like_dealt(etl.raw, raw.orders)._buckets() == (16, "customer_id")
+        t = etl.priced
+        plain = customer_features(etl.valid.orders, t.customers, t.products)
+        assert customer_features(t.orders, t.customers, t.products).exceptAll(plain).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def etl_like_dealt(tables, orders):
+    return Etl(type(tables)(tables.customers, tables.products, orders), "2024-01-01")
+
+
+def test_plans_open_only_what_they_need(spark, sf_dir):
+    """Prices, buckets and directories: no exchange or product join of order lines, pruned scans."""
+    from shelfmark.operators.features import customer_features
+
+    etl = etl_of(spark, sf_dir)
+    t = etl.priced
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = [x for x in plan(customer_features(t.orders, t.customers, t.products)).splitlines()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = next(i for i, x in enumerate(lines) if "Bucketed: true" in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-*"))
+    above, at = [], depth(lines[scan])
+    for x in reversed(lines[:scan]):
+        if depth(x) < at:
+            at = depth(x)
+            above.append(x)
+    assert any("SortMergeJoin [customer_id" in x for x in above)
+    below = above[: next(i for i, x in enumerate(above) if "SortMergeJoin [customer_id" in x)]
+    assert not any("Exchange" in x for x in below) and not any("product_id" in x for x in below)
+    early = customer_features(t.orders, t.customers, t.products, cutoff="1997-05-03")
+    scans = early._jdf.queryExecution().optimizedPlan().toString()
+    assert "order_year" in scans
+    assert "PartitionFilters: [isnotnull(order_year" in early._jdf.queryExecution().executedPlan().toString() or "order_year" in plan(early).split("PartitionFilters", 1)[1]
+    assert "is_rejected" in plan(etl.rejected).split("PartitionFilters", 1)[1].split("]")[0]
+
+
 def test_star_schemas_round_trip(spark, sf_dir, tmp_path):
     from shelfmark.operators import facts, star
 
