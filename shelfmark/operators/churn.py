@@ -6,9 +6,7 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    LogisticRegression, LogisticRegressionModel, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -72,6 +70,16 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="inputs")
 
 
+def _read_back(fitted: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The pipeline with its model saved and loaded, that is, without a training summary.
+
+    The summary holds the session, which cannot be sent to tasks once anything was observed in it.
+    """
+    model, path = fitted.stages[-1], fresh_dir(spark, "model")
+    model.write().save(path)
+    return PipelineModel([*fitted.stages[:-1], type(model).load(path)])
+
+
 def fit_logistic(train: DataFrame) -> PipelineModel:
     """Scaler and class weights come from the training rows only.
 
@@ -90,17 +98,13 @@ def fit_logistic(train: DataFrame) -> PipelineModel:
             ),
         ]
     ).fit(weighted)
-    # A model read back has no training summary. That holds the session, which cannot be sent to
-    # tasks once anything was observed in it.
-    path = fresh_dir(train.sparkSession, "logistic")
-    fitted.stages[-1].write().save(path)
-    return PipelineModel([*fitted.stages[:-1], LogisticRegressionModel.load(path)])
+    return _read_back(fitted, train.sparkSession)
 
 
 def fit_forest(train: DataFrame, seed: int = 42) -> PipelineModel:
     """Trees split on raw values, so no scaling."""
     weighted, _ = _balanced(train)
-    return Pipeline(
+    fitted = Pipeline(
         stages=[
             _assembler(),
             RandomForestClassifier(
@@ -109,6 +113,7 @@ def fit_forest(train: DataFrame, seed: int = 42) -> PipelineModel:
             ),
         ]
     ).fit(weighted)
+    return _read_back(fitted, train.sparkSession)
 
 
 def training_rows(dataset: DataFrame) -> DataFrame:
