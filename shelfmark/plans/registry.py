@@ -173,6 +173,8 @@ _add_valid("fea16_feature_view", lambda t: customer_feature_view(
     t.orders, t.customers, t.products, SNAPSHOT, RECENT_FROM))
 _add_valid("fea17_churn_dataset",
            lambda t: churn_dataset(t.orders, t.customers, t.products, TEST))
+_add_valid("fea17_train_dataset",
+           lambda t: churn_dataset(t.orders, t.customers, t.products, TRAIN))
 _add_valid("fea17_churn_metadata", lambda t: churn_metadata(
     churn_dataset(t.orders, t.customers, t.products, TEST), TEST))
 _add_valid("fea18_labelled_cohort",
@@ -281,13 +283,24 @@ _add_valid("chn6_rule_score_thresholds", lambda t: churn.threshold_table(_rule_s
 
 
 @lru_cache(maxsize=4)
-def _fitted(application: str, state: int, spark: SparkSession, sf_dir: str):
-    """Fitted models of a folder, shared by the model queries of one application."""
-    return PLAN.fit(etl_of(spark, sf_dir).priced)
+def _cohorts_of(application: str, state: int, spark: SparkSession, sf_dir: str):
+    return tuple(churn.training_rows(df) for df in PLAN.datasets(etl_of(spark, sf_dir).priced))
 
 
-def _models(spark: SparkSession, sf_dir: str):
-    return _fitted(spark.sparkContext.applicationId, _state(spark, sf_dir), spark, sf_dir)
+@lru_cache(maxsize=8)
+def _model_of(application: str, state: int, spark: SparkSession, sf_dir: str, which: str):
+    fit = {"logistic": churn.fit_logistic, "forest": churn.fit_forest}[which]
+    return fit(_cohorts(spark, sf_dir)[0])
+
+
+def _cohorts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of a folder, stored once per application."""
+    return _cohorts_of(spark.sparkContext.applicationId, _state(spark, sf_dir), spark, sf_dir)
+
+
+def _model(spark: SparkSession, sf_dir: str, which: str):
+    """A fitted model of a folder, shared by the model queries of one application."""
+    return _model_of(spark.sparkContext.applicationId, _state(spark, sf_dir), spark, sf_dir, which)
 
 
 def _register(name: str):
@@ -299,8 +312,8 @@ def _register(name: str):
 
 
 def _test_scores(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
-    models, test = _models(spark, sf_dir)
-    return durable(churn.probability(getattr(models, which), test, "customer_id", churn.LABEL))
+    test = _cohorts(spark, sf_dir)[1]
+    return durable(churn.probability(_model(spark, sf_dir, which), test, "customer_id", churn.LABEL))
 
 
 @_register("chn3_logistic_metrics")
@@ -320,18 +333,17 @@ def _logistic_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("chn7_coefficients")
 def _coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return churn.coefficients(_models(spark, sf_dir)[0].logistic, spark)
+    return churn.coefficients(_model(spark, sf_dir, "logistic"), spark)
 
 
 @_register("chn7_importances")
 def _importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return churn.importances(_models(spark, sf_dir)[0].forest, spark)
+    return churn.importances(_model(spark, sf_dir, "forest"), spark)
 
 
 def _analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = scored_of(spark, sf_dir)
-    models, _ = _models(spark, sf_dir)
-    return customer_analytics(scored, churn.score_population(models.logistic, scored))
+    return customer_analytics(scored, churn.score_population(_model(spark, sf_dir, "logistic"), scored))
 
 
 @_register("chn8_population_scores")
@@ -341,7 +353,42 @@ def _population(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("chn9_customer_analytics")
 def _chn9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return money_as_double(_analytics(spark, sf_dir))
+    """The customer table; whether the model's probability is one stands for it here, and
+    ``chn8_population_scores`` has its values."""
+    return money_as_double(_flagged(_analytics(spark, sf_dir)))
+
+
+def _flagged(analytics: DataFrame) -> DataFrame:
+    valid = F.coalesce(F.col(churn.PROBABILITY).between(0, 1), F.lit(False))
+    return analytics.withColumn("has_probability", valid).drop(churn.PROBABILITY)
+
+
+@_register("chn2_scaler")
+def _scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return churn.scaler_table(_cohorts(spark, sf_dir)[0], _model(spark, sf_dir, "logistic"))
+
+
+@_register("chn3_optimality")
+def _optimality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return churn.optimality(_model(spark, sf_dir, "logistic"), _cohorts(spark, sf_dir)[0])
+
+
+@_register("chn4_forest_table")
+def _forest_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forest as a table of split conditions against the model, on all customers."""
+    model, scored = _model(spark, sf_dir, "forest"), scored_of(spark, sf_dir)
+    nodes = stored(churn.forest_nodes(model, spark), fresh_dir(spark, "nodes"))
+    own = churn.probability(model, scored, "customer_id")
+    trees = nodes.agg(F.count_distinct("tree")).scalar()
+    return churn.disagreements(own, churn.score_by_nodes(nodes, scored, "customer_id"), "customer_id").withColumn("trees", trees)
+
+
+@_register("chn8_score_expression")
+def _score_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logistic model as an expression against the model, on all customers."""
+    model, scored = _model(spark, sf_dir, "logistic"), scored_of(spark, sf_dir)
+    by_hand = churn.model_matrix(scored, "customer_id").select("customer_id", churn.logistic_score(model).alias(churn.PROBABILITY))
+    return churn.disagreements(churn.probability(model, scored, "customer_id"), by_hand, "customer_id")
 
 
 @_register("snk5_customer_analytics")
@@ -351,19 +398,24 @@ def _snk5(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, out = _analytics(spark, sf_dir), fresh_dir(spark, "analytics")
     writers.write_csv(table, f"{out}/customer_analytics.csv")
     name = writers.save_table(table, f"{_table_prefix()}customer_analytics", f"{out}/table")
-    valid = F.coalesce(F.col(churn.PROBABILITY).between(0, 1), F.lit(False))
-    return money_as_double(spark.table(name).withColumn("has_probability", valid).drop(churn.PROBABILITY))
+    return money_as_double(_flagged(spark.table(name)))
 
 
 @_register("msr26_scored_risk_measures")
 def _msr26(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return money_as_double(measures.risk_measures(_analytics(spark, sf_dir)))
+    """Risk measures of the scored table; its mean probability is compared with the mean that the
+    model's expression gives, and must lie between 0 and 1."""
+    measured = measures.risk_measures(_analytics(spark, sf_dir))
+    by_hand = churn.model_matrix(scored_of(spark, sf_dir)).agg(F.avg(churn.logistic_score(_model(spark, sf_dir, "logistic")))).scalar()
+    mean = F.col("avg_churn_probability")
+    right = mean.between(0, 1) & (F.abs(mean - by_hand) < 1e-4)
+    return money_as_double(measured.withColumn("avg_probability_checked", right).drop("avg_churn_probability"))
 
 
 @_register("snk7_model_round_trip")
 def _model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of the saved and re-loaded models, also written as JSON next to them."""
-    models, test = _models(spark, sf_dir)
+    models, test = churn.ChurnModels(*[_model(spark, sf_dir, w) for w in ("logistic", "forest")]), _cohorts(spark, sf_dir)[1]
     path = fresh_dir(spark, "models")
     models.save(path)
     loaded = churn.ChurnModels.load(path)
