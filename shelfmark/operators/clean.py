@@ -8,6 +8,8 @@ from shelfmark.functions.exprs import (
     count_where, lookup_sql, rnd, strip_sql, title_case_sql,
 )
 
+from shelfmark.operators.ranking import numbered
+
 # Canonical names and their accepted aliases (lower case).
 GENDERS = {"m": "Male", "male": "Male", "f": "Female", "female": "Female"}
 PAYMENT_METHODS = {
@@ -37,8 +39,9 @@ FALLBACK_AGE = 38.0
 def median_age(raw_customers: DataFrame) -> Column:
     """Exact median of the parsable ages as a one-row scalar subquery.
 
-    Ages are counted per value first, so the final step sees one row per distinct age
-    and not one per customer.
+    Ages are counted per value first and the values numbered in one range sort; the two middle
+    rows are those whose running count passes half of all. No task sees more than its share of
+    the values, even if all ages differ.
     """
     counts = (
         raw_customers.selectExpr("try_cast(age as double) as age")
@@ -46,7 +49,11 @@ def median_age(raw_customers: DataFrame) -> Column:
         .groupBy("age")
         .agg(F.count("*").alias("n"))
     )
-    return counts.agg(F.expr(f"coalesce(percentile(age, 0.5D, n), {FALLBACK_AGE}D)")).scalar()
+    ranked = numbered(counts, [F.col("age")], running=["n"])
+    holds = "cum_n - n < {k} AND cum_n >= {k}"
+    low, high = (holds.format(k=k) for k in ("(total_n + 1) div 2", "total_n div 2 + 1"))
+    middle = ranked.agg(F.max(F.expr(f"if({low}, age, null)")).alias("lo"), F.max(F.expr(f"if({high}, age, null)")).alias("hi"))
+    return middle.select(F.expr(f"coalesce((lo + hi) / 2.0D, {FALLBACK_AGE}D)")).scalar()
 
 
 def _stripped(raw: DataFrame, *columns: str) -> DataFrame:

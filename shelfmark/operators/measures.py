@@ -88,27 +88,34 @@ def time_intelligence(fact: DataFrame) -> DataFrame:
     A month without sales has no row, and the month after it gets no prior value: that is
     the calendar rule, unlike "the row before" of the monthly report.
     """
-    monthly = net_revenue_by_month(fact)
+    monthly = net_revenue_by_month(fact).withColumn(
+        "_no", F.year("month") * 12 + F.month("month"))
+    # Windows over one row per month.
+    at = Window.orderBy("_no")
 
-    def shifted(months: int, name: str) -> DataFrame:
-        return monthly.select(
-            F.add_months("month", months).alias("month"), F.col("net_revenue").alias(name)
-        )
+    def shifted(months: int) -> Column:
+        """Net revenue of the month so many calendar months back; NULL if it has no row."""
+        return F.max("net_revenue").over(at.rangeBetween(-months, -months))
 
     def growth(prior: str) -> Column:
         return ratio_or_zero(f"(net_revenue - {prior})", prior, 4)
 
-    upto = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0)  # months only
+    upto = at.rowsBetween(Window.unboundedPreceding, 0)
     return (
-        monthly.join(shifted(1, "net_revenue_prior_month"), "month", "left")
-        .join(shifted(12, "_prior_year"), "month", "left")
+        monthly.withColumns(
+            {
+                "net_revenue_prior_month": shifted(1),
+                "_prior_year": shifted(12),
+                "running_net_revenue": F.sum("net_revenue").over(upto),
+            }
+        )
         .select(
             "month",
             "net_revenue",
             "net_revenue_prior_month",
             growth("net_revenue_prior_month").alias("mom_growth_pct"),
             growth("_prior_year").alias("yoy_growth_pct"),
-            F.sum("net_revenue").over(upto).alias("running_net_revenue"),
+            "running_net_revenue",
         )
         .orderBy("month")
     )

@@ -313,27 +313,41 @@ def revenue_identities(lines: DataFrame) -> DataFrame:
     )
 
 
+def _per_key(lines: DataFrame, keys: dict[str, Column], sums: list[Column]) -> DataFrame:
+    """``kind`` and ``key`` (as text) with the sums of each key of every kind, in one pass.
+
+    The rows are grouped by one key column at a time; partial sums are formed in each task.
+    """
+    names = list(keys)
+    sets = lines.select(*[k.cast("string").alias(n) for n, k in keys.items()], "_r", "_p")
+    grouped = sets.groupingSets([[n] for n in names], *names).agg(F.grouping_id().alias("_g"), *sums)
+    # of k columns, the one that is grouped by has the only bit that is not set
+    bits = {n: (1 << len(names)) - 1 - (1 << (len(names) - 1 - i)) for i, n in enumerate(names)}
+    kind = F.coalesce(*[F.when(F.col("_g") == bit, n) for n, bit in bits.items()])
+    return grouped.withColumns({"kind": kind, "key": F.coalesce(*names)}).drop("_g", *names)
+
+
 def cross_totals(lines: DataFrame) -> DataFrame:
     """Net revenue and profit re-summed per customer, product, day and month."""
-    groupings = {
+    keys = {
         "customer": F.col("customer_id"),
         "product": F.col("product_id"),
         "day": F.col("order_date"),
         "month": F.trunc("order_date", "month"),
     }
-
-    def resum(name: str, key: Column) -> DataFrame:
-        per_key = lines.groupBy(key.alias("k")).agg(
-            F.sum("net_revenue").alias("r"), F.sum("net_profit").alias("p")
-        )
-        return per_key.agg(
-            F.lit(name).alias("dimension"),
-            F.count("*").alias("members"),
-            F.sum("r").alias("net_revenue"),
-            F.sum("p").alias("net_profit"),
+    values = lines.withColumns({"_r": F.col("net_revenue"), "_p": F.col("net_profit")})
+    sums = [F.sum("_r").alias("r"), F.sum("_p").alias("p")]
+    of = lambda kind, c: F.when(F.col("kind") == kind, F.col(c))
+    cells = [
+        F.struct(
+            F.lit(kind).alias("dimension"),
+            count_where(F.col("kind") == kind).alias("members"),
+            F.sum(of(kind, "r")).alias("net_revenue"),
+            F.sum(of(kind, "p")).alias("net_profit"),
         )
-
-    return union_all([resum(name, key) for name, key in groupings.items()])
+        for kind in keys
+    ]
+    return _per_key(values, keys, sums).agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
 def quarantine_isolation(valid: Tables, rejected: DataFrame, ids: dict[str, str]) -> DataFrame:
@@ -356,37 +370,45 @@ def star_integrity(
 ) -> DataFrame:
     """Orphans, repeated keys, 1:1 analytics and calendar coverage of the star schema."""
 
-    def orphans(rule: str, child: DataFrame, key: str, parent: DataFrame, parent_key: str):
-        keys = child.select(F.col(key).alias("k")).groupBy("k").agg(F.count("*").alias("n"))
-        known = parent.select(F.col(parent_key).alias("k"))
-        missing = keys.join(known, "k", "left_anti")
-        return missing.agg(
-            F.lit(rule).alias("rule"),
-            F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("violations"),
-        )
-
-    def repeats(rule: str, df: DataFrame, key: str):
-        per_key = df.groupBy(key).agg((F.count("*") - 1).alias("extra"))
-        return per_key.agg(
-            F.lit(rule).alias("rule"),
-            F.coalesce(F.sum("extra"), F.lit(0).cast("long")).alias("violations"),
-        )
-
-    return union_all(
-        [
-            orphans("fact_without_customer", fact, "customer_id", customers, "customer_id"),
-            orphans("fact_without_product", fact, "product_id", products, "product_id"),
-            orphans("fact_without_date", fact, "order_date_id", dates, "date_id"),
-            orphans("customer_without_analytics", customers, "customer_id", analytics,
-                    "customer_id"),
-            orphans("analytics_without_customer", analytics, "customer_id", customers,
-                    "customer_id"),
-            repeats("repeated_customer", customers, "customer_id"),
-            repeats("repeated_product", products, "product_id"),
-            repeats("repeated_date", dates, "date_id"),
-            repeats("repeated_order", fact, "order_id"),
-        ]
-    )
+    keys = {k: F.col(k) for k in ("customer_id", "product_id", "order_date_id", "order_id")}
+    counted = fact.withColumns({"_r": F.lit(1), "_p": F.lit(0)})
+    per_key = _per_key(counted, keys, [F.count("*").alias("n")])
+
+    def listed(df: DataFrame, key: str, kind: str) -> DataFrame:
+        return df.groupBy(F.col(key).cast("string").alias("_key")).agg(F.count("*").alias("_rows")).withColumn("_kind", F.lit(kind))
+
+    parents = union_all([
+        listed(customers, "customer_id", "customer_id"),
+        listed(products, "product_id", "product_id"),
+        listed(dates, "date_id", "order_date_id"),
+    ])
+    # the fact's keys of all kinds meet the dimensions' in one join
+    met = per_key.join(
+        parents, (F.col("kind") == F.col("_kind")) & (F.col("key") == F.col("_key")), "full")
+    kind, extra = F.coalesce("kind", "_kind"), F.col("_rows") - 1
+
+    def total(rule: str, of: str, when: Column, value: Column) -> Column:
+        found = F.sum(F.when((kind == of) & when, value))
+        return F.struct(F.lit(rule).alias("rule"), F.coalesce(found, F.lit(0)).cast("long").alias("violations"))
+
+    unknown, known = F.col("_key").isNull(), F.col("_key").isNotNull()
+    cells = met.agg(F.array(
+        total("fact_without_customer", "customer_id", unknown, F.col("n")),
+        total("fact_without_product", "product_id", unknown, F.col("n")),
+        total("fact_without_date", "order_date_id", unknown, F.col("n")),
+        total("repeated_customer", "customer_id", known, extra),
+        total("repeated_product", "product_id", known, extra),
+        total("repeated_date", "order_date_id", known, extra),
+        total("repeated_order", "order_id", F.lit(True), F.col("n") - 1),
+    ).alias("cells"))
+    sides = listed(customers, "customer_id", "c").join(
+        listed(analytics, "customer_id", "a").withColumnsRenamed({"_key": "_other", "_rows": "_others", "_kind": "_side"}),
+        F.col("_key") == F.col("_other"), "full")
+    pairs = sides.agg(F.array(
+        F.struct(F.lit("customer_without_analytics").alias("rule"), F.coalesce(F.sum(F.when(F.col("_others").isNull(), F.col("_rows"))), F.lit(0)).cast("long").alias("violations")),
+        F.struct(F.lit("analytics_without_customer").alias("rule"), F.coalesce(F.sum(F.when(F.col("_rows").isNull(), F.col("_others"))), F.lit(0)).cast("long").alias("violations")),
+    ).alias("cells"))
+    return cells.select(F.inline("cells")).unionByName(pairs.select(F.inline("cells")))
 
 
 def view_completeness(view: DataFrame) -> DataFrame:

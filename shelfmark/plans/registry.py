@@ -126,7 +126,7 @@ _add("val6_valid_orders", lambda e: e.valid.orders)
 _add("val7_dead_letters", lambda e: e.rejected)
 _add("val8_reason_counts", lambda e: e.reasons)
 _add("val9_table_stats", lambda e: e.stats)
-_add("val10_declared_constraints", lambda e: validate.declared_constraints(e.cleaned.items()))
+_add("val10_declared_constraints", lambda e: validate.declared_constraints(e.checked.items()))
 
 # ------------------------------------------------------------------------------- facts
 _add_valid("fct1_order_view", lambda t: facts.order_analytics(t.orders, t.customers, t.products))
@@ -252,13 +252,11 @@ _add("dq15_payload_fields", lambda e: quality.payload_fields(e.rejected))
 _add("dq16_revenue_identities", lambda e: quality.revenue_identities(
     facts.order_lines(e.priced.orders, e.valid.products)))
 _add("dq17_cross_totals", lambda e: quality.cross_totals(
-    durable(facts.order_lines(e.priced.orders, e.valid.products).select(
-        "customer_id", "product_id", "order_date", "net_revenue", "net_profit"))))
+    facts.order_lines(e.priced.orders, e.valid.products)))
 _add("dq18_quarantine_isolation",
      lambda e: quality.quarantine_isolation(e.valid, e.rejected, IDS))
 _add("dq19_star_integrity", lambda e: quality.star_integrity(
-    durable(facts.fact_orders(e.priced.orders, e.valid.products).select(
-        "order_id", "customer_id", "product_id", "order_date_id")),
+    facts.fact_orders(e.priced.orders, e.valid.products),
     e.valid.customers, e.valid.products, _dates(e.valid),
     customer_features(e.priced.orders, e.valid.customers, e.valid.products)))
 _add("dq20_view_completeness", lambda e: quality.view_completeness(facts.order_analytics(
@@ -412,6 +410,17 @@ def _msr26(spark: SparkSession, sf_dir: str) -> DataFrame:
     return money_as_double(measured.withColumn("avg_probability_checked", right).drop("avg_churn_probability"))
 
 
+@_register("snk7_models_survive")
+def _models_survive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all customers by the models as fitted and as saved and loaded."""
+    models, path = churn.ChurnModels(*[_model(spark, sf_dir, w) for w in ("logistic", "forest")]), fresh_dir(spark, "models")
+    models.save(path)
+    loaded, scored = churn.ChurnModels.load(path), scored_of(spark, sf_dir)
+    return validate.union_all([
+        churn.disagreements(*[churn.probability(getattr(m, w), scored, "customer_id") for m in (models, loaded)], "customer_id").select(F.lit(w).alias("model"), "*")
+        for w in ("logistic", "forest")])
+
+
 @_register("snk7_model_round_trip")
 def _model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of the saved and re-loaded models, also written as JSON next to them."""
