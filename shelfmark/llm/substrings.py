@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.storage import free_name, keep, small_batches
-from shelfmark.llm.words import mixed, slices, to_bytes
+from shelfmark.llm.words import give_back, mixed, slices, to_bytes
 
 RUN_WORDS = 20
 WINDOW = 9  # words among which there is a cut; one word in five begins a chunk, on average
@@ -83,6 +83,7 @@ def chunked(docs: DataFrame) -> DataFrame:
                     digests = [xxhash.xxh3_64_intdigest(alike[s:e]) for s, e in zip([0, *at], at)]
                     rows.append((doc_id, key, np.array(digests, np.uint64).view(np.int64), ends.astype(np.int32), words.astype(np.int32)))
             yield pd.DataFrame(rows, columns=["doc_id", "text_key", "digests", "ends", "words"])
+        give_back()
 
     return small_batches(docs).select(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("doc_id"), _text_key().alias("text_key"), "text").mapInPandas(chunk, "doc_id long, text_key long, digests array<long>, ends array<int>, words array<int>")
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.storage import keep, small_batches
 from shelfmark.llm.training import TRAIN_ROWS, labelled
-from shelfmark.llm.words import KNOWN_WORDS, WordHashes
+from shelfmark.llm.words import KNOWN_WORDS, WordHashes, give_back
 
 STEMS = (4, 5, 6)  # lengths of word beginnings that may enter the lexicon
 LEAST_DOCS = 3  # different toxic documents that a lexicon entry needs, and their share:
@@ -207,6 +207,7 @@ def learn_lexicon(train: DataFrame, label: str = "toxic") -> tuple[dict[str, flo
         for toxic, counter in enumerate(sums):
             if counter:
                 yield sent(toxic)
+        give_back()
 
     @F.pandas_udf("long")
     def signature(texts: pd.Series) -> pd.Series:
@@ -290,5 +291,6 @@ def score_toxicity(docs: DataFrame, model: Model | None, into: str = "toxicity")
                 yield pd.Series(np.zeros(len(texts)))
             else:
                 yield pd.Series(model.scores(np.stack([clauses(t, symbols) for t in texts])))
+        give_back(symbols or {})
 
     return small_batches(docs).withColumn(into, judge("text"))

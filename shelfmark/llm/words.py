@@ -6,10 +6,13 @@ A word is a run of bytes other than space and ``\\t \\n \\v \\f \\r``; ``bytes.s
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
-KNOWN_WORDS = 150_000  # size at which a worker forgets the hashes it remembers
+KNOWN_WORDS = 50_000  # size at which a worker forgets the hashes it remembers
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -27,7 +30,18 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def slices(batch, rows: int = 1000):
+def give_back(*caches: dict) -> None:
+    """Forget what a task remembered and return freed memory to the system: Spark runs the tasks
+    of later stages in the same worker, which would otherwise keep the most that any task took."""
+    for cache in caches:
+        cache.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def slices(batch, rows: int = 250):
     """Parts of an Arrow batch, whose results are sent off before the next one is begun."""
     for start in range(0, len(batch), rows):
         yield batch.iloc[start : start + rows]
