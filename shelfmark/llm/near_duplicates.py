@@ -5,9 +5,10 @@
 2. Texts with equal shingle sets form a class; the least id stands for it from here on.
 3. Empty registers borrow from hashed other ones, and runs of registers are hashed to band keys.
    Representatives that share a band key are candidates. Keys shared by few are paired directly.
-   In larger groups the member that shares most bands with others is compared with all first,
-   then a growing number of pivots with the members that no link has joined to them yet; so a
-   group of near copies costs about its size and not its square.
+   In larger groups each text is first compared with one other: the member of its largest group
+   that shares most bands with others. Then, in the groups that this has not joined, that member is compared with
+   all, and then a growing number of pivots with the members that no link has joined to them
+   yet; so a group of near copies costs about its size and not its square.
 4. A candidate pair is dropped if its collision-corrected Jaccard estimate lies more than five
    standard deviations below the threshold, and else confirmed on the full shingle sets.
 5. Links are closed to components.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.components import components
 from shelfmark.llm.storage import keep, small_batches
-from shelfmark.llm.words import WordHashes, mixed, signed, slices, to_bytes, windows
+from shelfmark.llm.words import WordHashes, give_back, mixed, signed, slices, to_bytes, windows
 
 WORDS = 5
 PERCENT = 85  # least Jaccard similarity of a link, unless the caller names another
@@ -111,6 +112,7 @@ def sketched(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 for i, keys in zip(large, signed(band_keys(np.stack(list(large.values()))))):
                     bands[i] = keys
             yield pd.DataFrame({"doc_id": batch.doc_id, "n_shingles": np.array(n, np.int64), "d1": signed(np.array(d1, np.uint64)), "d2": signed(np.array(d2, np.uint64)), "bands": bands})
+        give_back(known)
 
     return small_batches(docs).select("doc_id", "text").mapInPandas(sketch, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
 
@@ -124,6 +126,7 @@ def with_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
         for batch in (part for whole in batches for part in slices(whole)):
             sets = [shingle_set(t, known) for t in batch.text]
             yield pd.DataFrame({"doc_id": batch.doc_id, "shingles": [signed(h) for h in sets], "registers": [registers(h).astype(np.int32) for h in sets]})
+        give_back(known)
 
     return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(read, "doc_id long, shingles array<long>, registers array<int>")
 
@@ -175,7 +178,14 @@ def linked(docs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> Data
     links = keep(confirmed(left.join(right, "band").where((F.col("a") < F.col("b")) & _alike("n_a", "n_b", percent)), docs, percent), "confirmed")
     labels = components(links)
 
-    active = keep(members.where(F.col("members") > FEW).drop("members"), "large-bands")
+    large = keep(members.where(F.col("members") > FEW), "large-bands")
+    if large.isEmpty():
+        return labels
+    found = keep(confirmed(_home_pairs(large, labels, percent), docs, percent), "confirmed")
+    if not found.isEmpty():
+        links = keep(links.unionByName(found), "links")
+        labels = components(links)
+    active = large.drop("members")
     drawn_of, hints = 0, None
     while True:
         # members of a band that is one component have nothing more to find in it
@@ -207,6 +217,17 @@ def linked(docs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> Data
         drawn_of = drawn_of * 8 or PIVOTS
 
 
+def _home_pairs(large: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """a, b: each text of large bands with the member of its largest one that shares most bands
+    with others. One row for each text, however many bands it has."""
+    homes = large.groupBy("id").agg(F.max(F.struct("members", "band"))["band"].alias("home"), F.sum("members").alias("weight"), F.first("n").alias("n"))
+    homes = keep(homes.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "homes")
+    heart = homes.groupBy("home").agg(F.max(F.struct("weight", (-F.col("id")).alias("other"), "component", "n")).alias("most"))
+    met = homes.join(heart, "home").withColumns({"p": -F.col("most.other"), "n_p": F.col("most.n")})
+    met = met.where((F.col("component") != F.col("most.component")) & _alike("n_p", "n", percent))
+    return met.select(F.least("p", "id").alias("a"), F.greatest("p", "id").alias("b"))
+
+
 def hinted(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """id, used (registers that the text itself fills), planes (HINT_BITS bit planes of the filled
     registers, as 64-bit words), few (the shingles of a text that has at most SMALL_SET)."""
@@ -221,6 +242,7 @@ def hinted(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 bits = filled(raw)[:, None, :] >> np.arange(HINT_BITS, dtype=np.uint16)[:, None] & 1
                 planes = np.packbits(bits.astype(bool), axis=2).reshape(len(sets), -1).view(np.int64)
                 yield pd.DataFrame({"id": batch.doc_id, "used": (raw != EMPTY).sum(axis=1).astype(np.int32), "planes": list(planes), "few": [signed(h) if len(h) <= SMALL_SET else None for h in sets]})
+        give_back(known)
 
     return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(read, "id long, used int, planes array<long>, few array<long>")
 
