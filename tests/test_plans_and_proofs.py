@@ -1,6 +1,7 @@
 """Single-pass aggregates, calendar windows, the median by selection and the proofs of the models."""
 
 import random
+import re
 import statistics
 
 import pytest
@@ -57,11 +58,11 @@ def test_calendar_shift_leaves_gaps(spark):
     fact = spark.createDataFrame([(d, "Completed", r) for d, r in rows], "order_date string, order_status string, gross_revenue int").withColumns(
         {"order_date": F.to_date("order_date"), "gross_revenue": F.col("gross_revenue").cast("decimal(18,2)")})
     df = measures.time_intelligence(fact)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ") == 1 and "Join" not in plan
     got = {str(r.month)[:7]: (r.net_revenue_prior_month and int(r.net_revenue_prior_month), r.mom_growth_pct, r.yoy_growth_pct, int(r.running_net_revenue)) for r in df.collect()}
     assert got == {"2023-01": (None, 0.0, 0.0, 100), "2023-03": (None, 0.0, 0.0, 400), "2023-04": (300, 0.1, 0.0, 730),
                    "2024-01": (None, 0.0, 0.5, 880), "2024-03": (None, 0.0, 1.0, 1480)}
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Scan ") == 1 and "Join" not in plan
 
 
 @pytest.fixture(scope="module")
@@ -97,5 +98,4 @@ def test_windows_prune_years(spark, sf_dir):
     t = etl_of(spark, sf_dir).priced
     early = churn_dataset(t.orders, t.customers, t.products, ChurnWindow("1996-05-03", "1996-05-04", "1996-08-01"))
     plan = early._jdf.queryExecution().executedPlan().toString()
-    at = plan.index("PartitionFilters: [", plan.index("order_date"))
-    assert "order_year" in plan[at : plan.index("]", at)]
+    assert any("order_year" in x for x in re.findall(r"PartitionFilters: \[(.*?)\]", plan))
