@@ -1,14 +1,18 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
 Words become symbols: insults and threats from a lexicon of words and stems, weighted by their
-log-odds in labelled rows, and targets, negations and verbs of reporting from word lists. Verbs of
-threat that the lexicon doesn't have count where they are aimed at someone, with a prior weight that
-labelled rows refine. Small
-transducers for offence, target, negation and reported speech are composed to one machine that
-reads the symbols of a clause and ends in the kind of the clause: what was said, to someone or
-not, negated or not, reported or not. A document's clauses, by kind and strength, enter a
-logistic score whose weights are learned from the same labelled rows; so a word that happens to
-negate often in harmless text does not hide an insult.
+log-odds in labelled rows, and targets, negations, verbs of reporting and words of intent from word
+lists. Verbs of threat that the lexicon doesn't have count only where they are meant: announced by
+the speaker ("I will ... you"), or spoken straight at someone ("kill you"). They have a prior weight
+that labelled rows refine. Small transducers for offence, target, negation, reported speech, intent
+and address are composed to one machine that reads the symbols of a clause and ends in the kind of
+the clause: what was said, to someone or not, negated or not, reported or not. A negation covers an
+offence that follows within REACH words of the last symbol. Reported speech covers what follows, also
+behind commas and colons, up to the end of the sentence.
+
+A document's plain clauses, by kind, strength and density, enter a logistic score whose weights are
+learned from the same labelled rows. Negated and reported clauses are no evidence, and no word counts outside
+its clause.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Matrices
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,25 +36,32 @@ from shelfmark.llm.training import TRAIN_ROWS, labelled
 from shelfmark.llm.words import KNOWN_WORDS, WordHashes, give_back
 
 STEMS = (4, 5, 6)  # lengths of word beginnings that may enter the lexicon
-LEAST_DOCS = 3  # different toxic documents that a lexicon entry needs, and their share:
-LEAST_SHARE = 0.005
-CHANCE = 1e-7  # or so small a chance that an entry without meaning has such a share of toxic documents
-THREAT_SHARE, THREAT_DOCS = 0.95, 2  # toxic share of aimed threats before labels, which counts as so many documents
+STEM_WORDS = 3  # different words of toxic documents that a stem needs
+LEAST_DOCS = 3  # different toxic documents that a lexicon entry needs
+CHANCE = 1e-3  # most chance that an entry without meaning has such a share of toxic documents
+REACH = 3  # words between two symbols over which a negation or an intent still holds
+THREAT_SHARE, THREAT_DOCS = 0.995, 2  # toxic share of meant threats before labels, which counts as so many documents
 PRECISION = 0.9  # share of toxic documents among those with the entry
 LEXICON = 20_000  # entries at most reach the workers
 LARGEST = 6.0  # weight of an entry
 
 #: Function words of the four languages.
-TARGETS = "you your you're u he she they them him her these those people du dich dir ihr euch sie ihm ihn tu toi vous te elle ils eux lui tú usted ustedes vosotros ellos ellas él".split()
-NEGATIONS = "not no never isn't aren't wasn't don't nor without nicht kein keine keinen nie niemals ohne ne pas jamais aucun sans nunca jamás ningún tampoco sin".split()
+YOU = "you your you're u du dich dir ihr euch tu toi vous te tú usted ustedes vosotros".split()
+THEM = "he she they them him her these those people sie ihm ihn elle ils eux lui ellos ellas él".split()
+NEGATIONS = "not no never isn't aren't wasn't don't doesn't didn't can't cannot won't nor without nicht kein keine keinen nie niemals ohne ne pas jamais aucun sans nunca jamás ningún tampoco sin".split()
 REPORTS = "said says wrote called quoted claimed alleged according sagte sagt schrieb nannte behauptete laut zitierte dit disait écrit appelé cité selon dijo dice escribió llamó citó según".split()
 THREATS = "kill hurt beat destroy stab shoot töten schlagen umbringen tuer frapper détruire matar golpear destruir".split()
-_TARGETS, _THREATS = set(TARGETS), set(THREATS)
-
-INSULT, THREAT, TARGET, NEGATION, REPORT = range(1, 6)
-_ONLY_END = (0, 0.0, True, False)
-_ENDS = ".,;:!?\n"
-_IF_AIMED = " aimed"  # behind a verb of threat; no word has a space
+SPEAKER = "i i'm we we're wir nous".split()
+WILL = "will shall gonna going werden".split()
+PROMISES = "i'll we'll werde vais allons voy vamos".split()
+_THREATS = set(THREATS)
+
+INSULT, THREAT, TARGET_YOU, TARGET_THEM, NEGATION, REPORT, SELF, INTENT, PROMISE, APART, FAR = SYMBOLS = range(1, 12)
+CLAUSE, SENTENCE = 1, 2  # what ends behind a word
+_ONLY_CLAUSE, _ONLY_SENTENCE = (0, 0.0, CLAUSE, False), (0, 0.0, SENTENCE, False)
+_CLOSING = "\"')]}»”"
+_ENDS = {",": CLAUSE, ":": CLAUSE, ".": SENTENCE, ";": SENTENCE, "!": SENTENCE, "?": SENTENCE}
+_IF_MEANT = " meant"  # behind a verb of threat; no word has a space
 _STRIP = " \t.,;:!?\"'()[]{}<>*#$%&|«»“”„¿¡-"
 
 
@@ -65,33 +77,46 @@ class Transducer(NamedTuple):
 
 
 OFFENCE = Transducer("calm", {("calm", INSULT): "insult", ("calm", THREAT): "threat", ("threat", INSULT): "both", ("insult", THREAT): "both"}, {"calm": "", "insult": "insult", "threat": "threat", "both": "both"})
-AIM = Transducer("none", {("none", TARGET): "aimed"}, {"none": "", "aimed": "aimed"})
-#: A negation before the offence covers it; after the offence it doesn't.
-NEGATED = Transducer("open", {("open", NEGATION): "negated", ("open", INSULT): "said", ("open", THREAT): "said"}, {"open": "", "said": "", "negated": "negated"})
-REPORTED = Transducer("open", {("open", REPORT): "reported"}, {"open": "", "reported": "reported"})
-
-
-def compose(*parts: Transducer) -> tuple[list[list[int]], list[str]]:
+AIM = Transducer("none", {("none", TARGET_YOU): "aimed", ("none", TARGET_THEM): "aimed"}, {"none": "", "aimed": "aimed"})
+#: A negation before all offences covers them; after an offence, or far from it, it doesn't.
+NEGATED = Transducer("open", {
+    ("open", NEGATION): "near", ("near", FAR): "open", ("open", INSULT): "said", ("open", THREAT): "said", ("near", INSULT): "covered", ("near", THREAT): "covered",
+    ("covered", FAR): "left", ("left", NEGATION): "covered", ("left", INSULT): "said", ("left", THREAT): "said",
+}, {"open": "", "near": "", "said": "", "covered": "negated", "left": "negated"})
+REPORTED = Transducer("open", {("open", REPORT): "reported", ("open", INSULT): "said", ("open", THREAT): "said"}, {"open": "", "said": "", "reported": "reported"})
+#: The speaker announces the threat.
+ANNOUNCED = Transducer("none", {
+    ("none", SELF): "self", ("self", FAR): "none", ("self", INTENT): "intends", ("none", PROMISE): "intends", ("self", PROMISE): "intends", ("intends", FAR): "none", ("intends", THREAT): "meant",
+}, {"none": "", "self": "", "intends": "", "meant": "meant"})
+#: The next word behind the verb of threat is the one spoken to.
+ADDRESSED = Transducer("none", {("none", THREAT): "verb", ("verb", APART): "none", ("verb", TARGET_YOU): "meant"}, {"none": "", "verb": "", "meant": "meant"})
+
+
+def compose(*parts: Transducer) -> tuple[list[list[int]], list[set[str]]]:
     """One machine that runs the parts side by side: moves by state and symbol, outputs by state.
     State 0 is the start; only reachable states are built."""
     states = [tuple(p.start for p in parts)]
+    numbers = {states[0]: 0}
     moves: list[list[int]] = []
     for state in states:
         row = []
-        for symbol in range(REPORT + 1):
+        for symbol in (0, *SYMBOLS):
             to = tuple(p.step(s, symbol) for p, s in zip(parts, state))
-            if to not in states:
+            if to not in numbers:
+                numbers[to] = len(states)
                 states.append(to)
-            row.append(states.index(to))
+            row.append(numbers[to])
         moves.append(row)
-    return moves, [" ".join(filter(None, (p.outputs[s] for p, s in zip(parts, state)))) for state in states]
+    return moves, [{p.outputs[s] for p, s in zip(parts, state)} - {""} for state in states]
 
 
-MOVES, OUTPUTS = compose(OFFENCE, AIM, NEGATED, REPORTED)
+MOVES, OUTPUTS = compose(OFFENCE, AIM, NEGATED, REPORTED, ANNOUNCED, ADDRESSED)
 KINDS = [" ".join(filter(None, x)) for x in product(("insult", "threat", "both"), ("", "aimed"), ("", "negated"), ("", "reported"))]
-_KIND = [KINDS.index(o) if o in KINDS else -1 for o in OUTPUTS]
-_AIMED = ["aimed" in o for o in OUTPUTS]
-DIMENSIONS = len(KINDS) + 2  # strength by kind; offences a word; strongest clause
+PLAIN = [i for i, kind in enumerate(KINDS) if "negated" not in kind and "reported" not in kind]
+_KIND_OF = {frozenset(kind.split()): i for i, kind in enumerate(KINDS)}
+_KIND = [_KIND_OF.get(frozenset(o - {"meant"}), -1) for o in OUTPUTS]
+_MEANT = [{"aimed", "meant"} <= o for o in OUTPUTS]
+_AFTER_CLAUSE = [MOVES[0][REPORT] if "reported" in o else 0 for o in OUTPUTS]
 
 
 def bare(word: str) -> str:
@@ -99,36 +124,21 @@ def bare(word: str) -> str:
 
 
 def threat_weight(toxic: float, clean: float) -> float:
-    """Of a verb that is aimed at someone in so many toxic and clean documents, as if there were as
+    """Of a verb that is meant as a threat in so many toxic and clean documents, as if there were as
     many of both; 0 once it is as frequent in clean ones."""
     prior = THREAT_DOCS * THREAT_SHARE
     return min(LARGEST, max(0.0, math.log((toxic + prior) / (clean + THREAT_DOCS - prior))))
 
 
-def aimed_threats(words: list[str]) -> set[str]:
-    """The verbs of threat among ``words`` whose clause has a target."""
-    out: set[str] = set()
-    verbs: set[str] = set()
-    aimed = False
-    for word in words:
-        w = bare(word)
-        if w in _THREATS:
-            verbs.add(w)
-        aimed = aimed or w in _TARGETS
-        if word[-1] in _ENDS:
-            out |= verbs if aimed else set()
-            verbs, aimed = set(), False
-    return out | verbs if aimed else out
-
-
 class Symbols(dict):
-    """Word -> (symbol, strength, ends a clause, counts in aimed clauses only); 0 if the word means
+    """Word -> (symbol, strength, what it ends, counts only where it is meant); 0 if the word means
     nothing to the grammar."""
 
     def __init__(self, lexicon: dict[str, float], threats: dict[str, float] | None = None):
         self.lexicon = lexicon
         self.threats = dict.fromkeys(THREATS, threat_weight(0, 0)) if threats is None else threats
-        self.fixed = {w: s for words, s in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)) for w in words}
+        lists = ((YOU, TARGET_YOU), (THEM, TARGET_THEM), (NEGATIONS, NEGATION), (REPORTS, REPORT), (SPEAKER, SELF), (WILL, INTENT), (PROMISES, PROMISE))
+        self.fixed = {w: s for words, s in lists for w in words}
 
     def __missing__(self, word: str):
         if len(self) >= KNOWN_WORDS:
@@ -138,57 +148,74 @@ class Symbols(dict):
         for n in reversed(STEMS):
             if not weight and len(w) >= n:
                 weight = self.lexicon.get(w[:n] + "*", 0.0)
-        ends = word[-1] in _ENDS
+        ends = _ENDS.get(word.rstrip(_CLOSING)[-1:], 0)
         symbol = (THREAT if w in THREATS else INSULT) if weight else self.fixed.get(w, 0)
-        if_aimed = not weight and self.threats.get(w, 0.0) > 0
-        if if_aimed:
+        if_meant = not weight and self.threats.get(w, 0.0) > 0
+        if if_meant:
             symbol, weight = THREAT, self.threats[w]
         # most words only end a clause, or mean nothing: those share one value
-        value = self[word] = (symbol, weight, ends, if_aimed) if symbol else _ONLY_END if ends else 0
+        value = self[word] = (symbol, weight, ends, if_meant) if symbol else (0, _ONLY_CLAUSE, _ONLY_SENTENCE)[ends]
         return value
 
 
-def clauses(text: str | None, symbols: Symbols) -> np.ndarray:
-    """DIMENSIONS of a text: summed strength of its offending clauses by kind, and so on."""
-    out = np.zeros(DIMENSIONS)
-    words = (text or "").split()
-    offences = 0
-    strongest = 0.0
-    # of a clause without and with the threats that count in aimed clauses only
-    state, strength, hits, state_aimed, strength_aimed, hits_aimed = 0, 0.0, 0, 0, 0.0, 0
-
-    for x in [*filter(None, map(symbols.__getitem__, words)), _ONLY_END]:
-        symbol, weight, ends, if_aimed = x
+def offences(words: list[str], symbols: Symbols) -> Iterator[tuple[int, float, list[str]]]:
+    """Of each offending clause: its place in KINDS, its strength, and the words that count there
+    only as they are meant."""
+    read = [(at, x) for at, x in enumerate(map(symbols.__getitem__, words)) if x]
+    # of a clause without and with the threats that count only where they are meant
+    state = state_meant = 0
+    strength = strength_meant = 0.0
+    verbs: list[str] = []
+    last = 0
+    for at, (symbol, weight, ends, if_meant) in [*read, (len(words), _ONLY_SENTENCE)]:
         if symbol:
-            state_aimed = MOVES[state_aimed][symbol]
-            strength_aimed += weight
-            hits_aimed += weight > 0
-            if not if_aimed:
+            for gap, width in ((APART, 1), (FAR, REACH + 1)):
+                if at - last > width:
+                    state, state_meant = MOVES[state][gap], MOVES[state_meant][gap]
+            last = at
+            state_meant = MOVES[state_meant][symbol]
+            strength_meant += weight
+            if if_meant:
+                verbs.append(words[at])
+            else:
                 state = MOVES[state][symbol]
                 strength += weight
-                hits += weight > 0
         if ends:
-            if strength_aimed > strength and _AIMED[state_aimed]:
-                state, strength, hits = state_aimed, strength_aimed, hits_aimed
-            if strength:
-                out[_KIND[state]] += strength
-                strongest = max(strongest, strength)
-                offences += hits
-            state, strength, hits, state_aimed, strength_aimed, hits_aimed = 0, 0.0, 0, 0, 0.0, 0
-    out[: len(KINDS)] = np.log1p(out[: len(KINDS)])
-    out[-2:] = math.log1p(1000 * offences / len(words)) if words else 0.0, strongest / LARGEST
-    return out
+            meant = bool(verbs) and _MEANT[state_meant]
+            if meant or strength:
+                yield (_KIND[state_meant], strength_meant, verbs) if meant else (_KIND[state], strength, [])
+            state = state_meant = _AFTER_CLAUSE[state] if ends == CLAUSE else 0
+            strength = strength_meant = 0.0
+            verbs = []
+
+
+def clauses(text: str | None, symbols: Symbols) -> np.ndarray:
+    """Of a text: summed strength of its offending clauses by kind, as log1p, and last the strength of
+    the plain ones per hundred words, as log1p: one slip weighs less in a long text."""
+    out = np.zeros(len(KINDS) + 1)
+    words = (text or "").split()
+    for kind, strength, _ in offences(words, symbols):
+        out[kind] += strength
+    out[-1] = 100 * out[PLAIN].sum() / max(1, len(words))
+    return np.log1p(out)
+
+
+def meant_threats(words: list[str], symbols: Symbols) -> set[str]:
+    """The verbs of threat among ``words`` that are meant."""
+    return {bare(verb) for _, _, verbs in offences(words, symbols) for verb in verbs}
 
 
 def learn_lexicon(train: DataFrame, label: str = "toxic") -> tuple[dict[str, float], dict[str, float]]:
-    """Word or stem (ending in *) -> weight; verb of threat -> weight in aimed clauses.
+    """Word or stem (ending in *) -> weight; verb of threat -> weight where it is meant.
 
-    Entries are counted by document, in partial sums per partition; copies of a document, which
+    An entry has more than two characters, and a stem has at least STEM_WORDS different words in toxic
+    documents: one word has its own entry, and its beginning says nothing about others. Entries are counted by document, in partial sums per partition; copies of a document, which
     share their three least word hashes, count once, else each word of a toxic text with many
     copies would look toxic.
     """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: tuple[Counter, Counter] = (Counter(), Counter())
+        grammar = Symbols({})
 
         def sent(toxic: int) -> pd.DataFrame:
             out = pd.DataFrame({"entry": list(sums[toxic]), "toxic": toxic, "docs": list(sums[toxic].values())})
@@ -200,7 +227,7 @@ def learn_lexicon(train: DataFrame, label: str = "toxic") -> tuple[dict[str, flo
                 words = {b for w in set((text or "").split()) if len(b := bare(w)) > 2}
                 counter = sums[int(toxic)]
                 if words & _THREATS:
-                    counter.update(w + _IF_AIMED for w in aimed_threats(text.split()))
+                    counter.update(w + _IF_MEANT for w in meant_threats(text.split(), grammar))
                 counter.update(words | {w[:n] + "*" for w in words for n in STEMS if len(w) >= n})
                 if len(counter) > KNOWN_WORDS:  # sums are partial anyway
                     yield sent(int(toxic))
@@ -224,13 +251,18 @@ def learn_lexicon(train: DataFrame, label: str = "toxic") -> tuple[dict[str, flo
     counts = once.mapInPandas(count, "entry string, toxic int, docs long").groupBy("entry").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("docs")).otherwise(0)).alias("toxic"), F.sum(F.when(F.col("toxic") == 0, F.col("docs")).otherwise(0)).alias("clean"))
     counts = keep(counts, "toxicity-counts")
-    verbs = {r.entry: threat_weight(r.toxic * (toxic + clean) / (2 * toxic), r.clean * (toxic + clean) / (2 * clean)) for r in counts.where(F.col("entry").isin([w + _IF_AIMED for w in THREATS])).collect()}
-    threats = {w: verbs.get(w + _IF_AIMED, threat_weight(0, 0)) for w in THREATS}
+    verbs = {r.entry: threat_weight(r.toxic * (toxic + clean) / (2 * toxic), r.clean * (toxic + clean) / (2 * clean)) for r in counts.where(F.col("entry").isin([w + _IF_MEANT for w in THREATS])).collect()}
+    threats = {w: verbs.get(w + _IF_MEANT, threat_weight(0, 0)) for w in THREATS}
     # Chernoff's bound of the chance that an entry as frequent in toxic documents as all words are has this share of them
     base, n_docs = toxic / (toxic + clean), F.col("toxic") + F.col("clean")
     bound = F.col("toxic") * F.log(F.col("toxic") / n_docs / base) + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / n_docs / (1 - base))).otherwise(0.0)
-    evident = (F.col("toxic") >= LEAST_SHARE * toxic) | (bound >= -math.log(CHANCE))
-    found = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") >= PRECISION * n_docs) & evident & ~F.col("entry").endswith(_IF_AIMED))
+    evident = (F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") >= PRECISION * n_docs) & (bound >= -math.log(CHANCE))
+    entries = counts.where(~F.col("entry").endswith(_IF_MEANT))
+    is_stem = F.col("entry").endswith("*")
+    beginnings = F.explode(F.array(*[F.when(F.length("entry") >= n, F.concat(F.substring("entry", 1, n), F.lit("*"))) for n in STEMS])).alias("entry")
+    stems = entries.where(~is_stem & (F.col("toxic") > 0)).select(beginnings).groupBy("entry").count().where(F.col("count") >= STEM_WORDS).select("entry")
+    good = entries.where(evident)
+    found = good.where(~is_stem).unionByName(good.where(is_stem).join(stems, "entry", "left_semi"))
     rows = found.orderBy(F.desc("toxic"), "entry").limit(LEXICON).collect()
     return {r.entry: min(LARGEST, math.log((r.toxic + 0.5) / (toxic + 1) / ((r.clean + 0.5) / (clean + 1)))) for r in rows}, threats
 
@@ -258,16 +290,17 @@ def fit(train: DataFrame, label: str = "toxic") -> Model | None:
             yield pd.DataFrame({"x": [clauses(t, symbols) for t in batch.text], "label": batch[label].astype(float)})
 
     rows = keep(train.select("text", label).mapInPandas(read, "x array<double>, label double"), "toxicity-clauses")
-    fitted = LogisticRegression(regParam=1e-3, maxIter=50, standardization=False).fit(rows.select(array_to_vector("x").alias("features"), "label"))
-    weights = fitted.coefficients.toArray()
-    # kinds of threat that no labelled row has count like the insult of that kind, or an aimed one like any insult
-    seen = rows.select(*[F.max(F.get("x", F.lit(i))).alias(f"x{i}") for i in range(len(KINDS))]).first()
-    for i, kind in enumerate(KINDS):
-        if not seen[i] and not kind.startswith("insult"):
-            like = "insult" + kind[len(kind.split()[0]) :]
-            also = [k for k in (like, "insult") if seen[KINDS.index(k)]] if kind in ("threat aimed", "both aimed") else [like]
-            weights[i] = weights[KINDS.index(also[0])] if also else 0.0
-    return Model(lexicon, weights, fitted.intercept, threats)
+    # strength of plain clauses never speaks against toxicity; other clauses are no evidence
+    fitting = LogisticRegression(regParam=1e-3, maxIter=100, standardization=False, lowerBoundsOnCoefficients=Matrices.dense(1, len(PLAIN) + 1, [0.0] * (len(PLAIN) + 1)))
+    fitted = fitting.fit(rows.select(array_to_vector(F.array(*[F.get("x", F.lit(i)) for i in (*PLAIN, len(KINDS))])).alias("features"), "label"))
+    *of_kinds, of_density = fitted.coefficients.toArray()
+    weights = dict(zip([KINDS[i] for i in PLAIN], of_kinds))
+    seen = rows.select(*[F.max(F.get("x", F.lit(i))).alias(KINDS[i]) for i in PLAIN]).first()
+    # a kind without labelled rows, or with few, counts at least like the ones that it adds to
+    for kind, less in (("threat", "insult"), ("insult aimed", "insult"), ("threat aimed", "threat"), ("both", "insult"), ("both", "threat"), ("both aimed", "insult aimed"), ("both aimed", "threat aimed")):
+        if kind != "threat" or not seen[kind]:
+            weights[kind] = max(weights[kind], weights[less])
+    return Model(lexicon, np.array([*[weights.get(kind, 0.0) for kind in KINDS], of_density]), fitted.intercept, threats)
 
 
 def learn(docs: DataFrame, labels: DataFrame, learns, rows: int = TRAIN_ROWS) -> Model | None:

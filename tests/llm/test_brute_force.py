@@ -157,7 +157,7 @@ def test_composed_grammar_tells_clauses_apart():
     symbols = toxicity.Symbols({"scum": 3.0, "kill": 2.0, "lowe*": 4.0})
     kinds = lambda text: [k for k, x in zip(toxicity.KINDS, toxicity.clauses(text, symbols)) if x]
     assert kinds("You are scum.") == ["insult aimed"]
-    assert kinds("She said: you are not scum!") == ["insult aimed negated"]
+    assert kinds("She said: you are not scum!") == ["insult aimed negated reported"]
     assert kinds("He wrote you are scum") == ["insult aimed reported"]
     assert kinds("I will kill them, scum") == ["insult", "threat aimed"]
     assert kinds("Der Loweiei kommt. Nothing else") == ["insult"]
