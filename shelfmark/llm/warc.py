@@ -170,7 +170,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def resolve(read: DataFrame) -> DataFrame:
     """page_id, url, payload_bytes, payload_digest, record_type, refers_to: each capture with the
-    figures of its full payload; revisits take them from the response that they refer to."""
+    figures of its full payload; revisits take them from the response that they refer to. Archives are
+    read once: what remains without payloads is stored."""
+    read = keep(read.drop("payload"), "warc-read")
     responses = read.where("record_type = 'response'").select("page_id", "url", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to"))
     back = read.where("record_type = 'revisit'").select("page_id", "url", "record_type", F.col("refers_to_id").alias("record_id"))
     kept = read.where("record_type = 'response'").groupBy("record_id").agg(
