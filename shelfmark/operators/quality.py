@@ -151,12 +151,12 @@ def raw_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def value_distribution(df: DataFrame, value: Column, field: str) -> DataFrame:
-    """Counts per value with its own row for NULL."""
-    return (
-        df.groupBy(value.alias("value"))
-        .agg(F.count("*").alias("n"))
-        .withColumn("pct_of_rows", pct("n", F.sum("n").over(Window.partitionBy())))
-        .select(F.lit(field).alias("field"), "value", "n", "pct_of_rows")
+    """Counts per value with its own row for NULL. The total is a scalar subquery, so raw texts
+    that are all distinct never meet in one task."""
+    counts = df.groupBy(value.alias("value")).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("total")).scalar()
+    return counts.withColumn("pct_of_rows", pct("n", total)).select(
+        F.lit(field).alias("field"), "value", "n", "pct_of_rows"
     )
 
 

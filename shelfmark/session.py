@@ -27,7 +27,8 @@ def build_session(app_name: str = "shelfmark", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Without that setting it is a folder in the warehouse, which executors share as well.
+    Without that setting it is a folder in the warehouse, which executors share as well; on a cluster
+    a warehouse on a local disk is refused, as every machine would write to its own.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -36,7 +37,10 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shelfmark-work")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not sc.master.partition("[")[0] == "local" and _hadoop(spark, warehouse)[0].getScheme() == "file":
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share: {warehouse} is on a local disk")
+        sc.setCheckpointDir(f"{warehouse}/shelfmark-work")
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -50,9 +54,35 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that knows it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+_MADE: dict[str, list[str]] = {}  # folders by application
+_TABLES: dict[str, list[str]] = {}  # bucketed tables by application
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/shelfmark-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/shelfmark-{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def cleanup(spark: SparkSession) -> int:
+    """Delete the intermediate tables of this application, once no result of it is read any more.
+
+    Returns the number of folders deleted. Results that the caller has written elsewhere stay.
+    """
+    app, deleted = spark.sparkContext.applicationId, 0
+    for name in _TABLES.pop(app, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for path in _MADE.pop(app, []):
+        files, at = _hadoop(spark, path)
+        deleted += bool(files.delete(at, True))
+    return deleted
 
 
 def stored_split(df: DataFrame, path: str, by: list[str], buckets: tuple[int, str] | None = None) -> DataFrame:
@@ -67,6 +97,7 @@ def stored_split(df: DataFrame, path: str, by: list[str], buckets: tuple[int, st
     name = f"shelfmark_{uuid.uuid4().hex}"
     dealt = df.write.mode("overwrite").partitionBy(*by).bucketBy(*buckets).format("parquet")
     dealt.option("path", path).saveAsTable(name)
+    _TABLES.setdefault(df.sparkSession.sparkContext.applicationId, []).append(name)
     return df.sparkSession.table(name)
 
 
