@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.session import fresh_dir, stored
 
 ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+OTHER_NAMES = 1 << 62  # from here on, names are hashes and not ids
 ARROW_BYTES = 4 << 20  # bytes of rows that a Python worker is sent at once; a longer row goes alone
 
 
@@ -48,7 +49,7 @@ def free_name(df: DataFrame, name: str) -> str:
 
 def with_names(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with the column ``name``: doc_id, but where an id has different texts, only for the
-    one with the least hash; the others get a hash of id and text, from 2 ** 62 on. Null without id.
+    one with the least hash; the others get a hash of id and text, from OTHER_NAMES on. Null without id.
     """
     key = F.xxhash64("doc_id", "text")
     ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id", key.alias("_key")).groupBy("doc_id").agg(F.min("_key").alias("_least"), F.max("_key").alias("_most"))
@@ -56,17 +57,20 @@ def with_names(docs: DataFrame, name: str) -> DataFrame:
     if several.isEmpty():
         return docs.withColumn(name, F.col("doc_id"))
     joined = docs.join(several, docs["doc_id"] == several["_of"], "left")
-    other = F.shiftrightunsigned(key, 2).bitwiseOR(F.lit(1 << 62))
+    other = F.shiftrightunsigned(key, 2).bitwiseOR(F.lit(OTHER_NAMES))
     named = F.when(several["_least"].isNull() | (key == several["_least"]), docs["doc_id"]).otherwise(other)
     return joined.select(*[docs[c] for c in docs.columns], named.alias(name))
 
 
 def one_row_per_id(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of those that share an id; rows without id all stay.
+    """``docs`` with one row of those that share an id, the one with the least hash over all columns
+    (maps aside), so that reruns agree; rows without id all stay.
 
     Only the rows of repeated ids are compared in full, so texts move only if there are any.
     """
     repeated = keep(docs.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key), "repeated-ids")
     if repeated.isEmpty():
         return docs
-    return docs.join(repeated, key, "left_anti").unionByName(docs.join(repeated, key, "left_semi").dropDuplicates([key])).select(docs.columns)
+    hashed = [docs[f.name] for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    one = docs.join(repeated, key, "left_semi").groupBy(F.col(key).alias("_of")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias("_row"))
+    return docs.join(repeated, key, "left_anti").select(docs.columns).unionByName(one.select("_row.*"))

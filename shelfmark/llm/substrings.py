@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.storage import free_name, keep, small_batches
+from shelfmark.llm.storage import OTHER_NAMES, free_name, keep, small_batches, with_names
 from shelfmark.llm.words import give_back, mixed, slices, to_bytes
 
 RUN_WORDS = 20
@@ -35,7 +35,6 @@ _GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.u
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _ALIKE = bytes.maketrans(b"\t\n\v\f\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"     abcdefghijklmnopqrstuvwxyz")
-_LAST_ID = (1 << 63) - 1  # stands for a null id: after all others
 
 
 def cuts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -68,42 +67,48 @@ def _text_key() -> Column:
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key (31 bits of the text's hash), digests, ends, words (running): a row per
-    row of ``docs`` with text."""
+    """name, doc_id (as text), text_key (31 bits of the text's hash), digests, ends, words (running): a row
+    per row of ``docs`` with text. Names tell documents apart (see ``with_names``); those without
+    id are named by a hash of their text, behind all ids."""
 
     def chunk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in (part for whole in batches for part in slices(whole)):
             rows = []
-            for doc_id, key, text in zip(batch.doc_id, batch.text_key, batch.text):
+            for name, doc_id, key, text in zip(batch.name, batch.doc_id, batch.text_key, batch.text):
                 raw = to_bytes(text)
                 if raw:
                     alike = raw.translate(_ALIKE)  # byte for byte, so places stay
                     ends, words = cuts(alike)
                     at = ends.tolist()
                     digests = [xxhash.xxh3_64_intdigest(alike[s:e]) for s, e in zip([0, *at], at)]
-                    rows.append((doc_id, key, np.array(digests, np.uint64).view(np.int64), ends.astype(np.int32), words.astype(np.int32)))
-            yield pd.DataFrame(rows, columns=["doc_id", "text_key", "digests", "ends", "words"])
+                    rows.append((name, doc_id, key, np.array(digests, np.uint64).view(np.int64), ends.astype(np.int32), words.astype(np.int32)))
+            yield pd.DataFrame(rows, columns=["name", "doc_id", "text_key", "digests", "ends", "words"])
         give_back()
 
-    return small_batches(docs).select(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("doc_id"), _text_key().alias("text_key"), "text").mapInPandas(chunk, "doc_id long, text_key long, digests array<long>, ends array<int>, words array<int>")
+    named = with_names(small_batches(docs).select("doc_id", "text"), "name").withColumn("name", F.coalesce("name", F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(OTHER_NAMES))))
+    # as text, since pandas would turn a column of longs with nulls into doubles
+    return named.select("name", F.col("doc_id").cast("string").alias("doc_id"), _text_key().alias("text_key"), "text").mapInPandas(chunk, "name long, doc_id string, text_key long, digests array<long>, ends array<int>, words array<int>")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, first_doc_id, start_byte, end_byte, n_chunks, n_words of each span that
     repeats text of documents with smaller ids.
 
-    ``first_doc_id`` is the smallest of the ids that have the span's chunks. Texts without any
-    chunk (null, empty) have no span, nor has text that only repeats within its own document or
-    in rows with the same id. Rows without id count as one document behind all others.
+    ``first_doc_id`` is the smallest of the ids that have the span's chunks; null if only documents
+    without id come before. Texts without any chunk (null, empty) have no span, nor has text that
+    only repeats within its own document. Rows equal in id and text are one document. Different
+    texts that share an id, and different texts without id, are documents of their own: the text
+    with the least hash stands at its id, the others and those without id come after all ids, in
+    the order of their hashes.
     """
     chunks = keep(chunked(docs), "chunks")
-    rows = chunks.select("doc_id", F.shiftleft("text_key", 32).alias("key"), F.posexplode("digests").alias("place", "digest")).select("digest", "doc_id", F.col("key").bitwiseOR(F.col("place")).alias("at"))
+    rows = chunks.select("name", F.shiftleft("text_key", 32).alias("key"), F.posexplode("digests").alias("place", "digest")).select("digest", "name", F.col("key").bitwiseOR(F.col("place")).alias("at"))
     # a digest with a third of all chunks is one row of this table
-    shared = keep(rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last"), "shared-chunks")
-    again = rows.join(shared, "digest").where("doc_id > first")
+    shared = keep(rows.groupBy("digest").agg(F.min("name").alias("first"), F.max("name").alias("last")).where("first < last").drop("last"), "shared-chunks")
+    again = rows.join(shared, "digest").where("name > first")
     # bounded by a text's own chunks
-    per_text = again.groupBy("doc_id", F.shiftright("at", 32).alias("text_key")).agg(F.collect_set(F.struct(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("place"), "first")).alias("again"))
-    found = keep(per_text, "repeated-chunks").join(chunks.select("doc_id", "text_key", "ends", "words").dropDuplicates(["doc_id", "text_key"]), ["doc_id", "text_key"])
+    per_text = again.groupBy("name", F.shiftright("at", 32).alias("text_key")).agg(F.collect_set(F.struct(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("place"), "first")).alias("again"))
+    found = keep(per_text, "repeated-chunks").join(chunks.select("name", "doc_id", "text_key", "ends", "words").dropDuplicates(["name", "text_key"]), ["name", "text_key"])
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -118,9 +123,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
                         out.append((doc_id, key, min(first[p] for p in run), int(ends[a - 1]) if a else 0, int(ends[b]), len(run), n_words))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
 
-    schema = "doc_id long, text_key long, first_doc_id long, start_byte int, end_byte int, n_chunks int, n_words int"
-    spans = found.mapInPandas(runs, schema)
-    return spans.withColumn("doc_id", F.when(F.col("doc_id") < _LAST_ID, F.col("doc_id")))
+    schema = "doc_id string, text_key long, first long, start_byte int, end_byte int, n_chunks int, n_words int"
+    spans = found.select("doc_id", "text_key", "again", "ends", "words").mapInPandas(runs, schema)
+    others = chunks.where(F.col("name") >= OTHER_NAMES).select(F.col("name").alias("first"), F.col("doc_id").alias("_first_id")).dropDuplicates(["first"])
+    first = F.when(F.col("first") < OTHER_NAMES, F.col("first")).otherwise(F.col("_first_id"))
+    return spans.join(others, "first", "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text_key", first.alias("first_doc_id"), "start_byte", "end_byte", "n_chunks", "n_words")
 
 
 def without_spans(docs: DataFrame, spans: DataFrame, changed: str) -> DataFrame:

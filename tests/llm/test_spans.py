@@ -3,8 +3,11 @@
 import random
 
 from conftest import DOCS, words
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shelfmark.llm import substrings
+from shelfmark.llm.storage import one_row_per_id
 
 
 def test_no_passage_of_51_words_is_missed(spark):
@@ -38,3 +41,28 @@ def test_cuts_of_a_passage_leave_25_of_50_words():
         assert high - low >= 25
         inside = [{x for e, x in f if x > 16 and x < 41} for f in found]
         assert inside[0] == inside[1]
+
+
+def test_texts_without_id_or_of_one_id_repeat_each_other(spark):
+    """Each text is a document of its own; rows equal in id and text are one."""
+    rng = random.Random(21)
+    shared = [" ".join(words(rng, 60)) for _ in range(4)]
+    text = lambda k: f"{' '.join(words(rng, 15))} {shared[k]} {' '.join(words(rng, 15))}"
+    rows = [(None, text(0)), (None, text(0)), (5, text(1)), (5, text(1)), (9, text(2)), (None, text(2)), (7, shared[3]), (7, shared[3]), (None, None), (6, text(1))]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], DOCS)
+    spans = sorted((r.doc_id or 0, r.first_doc_id or 0) for r in substrings.repeated_spans(docs).collect())
+    # of the two without id one stays; of those of id 5 the least hash stands at its id, the other comes behind 6
+    assert spans == [(0, 0), (0, 9), (5, 5), (6, 5)]
+    left = corpus_pipeline.cut_repeats(spark, docs, "").collect()
+    assert len(left) == len(rows)
+    for k, n in enumerate((1, 1, 1, 2)):
+        middle = " ".join(shared[k].split()[16:-9])
+        assert sum(middle in (r.text or "") for r in left) == n
+    assert all(r.n_chars == len(r.text) for r in left if r.n_chars)
+
+
+def test_one_row_per_id_does_not_depend_on_order(spark):
+    rows = [(k % 7 if k % 5 else None, "text", "en", f"s{k}", k) for k in range(70)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("extra", F.create_map("lang", "source"))
+    once = [sorted((str(r.doc_id), r.source) for r in one_row_per_id(d).collect()) for d in (docs, docs.repartition(5, "source").orderBy(F.desc("source")))]
+    assert once[0] == once[1] and len(once[0]) == 7 + 14
