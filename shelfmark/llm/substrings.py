@@ -126,8 +126,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     schema = "doc_id string, text_key long, first long, start_byte int, end_byte int, n_chunks int, n_words int"
     spans = found.select("doc_id", "text_key", "again", "ends", "words").mapInPandas(runs, schema)
     others = chunks.where(F.col("name") >= OTHER_NAMES).select(F.col("name").alias("first"), F.col("doc_id").alias("_first_id")).dropDuplicates(["first"])
-    first = F.when(F.col("first") < OTHER_NAMES, F.col("first")).otherwise(F.col("_first_id"))
-    return spans.join(others, "first", "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text_key", first.alias("first_doc_id"), "start_byte", "end_byte", "n_chunks", "n_words")
+    named = lambda s, first: s.select(F.col("doc_id").cast("long").alias("doc_id"), "text_key", F.col(first).cast("long").alias("first_doc_id"), "start_byte", "end_byte", "n_chunks", "n_words")
+    if others.isEmpty():
+        return named(spans, "first")
+    spans = keep(spans, "found-spans")
+    # only names that are no ids are looked up, since many spans may share a first document
+    return named(spans.where(F.col("first") < OTHER_NAMES), "first").unionByName(named(spans.where(F.col("first") >= OTHER_NAMES).join(others, "first"), "_first_id"))
 
 
 def without_spans(docs: DataFrame, spans: DataFrame, changed: str) -> DataFrame:
