@@ -74,28 +74,44 @@ class Block(NamedTuple):
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int]:
-    """Best local alignment: score, matched words, start and end in ``text``."""
+    """Best local alignment: score, matched words, start and end in ``text``.
+
+    Of the table of scores only the row above is kept, and two bits of each cell: whether its best
+    path came along the diagonal, and whether along the item. An item of 20,000 words with a passage
+    twice as long takes 200 MB.
+    """
     n = len(text)
-    at = np.arange(n + 1) * GAP
-    table = np.zeros((len(item) + 1, n + 1), np.int32)
+    at = np.arange(n + 1, dtype=np.int32) * GAP
+    above, diagonal, upward = np.zeros(n + 1, np.int32), [], []
+    score, last, end = 0, 0, 0
     for i, word in enumerate(item, 1):
-        row = np.maximum(table[i - 1] + GAP, 0)
-        row[1:] = np.maximum(row[1:], table[i - 1, :-1] + np.where(text == word, MATCH, MISMATCH))
-        table[i] = np.maximum.accumulate(row - at) + at  # gaps along the text
-    i, j = divmod(int(table.argmax()), n + 1)
-    score, end, matched = int(table[i, j]), j, 0
-    while table[i, j] > 0:
-        same = item[i - 1] == text[j - 1]
-        if table[i, j] == table[i - 1, j - 1] + (MATCH if same else MISMATCH):
+        both, gap = above[:-1] + np.where(text == word, np.int32(MATCH), np.int32(MISMATCH)), above + np.int32(GAP)
+        row = np.maximum(gap, 0)
+        row[1:] = np.maximum(row[1:], both)
+        row = np.maximum.accumulate(row - at) + at  # gaps along the text
+        diagonal.append(np.packbits(row[1:] == both))
+        upward.append(np.packbits(row == gap))
+        j = int(row.argmax())
+        if row[j] > score:
+            score, last, end = int(row[j]), i, j
+        above = row
+    i, j, rest, matched = last, end, score, 0
+    while rest > 0:
+        if _bit(diagonal[i - 1], j - 1):
+            same = item[i - 1] == text[j - 1]
             matched += bool(same)
+            rest -= MATCH if same else MISMATCH
             i, j = i - 1, j - 1
-        elif table[i, j] == table[i - 1, j] + GAP:
-            i -= 1
         else:
-            j -= 1
+            rest -= GAP
+            i, j = (i - 1, j) if _bit(upward[i - 1], j) else (i, j - 1)
     return score, matched, j, end
 
 
+def _bit(bits: np.ndarray, k: int) -> bool:
+    return bool(bits[k >> 3] >> (7 - (k & 7)) & 1)
+
+
 def leaks(h: np.ndarray, block: Block) -> list[dict]:
     """The items of a block that a text holds, each with its best passage."""
     found: dict[int, list[int]] = {}
