@@ -200,12 +200,11 @@ def linked(docs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> Data
             at = at.withColumn("pivot", F.pmod(F.xxhash64("id", F.lit(drawn_of)), F.lit(1 << 30)) < F.lit(drawn_of * float(1 << 30)) / F.col("members"))
         else:
             # the text that most others were made from shares most bands with them
-            weight = at.groupBy("id").agg(F.sum("members").alias("weight"))
-            heart = at.join(weight, "id").groupBy("band").agg(F.max(F.struct("weight", -F.col("id"))).alias("most")).select("band", (-F.col("most.col2")).alias("p"))
+            weighed = at.groupBy("id").agg(F.sum("members").alias("weight"), F.collect_list("band").alias("held")).select("id", "weight", F.explode("held").alias("band"))
+            heart = weighed.groupBy("band").agg(F.max(F.struct("weight", -F.col("id"))).alias("most")).select("band", (-F.col("most.col2")).alias("p"))
             at = at.join(heart, "band").withColumn("pivot", F.col("id") == F.col("p")).drop("p")
         at = keep(at.drop("members"), "large-bands")
-        rows = at.join(hints, "id")
-        probe = rows.where("pivot").drop("pivot")
+        rows, probe = _with_hints(at, hints), _with_hints(at.where("pivot").drop("pivot"), hints)
         probe = probe.select("band", *[F.col(c).alias(f"{c}_p") for c in probe.columns if c != "band"])
         pairs = probe.join(rows, "band").where((F.col("component_p") != F.col("component")) & _alike("n_p", "n", percent) & _may_link(percent))
         found = keep(confirmed(pairs.select(F.least("id_p", "id").alias("a"), F.greatest("id_p", "id").alias("b")), docs, percent), "confirmed")
@@ -247,6 +246,13 @@ def hinted(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(read, "id long, used int, planes array<long>, few array<long>")
 
 
+def _with_hints(at: DataFrame, hints: DataFrame) -> DataFrame:
+    """The rows of ``at`` with the hints of their texts. They are joined once for each text, which
+    has at most BANDS rows, and not once for each band that it is in."""
+    texts = at.groupBy("id").agg(F.collect_list(F.struct(*[c for c in at.columns if c != "id"])).alias("places"))
+    return texts.join(hints, "id").select("id", *[c for c in hints.columns if c != "id"], F.inline("places"))
+
+
 def _may_link(percent: int) -> Column:
     """Of a pivot (columns ending in _p) and a member: the registers agree in the hint bits often
     enough, and small sets overlap enough. Hint bits that agree by chance are allowed for."""
