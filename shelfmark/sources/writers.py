@@ -97,10 +97,14 @@ def write_jdbc(
 def export_star(
     star: dict[str, DataFrame], csv_dir: str, prefix: str = "pbi_", table_dir: str | None = None
 ) -> DataFrame:
-    """Five CSV datasets and five catalog tables; returns the rows loaded per table."""
+    """Five CSV datasets and five catalog tables; returns the rows loaded per table.
+
+    The datasets are written from the tables, so that each is computed once.
+    """
+    loaded = load_tables(star, prefix, table_dir)
     for name, df in star.items():
-        write_csv(df, f"{csv_dir}/{name}.csv")
-    return load_tables(star, prefix, table_dir)
+        write_csv(df.sparkSession.table(f"{prefix}{name}"), f"{csv_dir}/{name}.csv")
+    return loaded
 
 
 def create_view(df: DataFrame, name: str) -> str:

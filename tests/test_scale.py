@@ -28,3 +28,13 @@ def test_the_own_number_of_partitions_comes_back(spark):
         assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 10**9 // session.TASK_ROWS
         raise KeyError
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_a_star_table_is_computed_once(spark, tmp_path):
+    from shelfmark.sources import readers, writers
+
+    drawn = spark.range(20).selectExpr("id", "java_method('java.util.UUID', 'randomUUID') as drawn")
+    loaded = writers.export_star({"drawn": drawn}, str(tmp_path / "csv"), "once_", str(tmp_path / "tables"))
+    back = readers.read_csv(spark, str(tmp_path / "csv/drawn.csv"), drawn.schema)
+    assert loaded.first().rows_loaded == 20
+    assert back.exceptAll(spark.table("once_drawn")).isEmpty() and back.count() == 20
