@@ -38,3 +38,51 @@ def test_a_star_table_is_computed_once(spark, tmp_path):
     back = readers.read_csv(spark, str(tmp_path / "csv/drawn.csv"), drawn.schema)
     assert loaded.first().rows_loaded == 20
     assert back.exceptAll(spark.table("once_drawn")).isEmpty() and back.count() == 20
+
+
+def _odd_orders(make):
+    """Orders whose ids repeat, hold one row or are missing; five products and three customers."""
+    ids = ["a", "b", "a", None, "c", None, "a", "d"]
+    rows = [(i, k, f"c{i % 3}", f"p{i % 5}", "2000-01-01", 1, "CC", "Shipped") for i, k in enumerate(ids)]
+    customers = [(i, f"c{i}", "N", "M", 30.0, "x", "y", "1999-01-01") for i in range(3)]
+    products = [(i, f"p{i}", "N", "Books", "2.00", "1.00") for i in range(5)]
+    return make.customers(customers), make.products(products), make.orders(rows)
+
+
+def _moved(df):
+    """The exchanges that a plan has, as text."""
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
+
+
+def test_repeated_ids_are_found_by_hash(spark, make, monkeypatch):
+    from shelfmark.operators import validate
+    from shelfmark.plans import etl as plan
+    from shelfmark.sources.adapter import Tables
+
+    raw = Tables(*_odd_orders(make))
+    for most in (plan.BROADCAST_IDS, 0):
+        monkeypatch.setattr(plan, "BROADCAST_IDS", most)
+        etl = Etl(raw, "2024-01-01")
+        ids, n = etl._repeated_orders(etl.cleaned.orders)
+        known = validate.repeated_ids(etl.cleaned.orders, "order_id")
+        assert n == 2 and sorted(ids.collect(), key=str) == sorted(known.collect(), key=str)
+        repeats = etl.checked.orders.where("rejection_reason = 'DUPLICATE_ORDER_ID'")
+        assert {r.src_seq for r in repeats.collect()} == {2, 5, 6}
+    # only hashes move, not the ids
+    assert all("order_id" not in line for line in _moved(validate.repeated_hashes(raw.orders, "order_id")))
+
+
+def test_repeated_ids_move_no_order_lines(spark, make):
+    from shelfmark.operators import validate
+    from shelfmark.sources.adapter import Tables
+
+    etl = Etl(Tables(*_odd_orders(make)), "2024-01-01")
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        ids, _ = etl._repeated_orders(etl.cleaned.orders)
+        flagged = validate.flag_repeats(etl.cleaned.orders, "order_id", repeated=ids)
+        assert not any("hashpartitioning(order_id" in line for line in _moved(flagged))
+    finally:
+        spark.conf.set(limit, before)
