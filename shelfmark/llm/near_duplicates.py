@@ -23,11 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.components import components
-from shelfmark.llm.storage import keep, small_batches
+from shelfmark.llm.storage import distil, keep, small_batches
 from shelfmark.llm.words import WordHashes, give_back, mixed, signed, slices, to_bytes, windows
 
 WORDS = 5
@@ -167,21 +167,25 @@ def _alike(n_a: str, n_b: str, percent: int) -> Column:
 
 def linked(docs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
     """id, component: of all class representatives that are linked to another one."""
+    spark = docs.sparkSession
     classes = sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"))
     reps = sketches.join(keep(classes.select("doc_id").distinct(), "representatives"), "doc_id", "left_semi")
     banded = reps.select(F.explode("bands").alias("band"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"))
-    shared = keep(banded.groupBy("band").agg(F.count("*").alias("members"), F.min("id").alias("a"), F.max("id").alias("b")).where("a < b"), "bands")
-    members = keep(banded.join(shared.select("band", "members"), "band"), "band-members")
+    # bands move once, to be counted and kept: most have one member
+    of_band = Window.partitionBy("band")
+    counted = banded.withColumns({"members": F.count("*").over(of_band), "_low": F.min("id").over(of_band), "_high": F.max("id").over(of_band)})
+    members = keep(counted.where("_low < _high").drop("_low", "_high"), "band-members")
 
     left = members.where(F.col("members") <= FEW).select("band", F.col("id").alias("a"), F.col("n").alias("n_a"))
     right = members.where(F.col("members") <= FEW).select("band", F.col("id").alias("b"), F.col("n").alias("n_b"))
-    links = keep(confirmed(left.join(right, "band").where((F.col("a") < F.col("b")) & _alike("n_a", "n_b", percent)), docs, percent), "confirmed")
+    few = left.join(right, "band").where((F.col("a") < F.col("b")) & _alike("n_a", "n_b", percent))
+    links = distil(spark, lambda: confirmed(few, docs, percent), "confirmed")
     labels = components(links)
 
     large = keep(members.where(F.col("members") > FEW), "large-bands")
     if large.isEmpty():
         return labels
-    found = keep(confirmed(_home_pairs(large, labels, percent), docs, percent), "confirmed")
+    found = distil(spark, lambda: confirmed(_home_pairs(large, labels, percent), docs, percent), "confirmed")
     if not found.isEmpty():
         links = keep(links.unionByName(found), "links")
         labels = components(links)
@@ -207,7 +211,8 @@ def linked(docs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> Data
         rows, probe = _with_hints(at, hints), _with_hints(at.where("pivot").drop("pivot"), hints)
         probe = probe.select("band", *[F.col(c).alias(f"{c}_p") for c in probe.columns if c != "band"])
         pairs = probe.join(rows, "band").where((F.col("component_p") != F.col("component")) & _alike("n_p", "n", percent) & _may_link(percent))
-        found = keep(confirmed(pairs.select(F.least("id_p", "id").alias("a"), F.greatest("id_p", "id").alias("b")), docs, percent), "confirmed")
+        pairs = pairs.select(F.least("id_p", "id").alias("a"), F.greatest("id_p", "id").alias("b"))
+        found = distil(spark, lambda: confirmed(pairs, docs, percent), "confirmed")
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
@@ -282,7 +287,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Columns other than doc_id and text are not read.
     """
     sketches = keep(sketched(docs, percent), "sketches")
-    labels = linked(docs, sketches, percent)
+    labels = distil(docs.sparkSession, lambda: linked(docs, sketches, percent), "components")
     usable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     classes = sketches.where(usable).groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     # the class of each document that is not alone, then the component of its representative
