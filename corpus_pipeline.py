@@ -8,11 +8,13 @@ are carried through by every stage.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import decontamination, mixing, near_duplicates, substrings, toxicity
-from shelfmark.llm.storage import free_name, keep, one_row_per_id, remainder, table, with_names
+from shelfmark.llm.storage import distil, free_name, keep, one_row_per_id, remainder, table, with_names
 
 TOXIC = 0.5  # score from which a document is rejected
 NEAR = 80  # percent of shingles in common from which documents are near-duplicates
@@ -31,14 +33,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     name = free_name(docs, "name")
     named = with_names(docs, name)
     texts = named.select(F.col(name).alias("doc_id"), "text")
-    dropped = near_duplicates.near_duplicates(texts, NEAR).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
-    return one_row_per_id(named.join(keep(dropped, "dropped"), name, "left_anti"), name).select(docs.columns)
+    dropped = distil(spark, lambda: near_duplicates.near_duplicates(texts, NEAR).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct(), "dropped")
+    return one_row_per_id(named.join(dropped, name, "left_anti"), name).select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that one with a smaller id has; n_chars is counted anew for
     texts that lost some, and documents that nothing is left of go."""
-    spans, changed = keep(substrings.repeated_spans(docs), "spans"), free_name(docs, "changed")
+    spans, changed = distil(spark, lambda: substrings.repeated_spans(docs), "spans"), free_name(docs, "changed")
     cut = substrings.without_spans(docs, spans, changed).where(~F.col(changed) | (F.length("text") > 0))
     return cut.withColumn("n_chars", F.when(F.col(changed), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
@@ -55,12 +57,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     makes (own columns of these names are replaced); documents with no copy go. Of rows equal in
     id and text one stays; other rows that share an id, and rows without id, are documents of
     their own."""
-    name, row = free_name(docs, "name"), free_name(docs, "mix_row")
-    once = one_row_per_id(with_names(docs, name), name).drop(name)
-    # a row's number is stored, as it depends on how files are split
-    once = keep(once.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
-    taken = keep(mixing.mix(once, row=row).where(F.col("copies") > 0).select(row, "copies", "taken"), "mix")
-    return once.drop("copies", "taken").join(taken, row).drop(row)
+    name, row, no_id = (free_name(docs, c) for c in ("name", "mix_row", "mix_no_id"))
+    once = one_row_per_id(with_names(docs, name), name)
+    # rows without id are numbered; that is stored, as it depends on how files are split
+    unnamed = keep(once.where(F.col(name).isNull()).withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    once = once.where(F.col(name).isNotNull()).withColumn(row, F.col(name)).unionByName(unnamed).drop(name)
+    taken = distil(spark, lambda: mixing.mix(once, row=row).where(F.col("copies") > 0).select(row, F.col("doc_id").isNull().alias(no_id), "copies", "taken"), "mix")
+    return once.drop("copies", "taken").withColumn(no_id, F.col("doc_id").isNull()).join(taken, [row, no_id]).drop(row, no_id)
 
 
 STAGES = [
@@ -79,5 +82,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = keep(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = distil(spark, partial(stage, spark, docs, sf_dir), f"stage-{name}")
     return docs

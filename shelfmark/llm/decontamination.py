@@ -196,10 +196,11 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_W
 
     found = [search(block) for block in blocks(docs, benchmark, block_words)]
     none = F.array().cast(kind)
-    return keep(small_batches(docs).withColumn(into, F.concat(none, *found)), "leaks")
+    return small_batches(docs).withColumn(into, F.concat(none, *found))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, score, matched_words, start_word, end_word: a row for each item in a document."""
-    found = with_leaks(docs.select("doc_id", "text"), benchmark)
+    # stored, as both the condition and the rows read the search
+    found = keep(with_leaks(docs.select("doc_id", "text"), benchmark), "leaks")
     return found.where(F.size("leaks") > 0).select("doc_id", F.inline("leaks"))

@@ -102,13 +102,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     the order of their hashes.
     """
     chunks = keep(chunked(docs), "chunks")
-    rows = chunks.select("name", F.shiftleft("text_key", 32).alias("key"), F.posexplode("digests").alias("place", "digest")).select("digest", "name", F.col("key").bitwiseOR(F.col("place")).alias("at"))
+    # a name that is an id stands for one text; one that is a hash has 31 bits more of the text's hash
+    guard = F.when(F.col("name") >= OTHER_NAMES, F.col("text_key")).otherwise(0)
+    rows = chunks.select("name", F.shiftleft(guard, 32).alias("key"), F.posexplode("digests").alias("place", "digest")).select("digest", "name", F.col("key").bitwiseOR(F.col("place")).alias("at"))
     # a digest with a third of all chunks is one row of this table
     shared = keep(rows.groupBy("digest").agg(F.min("name").alias("first"), F.max("name").alias("last")).where("first < last").drop("last"), "shared-chunks")
-    again = rows.join(shared, "digest").where("name > first")
+    again = keep(rows.join(shared, "digest").where("name > first").select("name", "at", "first"), "again")
     # bounded by a text's own chunks
-    per_text = again.groupBy("name", F.shiftright("at", 32).alias("text_key")).agg(F.collect_set(F.struct(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("place"), "first")).alias("again"))
-    found = keep(per_text, "repeated-chunks").join(chunks.select("name", "doc_id", "text_key", "ends", "words").dropDuplicates(["name", "text_key"]), ["name", "text_key"])
+    per_text = again.groupBy("name", F.shiftright("at", 32).alias("guard")).agg(F.collect_set(F.struct(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("place"), "first")).alias("again"))
+    whole = chunks.select("name", guard.alias("guard"), "doc_id", "text_key", "ends", "words")
+    found = keep(per_text, "repeated-chunks").join(whole.dropDuplicates(["name", "guard"]), ["name", "guard"])
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
