@@ -17,6 +17,7 @@ several collisions in a row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,7 @@ from shelfmark.llm.words import give_back, mixed, slices, to_bytes
 RUN_WORDS = 20
 WINDOW = 9  # words among which there is a cut; one word in five begins a chunk, on average
 LONGEST = 2048  # bytes of a chunk
+PASSES = 4  # shares of the digests that are compared one after the other, so that only one of them is on disk as shuffle files
 
 _GEAR = (mixed(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 _SPACE = np.zeros(256, bool)
@@ -67,8 +69,8 @@ def _text_key() -> Column:
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """name, doc_id (as text), text_key (31 bits of the text's hash), digests, ends, words (running): a row
-    per row of ``docs`` with text. Names tell documents apart (see ``with_names``); those without
+    """name, doc_id (as text), text_key (31 bits of the text's hash), and of each chunk digests, sizes
+    (bytes) and words (that start in it): a row per row of ``docs`` with text. Names tell documents apart (see ``with_names``); those without
     id are named by a hash of their text, behind all ids."""
 
     def chunk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -81,13 +83,20 @@ def chunked(docs: DataFrame) -> DataFrame:
                     ends, words = cuts(alike)
                     at = ends.tolist()
                     digests = [xxhash.xxh3_64_intdigest(alike[s:e]) for s, e in zip([0, *at], at)]
-                    rows.append((name, doc_id, key, np.array(digests, np.uint64).view(np.int64), ends.astype(np.int32), words.astype(np.int32)))
-            yield pd.DataFrame(rows, columns=["name", "doc_id", "text_key", "digests", "ends", "words"])
+                    rows.append((name, doc_id, key, np.array(digests, np.uint64).view(np.int64), np.diff(ends, prepend=0).astype(np.int16), np.diff(words, prepend=0).astype(np.int16)))
+            yield pd.DataFrame(rows, columns=["name", "doc_id", "text_key", "digests", "sizes", "words"])
         give_back()
 
     named = with_names(small_batches(docs).select("doc_id", "text"), "name").withColumn("name", F.coalesce("name", F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(OTHER_NAMES))))
     # as text, since pandas would turn a column of longs with nulls into doubles
-    return named.select("name", F.col("doc_id").cast("string").alias("doc_id"), _text_key().alias("text_key"), "text").mapInPandas(chunk, "name long, doc_id string, text_key long, digests array<long>, ends array<int>, words array<int>")
+    return named.select("name", F.col("doc_id").cast("string").alias("doc_id"), _text_key().alias("text_key"), "text").mapInPandas(chunk, "name long, doc_id string, text_key long, digests array<long>, sizes array<smallint>, words array<smallint>")
+
+
+def _shared_chunks(rows: DataFrame) -> DataFrame:
+    """name, at, first: of ``rows`` (digest, name, at), those whose digest has a lesser name, the first."""
+    # a digest with a third of all chunks is one row of this table
+    shared = keep(rows.groupBy("digest").agg(F.min("name").alias("first"), F.max("name").alias("last")).where("first < last").drop("last"), "shared-chunks")
+    return keep(rows.join(shared, "digest").where("name > first").select("name", "at", "first"), "again")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -105,18 +114,18 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     # a name that is an id stands for one text; one that is a hash has 31 bits more of the text's hash
     guard = F.when(F.col("name") >= OTHER_NAMES, F.col("text_key")).otherwise(0)
     rows = chunks.select("name", F.shiftleft(guard, 32).alias("key"), F.posexplode("digests").alias("place", "digest")).select("digest", "name", F.col("key").bitwiseOR(F.col("place")).alias("at"))
-    # a digest with a third of all chunks is one row of this table
-    shared = keep(rows.groupBy("digest").agg(F.min("name").alias("first"), F.max("name").alias("last")).where("first < last").drop("last"), "shared-chunks")
-    again = keep(rows.join(shared, "digest").where("name > first").select("name", "at", "first"), "again")
+    compared = [_shared_chunks(rows.where(F.pmod("digest", F.lit(PASSES)) == share)) for share in range(PASSES)]
     # bounded by a text's own chunks
-    per_text = again.groupBy("name", F.shiftright("at", 32).alias("guard")).agg(F.collect_set(F.struct(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("place"), "first")).alias("again"))
-    whole = chunks.select("name", guard.alias("guard"), "doc_id", "text_key", "ends", "words")
-    found = keep(per_text, "repeated-chunks").join(whole.dropDuplicates(["name", "guard"]), ["name", "guard"])
+    again = F.collect_set(F.struct(F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("place"), "first"))
+    per_text = reduce(DataFrame.unionByName, compared).groupBy("name", F.shiftright("at", 32).alias("guard")).agg(again.alias("again"))
+    whole = chunks.select("name", guard.alias("guard"), "doc_id", "text_key", "sizes", "words")
+    found = per_text.join(whole.dropDuplicates(["name", "guard"]), ["name", "guard"])
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, key, again_, ends, words in zip(batch.doc_id, batch.text_key, batch.again, batch.ends, batch.words):
+            for doc_id, key, again_, sizes, words_ in zip(batch.doc_id, batch.text_key, batch.again, batch.sizes, batch.words):
+                ends, words = np.cumsum(sizes, dtype=np.int64), np.cumsum(words_, dtype=np.int64)
                 first = {x["place"]: x["first"] for x in again_}
                 places = np.array(sorted(first))
                 for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1):
@@ -127,7 +136,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
 
     schema = "doc_id string, text_key long, first long, start_byte int, end_byte int, n_chunks int, n_words int"
-    spans = found.select("doc_id", "text_key", "again", "ends", "words").mapInPandas(runs, schema)
+    spans = found.select("doc_id", "text_key", "again", "sizes", "words").mapInPandas(runs, schema)
     others = chunks.where(F.col("name") >= OTHER_NAMES).select(F.col("name").alias("first"), F.col("doc_id").alias("_first_id")).dropDuplicates(["first"])
     named = lambda s, first: s.select(F.col("doc_id").cast("long").alias("doc_id"), "text_key", F.col(first).cast("long").alias("first_doc_id"), "start_byte", "end_byte", "n_chunks", "n_words")
     if others.isEmpty():

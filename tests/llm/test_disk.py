@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfmark import session
-from shelfmark.llm import near_duplicates, storage
+from shelfmark.llm import near_duplicates, storage, substrings
 
 
 def _docs(spark, n=60):
@@ -67,3 +67,20 @@ def test_bands_move_once(spark):
     (members,) = [df for name, df in seen if name == "band-members"]
     plan = members._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(band") == 1
+
+
+def test_substrings_compare_a_share_of_the_chunks_at_a_time(spark):
+    docs = _docs(spark)
+    rows, seen, keep = {}, [], substrings.keep
+    try:
+        substrings.keep = lambda df, name: (seen.append((name, keep(df, name))), seen[-1][1])[1]
+        for passes in (1, 4):
+            substrings.PASSES, was = passes, substrings.PASSES
+            rows[passes] = sorted(map(tuple, substrings.repeated_spans(docs).collect()))
+            substrings.PASSES = was
+    finally:
+        substrings.keep = keep
+    assert rows[1] == rows[4] and rows[1]
+    whole, *shares = [df.count() for name, df in seen if name == "again"]
+    assert len(shares) == 4 and sum(shares) == whole and max(shares) < 0.5 * whole
+    assert not any(name == "repeated-chunks" for name, _ in seen)
