@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark import session
+from shelfmark.operators import quality, validate
 from shelfmark.plans.etl import Etl
 from shelfmark.plans.registry import etl_of
+from shelfmark.sources.adapter import Tables
 
 
 def test_buckets_and_shuffles_grow_with_the_table(spark, sf_dir, monkeypatch):
@@ -86,3 +88,32 @@ def test_repeated_ids_move_no_order_lines(spark, make):
         assert not any("hashpartitioning(order_id" in line for line in _moved(flagged))
     finally:
         spark.conf.set(limit, before)
+
+
+def test_files_are_read_in_as_many_tasks(spark):
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    with session.wide_shuffles(spark, 100 * session.TASK_ROWS):
+        assert spark.conf.get("spark.sql.files.minPartitionNum") == "100"
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) == before
+
+
+def test_product_ids_of_order_lines_move_once(spark, make):
+    orders = make.orders([(1, "O1", "C1", "P1", "2024-01-01", 1, "COD", "Shipped"), (2, "O2", "C1", "P2", "2024-01-01", 1, "COD", "Shipped")])
+    customers = make.customers([(1, "C1", "A", "Male", 30.0, "X", "YY", "2023-01-01")])
+    products = make.products([(1, "P1", "a", "Books & Media", "9.00", "5.00")])
+    checked = validate.check_orders(orders, customers, products, dealt=(3, "customer_id"))
+    assert {r.order_id: r[validate.REASON] for r in checked.collect()} == {"O1": None, "O2": "ORPHAN_PRODUCT_FOREIGN_KEY"}
+    dealt = checked._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
+    assert "isnotnull(known_product" in dealt.splitlines()[1]
+
+
+def test_quarantine_moves_hashes_of_ids(spark):
+    valid = spark.createDataFrame([(f"O{k}",) for k in range(50)] + [("O7",), (None,)], "order_id string")
+    rejected = spark.createDataFrame(
+        [("orders", "O7", "INVALID_QUANTITY_ZERO"), ("orders", "O7", "INVALID_QUANTITY_ZERO"), ("orders", "O9", "DUPLICATE_ORDER_ID"), ("orders", None, "INVALID_QUANTITY_ZERO"), ("customers", "O8", "INVALID_AGE_OUT_OF_BOUNDS")],
+        "table_name string, record_identifier string, rejection_reason string")
+    none = valid.where("false")
+    tables = Tables(none.withColumnRenamed("order_id", "customer_id"), none.withColumnRenamed("order_id", "product_id"), valid)
+    out = quality.quarantine_isolation(tables, rejected, validate.ID_COLUMNS)
+    assert [tuple(r) for r in out.collect()] == [("customers", 0), ("products", 0), ("orders", 2)]
+    assert "BroadcastHashJoin [xxhash64(" in out._jdf.queryExecution().executedPlan().toString()
