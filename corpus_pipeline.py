@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import decontamination, mixing, near_duplicates, substrings, toxicity
-from shelfmark.llm.storage import distil, free_name, keep, one_row_per_id, remainder, table, with_names
+from shelfmark.llm.storage import bounded, distil, free_name, keep, one_row_per_id, remainder, table, with_names
 
 TOXIC = 0.5  # score from which a document is rejected
+SENT_IDS = 2_000_000  # ids of dropped documents up to which they may be broadcast (about 130 MB); with more, texts move
 NEAR = 80  # percent of shingles in common from which documents are near-duplicates
 
 
@@ -34,6 +35,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     named = with_names(docs, name)
     texts = named.select(F.col(name).alias("doc_id"), "text")
     dropped = distil(spark, lambda: near_duplicates.near_duplicates(texts, NEAR).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct(), "dropped")
+    dropped = bounded(dropped, SENT_IDS)
     return one_row_per_id(named.join(dropped, name, "left_anti"), name).select(docs.columns)
 
 

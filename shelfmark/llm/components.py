@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.storage import keep
+from shelfmark.llm.storage import bounded, keep
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,12 +17,12 @@ def components(links: DataFrame) -> DataFrame:
     and links stay tables in the shared folder; the driver gets one flag a pass.
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = keep(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")), "labels")
+    labels = bounded(keep(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("component")), "labels"))
     edges = links.select("a", "b")
     while True:
         at = lambda side: labels.select(F.col("id").alias(side), F.col("component").alias(f"c{side}"))
         edges = edges.join(at("a"), "a").join(at("b"), "b").where("ca <> cb").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct()
-        edges = keep(edges, "links")
+        edges = bounded(keep(edges, "links"))
         # a label that itself has moved on is followed before the next pass
         moved = labels.where("id <> component").select(F.col("id").alias("component"), F.col("component").alias("next"))
         pending = labels.join(moved, "component", "left_semi")
@@ -32,8 +32,9 @@ def components(links: DataFrame) -> DataFrame:
         pull = pull.where("m < b").select(F.col("b").alias("component"), F.col("m").alias("next"))
         step = keep(labels.select(F.col("id").alias("component"), F.col("component").alias("next")).where("component <> next").unionByName(pull)
                     .groupBy("component").agg(F.min("next").alias("next")), "pointers")
+        step = bounded(step)
         for _ in range(2):
             onward = step.select(F.col("component").alias("next"), F.col("next").alias("_onward"))
             step = step.join(onward, "next", "left").select("component", F.coalesce("_onward", "next").alias("next"))
-        step = keep(step, "pointers")
-        labels = keep(labels.join(step, "component", "left").select("id", F.coalesce("next", "component").alias("component")), "labels")
+        step = bounded(keep(step, "pointers"))
+        labels = bounded(keep(labels.join(step, "component", "left").select("id", F.coalesce("next", "component").alias("component")), "labels"))

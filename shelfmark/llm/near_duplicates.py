@@ -19,7 +19,8 @@ of about (1 - 0.85 ** 6) ** 42, 2e-9; at 0.8 of (1 - 0.8 ** 6) ** 42, 3e-6.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.components import components
-from shelfmark.llm.storage import distil, keep, small_batches
+from shelfmark.llm.storage import bounded, distil, keep, small_batches
 from shelfmark.llm.words import WordHashes, give_back, mixed, signed, slices, to_bytes, windows
 
 WORDS = 5
@@ -43,7 +44,9 @@ PIVOTS = 32  # of a larger band key in the second round; eight times as many in
 SIGMAS = 5  # standard deviations by which an estimate may miss the threshold
 SMALL_SET = 256  # shingles of a set that pivots are compared with itself
 HINT_BITS = 4  # low bits of the mantissas that pivots are compared by
-BROADCAST_IDS = 1_000_000  # candidate ids (8 MB) up to which they are broadcast
+BROADCAST_IDS = 500_000  # candidate ids that are broadcast at once, about 35 MB in the driver's memory
+MOST_READS = 16  # times that texts are read for candidates; with more of these, texts move instead
+HINT_ROWS = 50_000  # rows of members with hints (2 KB each at most) that a join may send through the driver
 
 _DONORS = (mixed(np.arange(TRIES * REGISTERS, dtype=np.uint64) + np.uint64(1)) >> np.uint64(64 - PRECISION_BITS)).astype(np.int64).reshape(TRIES, REGISTERS)
 
@@ -117,9 +120,21 @@ def sketched(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return small_batches(docs).select("doc_id", "text").mapInPandas(sketch, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
+def _of_ids(docs: DataFrame, ids: DataFrame, read: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """What ``read`` makes of doc_id and text of the documents in ``ids``, stored.
+
+    No text moves: ids are broadcast, BROADCAST_IDS of them at a time, and the texts read again for
+    the next ones. So what the driver holds of them does not grow.
+    """
+    texts, shares = docs.select("doc_id", "text"), max(1, -(-ids.count() // BROADCAST_IDS))
+    if shares > MOST_READS:
+        return keep(read(texts.join(ids.hint("merge"), "doc_id", "left_semi")), name)
+    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(shares))
+    return reduce(DataFrame.unionByName, [keep(read(texts.join(F.broadcast(ids.where(dealt == i)), "doc_id", "left_semi")), name) for i in range(shares)])
+
+
 def with_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, shingles, registers of the documents in ``ids``: the text is hashed once more."""
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    """doc_id, shingles, registers of the documents in ``ids``, stored: the text is hashed once more."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
@@ -128,7 +143,7 @@ def with_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch.doc_id, "shingles": [signed(h) for h in sets], "registers": [registers(h).astype(np.int32) for h in sets]})
         give_back(known)
 
-    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(read, "doc_id long, shingles array<long>, registers array<int>")
+    return _of_ids(docs, ids, lambda texts: texts.mapInPandas(read, "doc_id long, shingles array<long>, registers array<int>"), "sets")
 
 
 def estimate(a: Column, b: Column, n_a: Column, n_b: Column) -> tuple[Column, Column]:
@@ -150,11 +165,11 @@ def _near(a: Column, b: Column, n_a: Column, n_b: Column, percent: int) -> Colum
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The links among ``pairs`` (a, b): a, b."""
-    pairs = keep(pairs.select("a", "b").distinct(), "pairs")
-    sets = keep(with_sets(docs, keep(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidates")), "sets")
+    pairs = bounded(keep(pairs.select("a", "b").distinct(), "pairs"))
+    sets = with_sets(docs, keep(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidates"))
     side = lambda s, what: sets.select(F.col("doc_id").alias(s), F.size("shingles").alias(f"n_{s}"), F.col(what).alias(f"x_{s}"))
     near = pairs.join(side("a", "registers"), "a").join(side("b", "registers"), "b")
-    near = keep(near.where(_near(F.col("x_a"), F.col("x_b"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b"), "near")
+    near = bounded(keep(near.where(_near(F.col("x_a"), F.col("x_b"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b"), "near"))
     common = F.size(F.array_intersect("x_a", "x_b"))
     full = near.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
     return full.where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct()
@@ -169,12 +184,12 @@ def linked(docs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> Data
     """id, component: of all class representatives that are linked to another one."""
     spark = docs.sparkSession
     classes = sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy("d1", "d2").agg(F.min("doc_id").alias("doc_id"))
-    reps = sketches.join(keep(classes.select("doc_id").distinct(), "representatives"), "doc_id", "left_semi")
+    reps = sketches.join(bounded(keep(classes.select("doc_id").distinct(), "representatives")), "doc_id", "left_semi")
     banded = reps.select(F.explode("bands").alias("band"), F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"))
     # bands move once, to be counted and kept: most have one member
     of_band = Window.partitionBy("band")
     counted = banded.withColumns({"members": F.count("*").over(of_band), "_low": F.min("id").over(of_band), "_high": F.max("id").over(of_band)})
-    members = keep(counted.where("_low < _high").drop("_low", "_high"), "band-members")
+    members = bounded(keep(counted.where("_low < _high").drop("_low", "_high"), "band-members"))
 
     left = members.where(F.col("members") <= FEW).select("band", F.col("id").alias("a"), F.col("n").alias("n_a"))
     right = members.where(F.col("members") <= FEW).select("band", F.col("id").alias("b"), F.col("n").alias("n_b"))
@@ -182,7 +197,7 @@ def linked(docs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> Data
     links = distil(spark, lambda: confirmed(few, docs, percent), "confirmed")
     labels = components(links)
 
-    large = keep(members.where(F.col("members") > FEW), "large-bands")
+    large = bounded(keep(members.where(F.col("members") > FEW), "large-bands"))
     if large.isEmpty():
         return labels
     found = distil(spark, lambda: confirmed(_home_pairs(large, labels, percent), docs, percent), "confirmed")
@@ -193,13 +208,13 @@ def linked(docs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> Data
     drawn_of, hints = 0, None
     while True:
         # members of a band that is one component have nothing more to find in it
-        at = keep(active.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "large-bands")
+        at = bounded(keep(active.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "large-bands"))
         open_ = at.groupBy("band").agg(F.count("*").alias("members"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").drop("low", "high")
-        at = keep(at.join(open_, "band"), "large-bands")
+        at = bounded(keep(at.join(open_, "band"), "large-bands"))
         if at.isEmpty():
             return labels
         if hints is None:
-            hints = keep(hinted(docs, at.select(F.col("id").alias("doc_id")).distinct()), "hints")
+            hints = hinted(docs, keep(at.select(F.col("id").alias("doc_id")).distinct(), "hint-ids"))
         if drawn_of:
             at = at.withColumn("pivot", F.pmod(F.xxhash64("id", F.lit(drawn_of)), F.lit(1 << 30)) < F.lit(drawn_of * float(1 << 30)) / F.col("members"))
         else:
@@ -207,8 +222,9 @@ def linked(docs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> Data
             weighed = at.groupBy("id").agg(F.sum("members").alias("weight"), F.collect_list("band").alias("held")).select("id", "weight", F.explode("held").alias("band"))
             heart = weighed.groupBy("band").agg(F.max(F.struct("weight", -F.col("id"))).alias("most")).select("band", (-F.col("most.col2")).alias("p"))
             at = at.join(heart, "band").withColumn("pivot", F.col("id") == F.col("p")).drop("p")
-        at = keep(at.drop("members"), "large-bands")
+        at = bounded(keep(at.drop("members"), "large-bands"))
         rows, probe = _with_hints(at, hints), _with_hints(at.where("pivot").drop("pivot"), hints)
+        rows = rows if at.count() <= HINT_ROWS else rows.hint("merge")
         probe = probe.select("band", *[F.col(c).alias(f"{c}_p") for c in probe.columns if c != "band"])
         pairs = probe.join(rows, "band").where((F.col("component_p") != F.col("component")) & _alike("n_p", "n", percent) & _may_link(percent))
         pairs = pairs.select(F.least("id_p", "id").alias("a"), F.greatest("id_p", "id").alias("b"))
@@ -234,8 +250,7 @@ def _home_pairs(large: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
 
 def hinted(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """id, used (registers that the text itself fills), planes (HINT_BITS bit planes of the filled
-    registers, as 64-bit words), few (the shingles of a text that has at most SMALL_SET)."""
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    registers, as 64-bit words), few (the shingles of a text that has at most SMALL_SET); stored."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
@@ -248,7 +263,7 @@ def hinted(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"id": batch.doc_id, "used": (raw != EMPTY).sum(axis=1).astype(np.int32), "planes": list(planes), "few": [signed(h) if len(h) <= SMALL_SET else None for h in sets]})
         give_back(known)
 
-    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInPandas(read, "id long, used int, planes array<long>, few array<long>")
+    return _of_ids(docs, ids, lambda texts: texts.mapInPandas(read, "id long, used int, planes array<long>, few array<long>"), "hints")
 
 
 def _with_hints(at: DataFrame, hints: DataFrame) -> DataFrame:
@@ -287,11 +302,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Columns other than doc_id and text are not read.
     """
     sketches = keep(sketched(docs, percent), "sketches")
-    labels = distil(docs.sparkSession, lambda: linked(docs, sketches, percent), "components")
+    labels = bounded(distil(docs.sparkSession, lambda: linked(docs, sketches, percent), "components"))
     usable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     classes = sketches.where(usable).groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     # the class of each document that is not alone, then the component of its representative
-    shared = keep(classes.where("first < last").select("d1", "d2", "first"), "classes")
+    shared = bounded(keep(classes.where("first < last").select("d1", "d2", "first"), "classes"))
     out = sketches.select("doc_id", "n_shingles", "d1", "d2").join(shared, ["d1", "d2"], "left")
     out = out.withColumn("_rep", F.when(usable, F.coalesce("first", "doc_id")))
     out = out.join(labels.withColumnRenamed("id", "_rep"), "_rep", "left")
