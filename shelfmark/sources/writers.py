@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfmark.operators.validate import union_all
+from shelfmark.session import CODEC, freed_shuffles
 from shelfmark.sources.adapter import Tables
 
 
@@ -14,17 +15,18 @@ def escaped(c: str) -> Column:
     return F.replace(F.replace(doubled, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
 
 
-def write_csv(df: DataFrame, path: str) -> str:
+def write_csv(df: DataFrame, path: str, codec: str | None = None) -> str:
     """CSV of one line per row, with doubled quotes and untouched blanks.
 
     Line breaks are escaped, so files can be split at any line; ``readers.read_csv`` undoes it.
     NULL is an empty field, empty text a pair of quotes.
     """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    writer = df.withColumns({c: escaped(c) for c in texts}).write.mode("overwrite")
+    if codec is not None:
+        writer = writer.option("compression", codec)
     (
-        df.withColumns({c: escaped(c) for c in texts})
-        .write.mode("overwrite")
-        .option("header", True)
+        writer.option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
@@ -51,10 +53,12 @@ def save_processed_files(
 
 
 def save_table(
-    df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite"
+    df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite", codec: str | None = None
 ) -> str:
     """Parquet catalog table; ``path`` makes it external."""
     writer = df.write.mode(mode).format("parquet")
+    if codec is not None:
+        writer = writer.option("compression", codec)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
@@ -62,12 +66,12 @@ def save_table(
 
 
 def load_tables(
-    tables: dict[str, DataFrame], prefix: str = "", out_dir: str | None = None
+    tables: dict[str, DataFrame], prefix: str = "", out_dir: str | None = None, codec: str | None = None
 ) -> DataFrame:
     """Replace the given tables; returns rows loaded per table, counted on what was written."""
     loaded = []
     for name, df in tables.items():
-        target = save_table(df, f"{prefix}{name}", f"{out_dir}/{name}" if out_dir else None)
+        target = save_table(df, f"{prefix}{name}", f"{out_dir}/{name}" if out_dir else None, codec=codec)
         loaded.append(
             df.sparkSession.table(target)
             .agg(F.count("*").alias("rows_loaded"))
@@ -99,11 +103,13 @@ def export_star(
 ) -> DataFrame:
     """Five CSV datasets and five catalog tables; returns the rows loaded per table.
 
-    The datasets are written from the tables, so that each is computed once.
+    The datasets are written from the tables, so that each is computed once. Both are compressed, the
+    CSV files with gzip: the order fact is many times the size of its source as plain text.
     """
-    loaded = load_tables(star, prefix, table_dir)
+    with freed_shuffles(next(iter(star.values())).sparkSession):
+        loaded = load_tables(star, prefix, table_dir, CODEC)
     for name, df in star.items():
-        write_csv(df.sparkSession.table(f"{prefix}{name}"), f"{csv_dir}/{name}.csv")
+        write_csv(df.sparkSession.table(f"{prefix}{name}"), f"{csv_dir}/{name}.csv", "gzip")
     return loaded
 
 
